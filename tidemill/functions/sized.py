@@ -1,0 +1,18 @@
+"""Joins whose small side is measured before it is broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def measured(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` computed once, and marked for broadcast only if it is small.
+
+    Beyond ``max_rows`` the rows come back unmarked: the join is then a
+    shuffle join, where adaptive execution splits the skewed keys.
+    """
+    held = df.checkpoint()
+    return F.broadcast(held) if held.count() <= max_rows else held
