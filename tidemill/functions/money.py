@@ -29,9 +29,17 @@ def total(c: str | Column) -> Column:
 
 def mean(c: str | Column, digits: int = 2) -> Column:
     """Average of an amount; null over no rows."""
-    return F.round(total(c) / F.nullif(F.count(c), F.lit(0)), digits)
+    return average(exact_sum(c), F.count(c), digits)
+
+
+def average(added: Column, count: Column, digits: int = 2) -> Column:
+    """A decimal sum over a count, divided and rounded as decimals, shown as a double.
+
+    In doubles an average that ends in half a cent may fall to either side.
+    """
+    return F.round(added / F.nullif(count.cast("decimal(20,0)"), F.lit(0)), digits).cast("double")
 
 
 def ratio(num: Column, den: Column, digits: int = 2) -> Column:
-    """``num / den`` as a rounded double; null where ``den`` is 0 or null."""
-    return F.round(num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), digits)
+    """``num / den`` of doubles, rounded; null where ``den`` is 0 or null."""
+    return F.round(num / F.nullif(den, F.lit(0.0)), digits)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.latest import ranked_per_key
-from tidemill.functions.money import amount, exact_sum, ratio
+from tidemill.functions.money import amount, average, exact_sum
 from tidemill.session import work_path
 from tidemill.sources.files import write_partitioned
 from tidemill.tables import Tables
@@ -37,7 +37,7 @@ def customer_360(t: Tables) -> DataFrame:
             F.col("r_name").alias("region"),
             F.coalesce("orders", F.lit(0)).alias("total_orders"),
             F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
-            ratio(F.col("revenue"), F.col("orders")).alias("avg_order_value"),
+            average(F.col("revenue"), F.col("orders")).alias("avg_order_value"),
             "first_order_date",
             "last_order_date",
             F.date_diff("last_order_date", "first_order_date").cast("long").alias("customer_tenure_days"),
@@ -63,7 +63,7 @@ def segment_report(c360: DataFrame, accuracy: int = 10_000) -> DataFrame:
             "segment",
             "num_customers",
             F.col("_revenue").cast("double").alias("total_revenue"),
-            ratio(F.col("_revenue"), F.col("_orders")).alias("avg_order_value"),
+            average(F.col("_revenue"), F.col("_orders")).alias("avg_order_value"),
             "median_tenure_days",
         )
         .orderBy(F.desc("total_revenue"))

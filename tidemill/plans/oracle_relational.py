@@ -7,10 +7,11 @@ def _sum(c: str) -> str:
     return f"CAST(SUM(CAST({c} AS {M})) AS DOUBLE)"
 
 
-def _avg(c: str) -> str:
+def _avg(c: str, n: str | None = None) -> str:
     """Average in whole cents, halves rounded away from zero, without floating point."""
+    n = n or f"COUNT({c})"
     cents = f"CAST(SUM(CAST({c} AS {M})) * 100 AS HUGEINT)"
-    return f"CAST(SIGN({cents}) * ((2 * ABS({cents}) + COUNT({c})) // (2 * COUNT({c}))) AS DOUBLE) / 100"
+    return f"CAST(SIGN({cents}) * ((2 * ABS({cents}) + {n}) // (2 * {n})) AS DOUBLE) / 100"
 
 
 WORKING = """

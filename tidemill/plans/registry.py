@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.money import mean, total
 from tidemill.functions.sized import measured
-from tidemill.plans import derived, relational
-from tidemill.session import shared_folder, work_path
-from tidemill.sources import files, managed
+from tidemill.functions.text import safe_name
+from tidemill.operators import quality
+from tidemill.plans import customer, derived, medallion, relational
+from tidemill.plans.datasets import Project
+from tidemill.session import shared_folder, stored, work_path
+from tidemill.sources import files, managed, reports, snapshots
 from tidemill.tables import Tables
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +111,268 @@ def employees_partitioned(t: Tables) -> DataFrame:
 
 job(ctas_segment_year)
 job(employees_partitioned)
+
+
+def csv_roundtrip(t: Tables) -> DataFrame:
+    """Orders through CSV with inferred types; the columns whose type survives."""
+    rows = files.roundtrip(relational.working_orders(t), "csv", "orders")
+    return rows.select("order_id", "customer_id", "customer_name", "segment", "total_price", "status", "priority")
+
+
+def parquet_roundtrip(t: Tables) -> DataFrame:
+    """Orders through parquet, two of nine columns read."""
+    return files.roundtrip(relational.working_orders(t), "parquet", "orders").select("customer_name", "total_price")
+
+
+def format_counts(t: Tables) -> DataFrame:
+    return files.format_counts(relational.working_orders(t), ["csv", "json", "orc", "parquet"], "orders")
+
+
+# The date range of the month-partitioned report.
+RANGE_START, RANGE_END = date(1996, 3, 15), date(1997, 6, 30)
+
+
+def month_partition_scan(t: Tables) -> DataFrame:
+    """Orders stored by month, read by date."""
+    path = work_path(t.spark, "orders_by_month")
+    files.write_by_month(t.orders, path, "o_orderdate")
+    return (
+        files.read_month_range(t.spark, path, "o_orderdate", RANGE_START, RANGE_END)
+        .groupBy("o_orderdate")
+        .agg(F.count("*").alias("orders"), total("o_totalprice").alias("revenue"))
+    )
+
+
+def file_inventory(t: Tables) -> DataFrame:
+    return files.file_inventory(t.spark, t.folder)
+
+
+def events_json_fields(t: Tables) -> DataFrame:
+    return derived.interactions(t)
+
+
+for build in (csv_roundtrip, parquet_roundtrip, format_counts, month_partition_scan, file_inventory, events_json_fields):
+    job(build)
+
+
+# --- versioned tables --------------------------------------------------------------
+
+def _updated_orders(t: Tables) -> str:
+    """Orders as version 0; version 1 marks the urgent ones critical."""
+    path = work_path(t.spark, "orders_versions")
+    snapshots.commit(relational.working_orders(t), path, slice_by=["priority"])
+    urgent = F.col("priority") == "1-URGENT"
+    snapshots.update_where(t.spark, path, urgent, {"priority": F.lit("CRITICAL")})
+    return path
+
+
+def snapshot_history(t: Tables) -> DataFrame:
+    return snapshots.history(t.spark, _updated_orders(t)).select("version", "operation", "rows_changed")
+
+
+def snapshot_as_of(t: Tables) -> DataFrame:
+    return snapshots.read_as_of(t.spark, _updated_orders(t), version=0)
+
+
+def snapshot_update(t: Tables) -> DataFrame:
+    return snapshots.read_as_of(t.spark, _updated_orders(t))
+
+
+def snapshot_diff(t: Tables) -> DataFrame:
+    return snapshots.diff_counts(t.spark, _updated_orders(t), 0, 1, "priority")
+
+
+def append_enforced(t: Tables) -> DataFrame:
+    """Orders plus a rejected append of the same rows with a text key."""
+    path = work_path(t.spark, "orders_enforced")
+    good = relational.staging_orders(t)
+    managed.append_enforced(good, path, good.schema)
+    try:
+        managed.append_enforced(good.withColumn("order_id", F.col("order_id").cast("string")), path, good.schema)
+        outcome = "written"
+    except managed.SchemaMismatch as err:
+        outcome = str(err)
+    return t.spark.read.parquet(path).agg(F.count("*").alias("rows")).withColumn("outcome", F.lit(outcome))
+
+
+for build in (snapshot_history, snapshot_as_of, snapshot_update, snapshot_diff, append_enforced):
+    job(build)
+
+
+# --- customer reports ----------------------------------------------------------------
+
+job(customer.customer_360)
+job(customer.partitioned_copy)
+# the accuracy at which the quantile summary is exact on the checked tables
+job(lambda t: customer.segment_report(customer.customer_360(t), accuracy=1_000_000), "segment_report")
+job(lambda t: customer.top_customers_by_region(customer.customer_360(t)), "top_customers_by_region")
+job(lambda t: customer.customer_360_checks(customer.customer_360(t)), "customer_360_checks")
+
+
+# --- bronze, silver, gold ----------------------------------------------------------------
+
+def _bronze_holdings(t: Tables) -> DataFrame:
+    return files.capture_raw(derived.dirty_holdings(t), "custodian_report", "Holdings")
+
+
+def _bronze_prices(t: Tables) -> DataFrame:
+    return files.capture_raw(derived.dirty_prices(t), "custodian_report", "Prices")
+
+
+def bronze_capture(t: Tables) -> DataFrame:
+    """Both parts of the report, side by side as text."""
+    holdings, prices = _bronze_holdings(t), _bronze_prices(t)
+    return holdings.unionByName(prices, allowMissingColumns=True).drop("_ingested_at")
+
+
+def title_block_rows(t: Tables) -> DataFrame:
+    """Holdings written as report files with a title block, and read back below it."""
+    path = work_path(t.spark, "holdings_report")
+    rows = derived.dirty_holdings(t)
+    reports.write_report(rows, path, ["Custodian report", "Holdings", "", "All figures in USD"])
+    return reports.read_report(t.spark, path, [safe_name(c) for c in rows.columns])
+
+
+def _silver(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Both silver tables, written once: gold reads each of them more than once."""
+    return (
+        stored(medallion.silver_holdings(_bronze_holdings(t)), "silver_holdings"),
+        stored(medallion.silver_prices(_bronze_prices(t)), "silver_prices"),
+    )
+
+
+def _portfolio(t: Tables) -> DataFrame:
+    return medallion.gold_portfolio(*_silver(t))
+
+
+def gold_portfolio_latest(t: Tables) -> DataFrame:
+    """Two days of prices, of which the newer one values the position."""
+    holdings, prices = _silver(t)
+    return medallion.gold_portfolio_latest(holdings, derived.price_history(prices))
+
+
+def layer_funnel(t: Tables) -> DataFrame:
+    holdings, prices = _silver(t)
+    portfolio = medallion.gold_portfolio(holdings, prices)
+    return medallion.layer_funnel(
+        {
+            "Bronze: Holdings": _bronze_holdings(t),
+            "Bronze: Prices": _bronze_prices(t),
+            "Silver: Holdings": holdings,
+            "Silver: Prices": prices,
+            "Gold: Portfolio": portfolio,
+            "Gold: Sectors": medallion.gold_sector_allocation(portfolio),
+        }
+    )
+
+
+job(bronze_capture)
+job(title_block_rows)
+job(lambda t: medallion.silver_holdings(_bronze_holdings(t)), "silver_holdings")
+job(lambda t: medallion.silver_prices(_bronze_prices(t)), "silver_prices")
+job(_portfolio, "gold_portfolio")
+job(gold_portfolio_latest)
+job(lambda t: medallion.gold_sector_allocation(_portfolio(t)), "gold_sector_allocation")
+job(lambda t: medallion.top_gainers(_portfolio(t)), "top_gainers")
+job(layer_funnel)
+
+
+# --- data quality ----------------------------------------------------------------------------
+
+HOLDING_RULES = {"valid_ticker": "Ticker IS NOT NULL AND Ticker <> 'nan'", "has_shares": "Shares_Held IS NOT NULL"}
+
+
+def expect_report(t: Tables) -> DataFrame:
+    """The drop rules on raw holdings and a warn rule on the portfolio."""
+    raw = quality.expect(_bronze_holdings(t), HOLDING_RULES)
+    return raw.unionByName(quality.expect(_portfolio(t), {"has_market_value": "Market_Value > 10000"}))
+
+
+def expect_or_drop(t: Tables) -> DataFrame:
+    kept, _ = quality.expect_or_drop(_bronze_holdings(t).drop("_ingested_at"), HOLDING_RULES)
+    return kept
+
+
+def dq_relationships(t: Tables) -> DataFrame:
+    """Held tickers that have no price."""
+    holdings, prices = _silver(t)
+    return quality.relationships(holdings, "Ticker", prices, "Symbol")
+
+
+def source_freshness(t: Tables) -> DataFrame:
+    return quality.freshness(t.events, "ts", datetime(2024, 2, 1), warn_hours=12, error_hours=48)
+
+
+job(expect_report)
+job(expect_or_drop)
+job(lambda t: quality.unique(t.lineitem, ["l_orderkey", "l_linenumber"]), "dq_unique")
+job(lambda t: quality.not_null(_bronze_holdings(t).drop("_ingested_at"), "Ticker"), "dq_not_null")
+job(lambda t: quality.accepted_values(t.orders, "o_orderstatus", ["F", "O"]), "dq_accepted_values")
+job(dq_relationships)
+job(lambda t: quality.total_off_target(_portfolio(t), "Weight_Pct", 100, 0.5), "dq_weight_sum")
+job(source_freshness)
+
+
+# --- datasets with declared inputs --------------------------------------------------------------
+
+def portfolio_project(t: Tables) -> Project:
+    """The portfolio as six named datasets."""
+    p = Project(t.spark)
+    p.source("raw_holdings", derived.dirty_holdings(t))
+    p.source("raw_prices", derived.dirty_prices(t))
+
+    @p.dataset("view")
+    def bronze_holdings(p):
+        return files.capture_raw(p.ref("raw_holdings"), "custodian_report", "Holdings")
+
+    @p.dataset("view")
+    def bronze_prices(p):
+        return files.capture_raw(p.ref("raw_prices"), "custodian_report", "Prices")
+
+    @p.dataset("table")
+    def silver_holdings(p):
+        return medallion.silver_holdings(p.ref("bronze_holdings"))
+
+    @p.dataset("table")
+    def silver_prices(p):
+        return medallion.silver_prices(p.ref("bronze_prices"))
+
+    @p.dataset("table")
+    def gold_portfolio(p):
+        return medallion.gold_portfolio(p.ref("silver_holdings"), p.ref("silver_prices"))
+
+    @p.dataset("ephemeral")
+    def gold_sector_allocation(p):
+        return medallion.gold_sector_allocation(p.ref("gold_portfolio"))
+
+    return p
+
+
+def lineage_edges(t: Tables) -> DataFrame:
+    """Who reads what, with the rows each input held in this run."""
+    project = portfolio_project(t)
+    project.run()
+    sizes = None
+    for name in sorted({i for _, i in project.edges}):
+        counted = project.ref(name).agg(F.count("*").alias("input_rows")).withColumn("input", F.lit(name))
+        sizes = counted if sizes is None else sizes.unionByName(counted)
+    return project.lineage().join(sizes, "input").select("dataset", "input", "input_rows")
+
+
+def incremental_orders(t: Tables) -> DataFrame:
+    """A table loaded up to 1999, then extended by a run that sees all orders."""
+    folder = work_path(t.spark, "incremental")
+    for arrived in (t.orders.filter(F.col("o_orderdate") < F.lit(date(2000, 1, 1))), t.orders):
+        run = Project(t.spark, folder)
+        run.source("orders", arrived)
+
+        @run.dataset("incremental", cursor="o_orderdate")
+        def order_facts(p):
+            return p.ref("orders")
+
+        out = run.ref("order_facts")
+    return out
+
+
+job(lineage_edges)
+job(incremental_orders)

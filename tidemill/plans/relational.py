@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.latest import ranked_per_key
-from tidemill.functions.money import amount, exact_sum, mean, ratio, total
+from tidemill.functions.money import amount, average, exact_sum, mean, ratio, total
 from tidemill.functions.ordered import running_total
 from tidemill.tables import Tables
 
@@ -174,7 +174,7 @@ def priority_avg_filter(t: Tables, floor: float = 150_000) -> DataFrame:
     per_priority = t.spark.sql(
         """
         SELECT o_orderpriority AS priority,
-               ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 2) AS avg_order_value
+               CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(18,2))) / COUNT(*), 2) AS DOUBLE) AS avg_order_value
         FROM {orders}
         GROUP BY o_orderpriority
         """,
@@ -244,7 +244,7 @@ def supplier_nations(t: Tables, k: int = 10) -> DataFrame:
     return t.spark.sql(
         """
         SELECT n.n_name AS nation, COUNT(s.s_suppkey) AS num_suppliers,
-               ROUND(CAST(SUM(CAST(s.s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(s.s_acctbal), 2) AS avg_balance
+               CAST(ROUND(SUM(CAST(s.s_acctbal AS DECIMAL(18,2))) / COUNT(s.s_acctbal), 2) AS DOUBLE) AS avg_balance
         FROM {supplier} s JOIN {nation} n ON s.s_nationkey = n.n_nationkey
         GROUP BY n.n_name
         ORDER BY num_suppliers DESC, nation
@@ -262,7 +262,7 @@ def top_supplier_nations(t: Tables, k: int = 5) -> DataFrame:
         .groupBy("n_name")
         .agg(
             F.sum("num_suppliers").alias("num_suppliers"),
-            ratio(F.sum("balance"), F.sum("num_suppliers")).alias("avg_balance"),
+            average(F.sum("balance"), F.sum("num_suppliers")).alias("avg_balance"),
         )
         .orderBy(F.desc("num_suppliers"), "n_name")
         .limit(k)
@@ -307,7 +307,7 @@ def segment_status_view(t: Tables) -> DataFrame:
     return t.spark.sql(
         """
         SELECT c_mktsegment, o_orderstatus, SUM(orders) AS order_count,
-               ROUND(CAST(SUM(value) AS DOUBLE) / SUM(orders), 2) AS avg_price
+               CAST(ROUND(SUM(value) / SUM(orders), 2) AS DOUBLE) AS avg_price
         FROM customer_orders_view
         GROUP BY c_mktsegment, o_orderstatus
         ORDER BY c_mktsegment, order_count DESC
@@ -324,7 +324,7 @@ def above_average_customers(t: Tables, factor: float = 1.5, k: int = 15) -> Data
         "c_name",
         "c_mktsegment",
         "num_orders",
-        ratio(F.col("spent"), F.col("num_orders")).alias("avg_order_value"),
+        average(F.col("spent"), F.col("num_orders")).alias("avg_order_value"),
         F.col("spent").cast("double").alias("total_spent"),
     )
     overall = spend.agg(mean("avg_order_value").alias("global_avg")).scalar()
@@ -349,7 +349,7 @@ def segment_year_summary(t: Tables) -> DataFrame:
             F.sum("orders").alias("num_orders"),
             F.count_distinct("o_custkey").alias("unique_customers"),
             F.sum("value").cast("double").alias("total_revenue"),
-            ratio(F.sum("value"), F.sum("orders")).alias("avg_order_value"),
+            average(F.sum("value"), F.sum("orders")).alias("avg_order_value"),
         )
     )
 

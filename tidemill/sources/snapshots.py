@@ -1,0 +1,207 @@
+"""Versioned tables on plain parquet folders.
+
+Layout under one path::
+
+    data/_version=<n>-<attempt>/_slice=<s>/*.parquet    rows written by a version
+    log/*.parquet                                       one row per version and slice
+
+A row gets its slice from a hash of chosen columns when it is first written,
+and keeps it. A version writes only the slices it changes; reading version
+*n* opens, for every slice, the newest folder not after *n*. Log rows are
+written last, in one file, so a write that dies half-way leaves only files
+that no reader opens. One writer at a time.
+
+The number of slices is fixed when the table is made, so the log holds at
+most versions x slices rows and may be looked up on the driver.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemill.functions.latest import first_per_key
+
+SLICE = "_slice"
+MAX_SLICES = 4096
+NO_SLICE = -1  # logged by a version that changed nothing
+LOG_SCHEMA = (
+    "version long, committed_us long, operation string, tag string, slice int, folder string,"
+    " rows long, changed long, slices int, sliced_by array<string>, keyed boolean, row_schema string"
+)
+
+
+def _log_rows(spark: SparkSession, path: str) -> list:
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log").collect()
+    except Exception as err:
+        if "PATH_NOT_FOUND" in str(err):
+            return []
+        raise
+
+
+def _open(spark: SparkSession, path: str, entries: list) -> DataFrame:
+    """The newest folder of every slice among ``entries``, with the slice column."""
+    newest: dict[int, object] = {}
+    for e in sorted(entries, key=lambda e: e.version):
+        newest[e.slice] = e
+    newest.pop(NO_SLICE, None)
+    if not newest:
+        raise ValueError(f"no such version of {path}")
+    schema = T.StructType.fromJson(json.loads(max(newest.values(), key=lambda e: e.version).row_schema))
+    folders = [e.folder for e in newest.values() if e.folder]
+    full = schema.add(SLICE, T.IntegerType())
+    if not folders:
+        return spark.createDataFrame([], full)
+    rows = spark.read.option("basePath", f"{path}/data").schema(full).parquet(*folders)
+    return rows.select(*full.names)
+
+
+def _write(rows: DataFrame, path: str, version: int, operation: str, tag: str, touched: dict[int, int],
+           slices: int, sliced_by: list[str], keyed: bool) -> int:
+    """Write rows (with their slice), then the log lines that make them visible.
+
+    ``touched`` maps each rewritten slice to its number of changed rows.
+    """
+    spark = rows.sparkSession
+    folder = f"{path}/data/_version={version}-{uuid.uuid4().hex[:8]}"
+    counts: dict[int, int] = {}
+    if touched:
+        rows.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(folder)
+        written = spark.read.schema(rows.schema).parquet(folder)
+        counts = {r[SLICE]: r["n"] for r in written.groupBy(SLICE).agg(F.count("*").alias("n")).collect()}
+    schema = rows.drop(SLICE).schema.json()
+    now = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
+    lines = [
+        (version, now, operation, tag, s, f"{folder}/{SLICE}={s}" if s in counts else None,
+         counts.get(s, 0), changed, slices, sliced_by, keyed, schema)
+        for s, changed in (touched or {NO_SLICE: 0}).items()
+    ]
+    spark.createDataFrame(lines, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    return version
+
+
+def _slice_of(columns: list[str], slices: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")
+
+
+def commit(df: DataFrame, path: str, slice_by: list[str], operation: str = "WRITE",
+           slices: int = 16, keyed: bool = False, tag: str = "") -> int:
+    """Write ``df`` as the next version of the whole table.
+
+    ``slice_by`` should name what later updates filter on. With ``keyed`` it
+    is the unique key, and the table accepts ``upsert``.
+    """
+    if not 1 <= slices <= MAX_SLICES:
+        raise ValueError(f"slices must be 1 to {MAX_SLICES}")
+    known = _log_rows(df.sparkSession, path)
+    if known:
+        slices, slice_by, keyed = known[0].slices, known[0].sliced_by, known[0].keyed
+    version = max((e.version for e in known), default=-1) + 1
+    rows = df.withColumn(SLICE, _slice_of(slice_by, slices)).select(*df.columns, SLICE)
+    return _write(rows, path, version, operation, tag, dict.fromkeys(range(slices), 0), slices, slice_by, keyed)
+
+
+def read_as_of(spark: SparkSession, path: str, version: int | None = None,
+               timestamp: datetime | None = None) -> DataFrame:
+    """The rows of one version, or of the newest version at a time; else the current rows."""
+    entries = _log_rows(spark, path)
+    if timestamp is not None:
+        entries = [e for e in entries if e.committed_us <= timestamp.timestamp() * 1_000_000]
+    if version is not None:
+        if version not in {e.version for e in entries}:
+            raise ValueError(f"no version {version} of {path}")
+        entries = [e for e in entries if e.version <= version]
+    return _open(spark, path, entries).drop(SLICE)
+
+
+def update_where(spark: SparkSession, path: str, predicate: Column, assignments: dict[str, Column]) -> int:
+    """Set columns where ``predicate`` holds, as a new version.
+
+    Slices without a matching row are not rewritten; the rest of the table
+    is shared with the version before.
+    """
+    entries = _log_rows(spark, path)
+    first = entries[0]
+    if first.keyed and set(assignments) & set(first.sliced_by):
+        raise ValueError("the key of a keyed table cannot be updated")
+    version = max(e.version for e in entries) + 1
+    current = _open(spark, path, entries)
+    hits = current.filter(predicate).groupBy(SLICE).agg(F.count("*").alias("n")).collect()  # one row per slice
+    touched = {r[SLICE]: r["n"] for r in hits}
+    hit = F.col("_hit")
+    updated = (
+        current.filter(F.col(SLICE).isin(*touched))
+        .withColumn("_hit", F.coalesce(predicate, F.lit(False)))
+        .withColumns({
+            c: F.when(hit, value).otherwise(F.col(c)).cast(current.schema[c].dataType)
+            for c, value in assignments.items()
+        })
+        .select(*current.columns)
+    )
+    return _write(updated, path, version, "UPDATE", "", touched, first.slices, first.sliced_by, first.keyed)
+
+
+def latest_per_key(current: DataFrame, updates: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+    """Old and new rows together, the first per key under ``order`` kept: last write wins."""
+    return first_per_key(current.unionByName(updates), key, order)
+
+
+def upsert(updates: DataFrame, path: str, key: list[str], order: list[Column], tag: str = "", slices: int = 16) -> int:
+    """Merge ``updates`` into a keyed table; the first row per key under ``order`` stays.
+
+    Only the slices that receive a key are rewritten. A non-empty ``tag``
+    that the log already holds makes the call do nothing, so a micro-batch
+    that is delivered again has no effect.
+    """
+    spark = updates.sparkSession
+    entries = _log_rows(spark, path)
+    if tag and any(e.tag == tag for e in entries):
+        return max(e.version for e in entries)
+    if not entries:
+        first_rows = first_per_key(updates, key, order)
+        return commit(first_rows, path, key, "UPSERT", slices, keyed=True, tag=tag)
+    first = entries[0]
+    if not first.keyed or list(first.sliced_by) != key:
+        raise ValueError(f"{path} is not keyed by {key}")
+    version = max(e.version for e in entries) + 1
+    fresh = first_per_key(updates, key, order).withColumn(SLICE, _slice_of(key, first.slices)).checkpoint()
+    counts = fresh.groupBy(SLICE).agg(F.count("*").alias("n")).collect()  # one row per slice
+    touched = {r[SLICE]: r["n"] for r in counts}
+    current = _open(spark, path, entries)
+    merged = latest_per_key(
+        current.filter(F.col(SLICE).isin(*touched)), fresh.select(*current.columns), key, order
+    )
+    return _write(merged, path, version, "UPSERT", tag, touched, first.slices, first.sliced_by, True)
+
+
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """One row per version: when, what, rows written and rows changed."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log")
+    return (
+        log.groupBy("version", F.timestamp_micros("committed_us").alias("committed_at"), "operation")
+        .agg(F.sum("rows").alias("rows_written"), F.sum("changed").alias("rows_changed"))
+        .orderBy("version")
+    )
+
+
+def diff_counts(spark: SparkSession, path: str, old: int, new: int, column: str) -> DataFrame:
+    """How often each value of a column occurs in two versions."""
+    sides = [
+        read_as_of(spark, path, v).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+        .withColumn("old", F.lit(v == old))
+        for v in (old, new)
+    ]
+    return (
+        sides[0].unionByName(sides[1])
+        .groupBy("value")
+        .agg(
+            F.sum(F.when(F.col("old"), F.col("n")).otherwise(0)).alias("old_rows"),
+            F.sum(F.when(~F.col("old"), F.col("n")).otherwise(0)).alias("new_rows"),
+        )
+    )
