@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.money import mean, total
 from tidemill.functions.sized import measured
-from tidemill.functions.text import safe_name
-from tidemill.operators import quality
+from tidemill.functions.text import (
+    MONEY_SIGNS,
+    US_DATE,
+    digits_only,
+    iso_from_us_date,
+    mixed_date,
+    money_text,
+    safe_name,
+)
+from tidemill.operators import auction, quality, recommend, scoring
 from tidemill.plans import customer, derived, medallion, relational
 from tidemill.plans.datasets import Project
 from tidemill.session import shared_folder, stored, work_path
 from tidemill.sources import files, managed, reports, snapshots
+from tidemill.streaming import sensors
 from tidemill.tables import Tables
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -376,3 +385,268 @@ def incremental_orders(t: Tables) -> DataFrame:
 
 job(lineage_edges)
 job(incremental_orders)
+
+
+# --- scoring ---------------------------------------------------------------------------------------
+
+def score_vectorized(t: Tables) -> DataFrame:
+    scored = scoring.score_vectorized(derived.scoring_input(t))
+    return scored.withColumn("p_buy", F.round("p_buy", 9))
+
+
+def score_builtin(t: Tables) -> DataFrame:
+    scored = scoring.score_builtin(derived.scoring_input(t))
+    return scored.withColumn("p_buy", F.round("p_buy", 9))
+
+
+def top_scored(t: Tables) -> DataFrame:
+    return scoring.top_scored(score_builtin(t), "c_custkey")
+
+
+def score_by_partitions(t: Tables) -> DataFrame:
+    tried = None
+    for n in (1, 4, 16):
+        one = scoring.score_by_partitions(derived.scoring_input(t), n).withColumn("partitions", F.lit(n).cast("long"))
+        tried = one if tried is None else tried.unionByName(one)
+    return tried.withColumn("total_prob", F.round("total_prob", 6))
+
+
+for build in (score_vectorized, score_builtin, top_scored, score_by_partitions):
+    job(build)
+
+
+# --- auction ------------------------------------------------------------------------------------------
+
+def _opportunities(t: Tables) -> DataFrame:
+    return auction.parse_opportunities(derived.opportunity_messages(t))[0]
+
+
+def _winners(t: Tables) -> DataFrame:
+    return auction.pick_winners(_opportunities(t))
+
+
+def _results(t: Tables) -> DataFrame:
+    """Result records with a processing time that follows from the message number."""
+    number = F.substring_index("opportunity_id", "-", -1).cast("long")
+    done = F.try_to_timestamp("timestamp") + F.make_dt_interval(secs=(number % 500) / 1000)
+    return auction.processed(_winners(t).withColumn("started", F.col("timestamp")), done)
+
+
+def auction_latency(t: Tables) -> DataFrame:
+    return auction.latency(_results(t), "started", "processed_at", "content_category")
+
+
+def keyed_upsert(t: Tables) -> DataFrame:
+    """Results stored by opportunity, then delivered again with a later time: the last write wins."""
+    path = work_path(t.spark, "auction_results")
+    results = _results(t).drop("started")
+    again = results.withColumns(
+        {"score_margin": F.lit(0.0), "processed_at": F.lit("2030-01-01T00:00:00.000Z")}
+    ).filter(F.col("content_category") == "sports")
+    newest = [F.desc("processed_at")]
+    snapshots.upsert(results, path, ["opportunity_id"], newest)
+    snapshots.upsert(again, path, ["opportunity_id"], newest)
+    return snapshots.read_as_of(t.spark, path)
+
+
+job(lambda t: auction.score_bids(_opportunities(t)), "auction_scores")
+job(lambda t: _winners(t).drop("timestamp"), "auction_winners")
+job(lambda t: auction.parse_opportunities(derived.opportunity_messages(t))[1].drop("body"), "auction_quarantine")
+job(lambda t: auction.win_counts(_winners(t)), "auction_wins")
+job(lambda t: auction.win_counts(_winners(t), ["content_category"]), "auction_wins_by_category")
+job(auction_latency)
+job(keyed_upsert)
+
+
+# --- recommender ------------------------------------------------------------------------------------------
+
+def _features(t: Tables) -> DataFrame:
+    return recommend.feature_table(derived.interactions(t))
+
+
+def _split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Train and holdout; the features are stored, as both sides read them."""
+    return recommend.holdout_split(stored(_features(t), "features"))
+
+
+def id_index(t: Tables) -> DataFrame:
+    return recommend.index_ids(_features(t), "user_id", "user_idx")
+
+
+def hit_rate(t: Tables) -> DataFrame:
+    """The popularity baseline against the holdout."""
+    train, held = _split(t)
+    return recommend.hit_rate(recommend.recommend_popular(held, recommend.popular_items(train)), held)
+
+
+def _indexed_train(t: Tables) -> tuple[DataFrame, int, int]:
+    features, users, items = recommend.indexed_features(stored(_features(t), "features"))
+    train, _ = recommend.holdout_split(stored(features, "indexed_features"))
+    return stored(train, "train"), users.count(), items.count()
+
+
+def negative_samples(t: Tables) -> DataFrame:
+    train, n_users, n_items = _indexed_train(t)
+    return recommend.negative_pairs(train, n_users, n_items)
+
+
+def training_pairs(t: Tables) -> DataFrame:
+    train, n_users, n_items = _indexed_train(t)
+    pairs = recommend.training_pairs(train, recommend.negative_pairs(train, n_users, n_items))
+    return pairs.withColumn("label", F.round("label", 6))
+
+
+def dot_product_topk(t: Tables) -> DataFrame:
+    """Every vector as a user against every vector as an item."""
+    users = t.embeddings.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vec"))
+    items = t.embeddings.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vec"))
+    return recommend.dot_topk(users, items)
+
+
+def _als(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """ALS recommendations and the holdout."""
+    features, users, items = recommend.indexed_features(stored(_features(t), "features"))
+    train, held = recommend.holdout_split(stored(features, "indexed_features"))
+    return recommend.top_items(recommend.fit_als(stored(train, "train")), users, items), held
+
+
+def als_hit_rate(t: Tables) -> DataFrame:
+    return recommend.hit_rate(*_als(t))
+
+
+def run_log(t: Tables) -> DataFrame:
+    """The ALS run and the baseline run as logged."""
+    path = work_path(t.spark, "runs")
+    als = {"algorithm": "ALS-implicit", "rank": recommend.RANK, "maxIter": recommend.ITERATIONS,
+           "regParam": recommend.REGULARISATION}
+    recommend.log_run(path, hit_rate(t), "run-1", "popular", {"algorithm": "popularity"}, "hit_rate")
+    recommend.log_run(path, als_hit_rate(t), "run-2", "als", als, "hit_rate")
+    return t.spark.read.schema(recommend.RUN_SCHEMA).parquet(path).drop("logged_at")
+
+
+def promotion_decision(t: Tables) -> DataFrame:
+    """Popularity by score holds the title; popularity by number of users challenges it."""
+    path = work_path(t.spark, "runs")
+    train, held = _split(t)
+    measures = {"by_score": None, "by_users": F.count("*")}
+    for i, (model, by) in enumerate(measures.items()):
+        recs = recommend.recommend_popular(held, recommend.popular_items(train, by=by))
+        recommend.log_run(path, recommend.hit_rate(recs, held), f"run-{i}", model, {"k": recommend.TOP}, "hit_rate")
+    runs = t.spark.read.schema(recommend.RUN_SCHEMA).parquet(path)
+    return recommend.promote(runs, "by_score", "by_users")
+
+
+job(_features, "feature_table")
+job(lambda t: recommend.feature_stats(_features(t)), "feature_stats")
+job(id_index)
+job(lambda t: _split(t)[1], "holdout_split")
+job(lambda t: _split(t)[0], "train_split")
+job(lambda t: recommend.popular_items(_split(t)[0]), "popular_items")
+job(hit_rate)
+job(negative_samples)
+job(training_pairs)
+job(dot_product_topk)
+job(lambda t: _als(t)[0], "als_top_items")
+job(als_hit_rate)
+job(run_log)
+job(promotion_decision)
+
+
+# --- sensor stream ------------------------------------------------------------------------------------------
+
+ALERT_ABOVE = 33.0
+
+
+def _sensor_stream(t: Tables, replays: bool = False) -> DataFrame:
+    return derived.sensor_messages(t.stream("events"), replays)
+
+
+def _through_files(t: Tables, rows: DataFrame, name: str) -> DataFrame:
+    """Run a stream into files and read them back."""
+    path = work_path(t.spark, name)
+    sensors.run_to_files(rows, f"{path}/out", f"{path}/checkpoint")
+    return t.spark.read.schema(rows.schema).parquet(f"{path}/out")
+
+
+def stream_parsed(t: Tables) -> DataFrame:
+    rows = sensors.readings(_sensor_stream(t))
+    return _through_files(t, rows, "parsed").withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+def stream_unreadable(t: Tables) -> DataFrame:
+    return _through_files(t, sensors.unreadable(_sensor_stream(t)), "unreadable").select("key")
+
+
+def stream_tag_counts(t: Tables) -> DataFrame:
+    """Messages of one tag and the skipped ones, as the closing count of a stream."""
+    path = work_path(t.spark, "tag_counts")
+    counts = sensors.tag_counts(sensors.readings(_sensor_stream(t)), "s1")
+    sink = sensors.upsert_sink(f"{path}/state", ["stream"], [], slices=1)
+    sensors.run_batches(counts.withColumn("stream", F.lit("s1")), f"{path}/checkpoint", "update", sink)
+    return snapshots.read_as_of(t.spark, f"{path}/state").select("messages", "skipped")
+
+
+def stream_running_mean(t: Tables) -> DataFrame:
+    path = work_path(t.spark, "running_mean")
+    means = sensors.running_mean(sensors.readings(_sensor_stream(t)))
+    sink = sensors.upsert_sink(f"{path}/state", ["sensor_id"], [], slices=1)
+    sensors.run_batches(means, f"{path}/checkpoint", "update", sink)
+    return snapshots.read_as_of(t.spark, f"{path}/state").drop("batch_id")
+
+
+def stream_session_summary(t: Tables) -> DataFrame:
+    """The running means of one tag, rounded and in sensor order."""
+    path = work_path(t.spark, "session")
+    means = sensors.running_mean(sensors.for_tag(sensors.readings(_sensor_stream(t)), "s1"))
+    sink = sensors.upsert_sink(f"{path}/state", ["sensor_id"], [], slices=1)
+    sensors.run_batches(means, f"{path}/checkpoint", "complete", sink)
+    return (
+        snapshots.read_as_of(t.spark, f"{path}/state")
+        .select("sensor_id", "readings", F.round("avg_temperature", 3).alias("avg_temperature"))
+        .orderBy("sensor_id")
+    )
+
+
+def stream_tumbling(t: Tables) -> DataFrame:
+    return _through_files(t, sensors.tumbling_mean(sensors.readings(_sensor_stream(t))), "tumbling")
+
+
+def stream_dedup(t: Tables) -> DataFrame:
+    rows = sensors.dedup(sensors.readings(_sensor_stream(t, replays=True)))
+    return _through_files(t, rows, "dedup").groupBy("sensor_id").agg(
+        F.count("*").alias("rows"), F.count_distinct("reading_id").alias("readings")
+    )
+
+
+def alert_messages(t: Tables) -> DataFrame:
+    return _through_files(t, sensors.alerts(sensors.readings(_sensor_stream(t)), ALERT_ABOVE), "alerts")
+
+
+for build in (stream_parsed, stream_unreadable, stream_tag_counts, stream_running_mean, stream_session_summary,
+              stream_tumbling, stream_dedup, alert_messages):
+    job(build)
+
+
+# --- scalar functions -------------------------------------------------------------------------------------------
+
+def scalar_functions(t: Tables) -> DataFrame:
+    """One column per text, date and number function, over all priced parts and orders."""
+    prices = _bronze_prices(t)
+    return prices.select(
+        F.trim("Symbol").alias("trimmed"),
+        F.regexp_replace("Close", MONEY_SIGNS, "").alias("plain"),
+        F.col("Date").rlike(US_DATE).alias("is_us_date"),
+        iso_from_us_date(F.col("Date")).alias("iso_date"),
+        mixed_date(F.col("Date")).alias("day"),
+        F.year(mixed_date(F.col("Date"))).cast("long").alias("year"),
+        F.date_add(mixed_date(F.col("Date")), 30).alias("due"),
+        F.date_diff(F.date_add(mixed_date(F.col("Date")), 30), mixed_date(F.col("Date"))).cast("long").alias("days"),
+        F.nullif("Close", F.lit("N/A")).alias("close_text"),
+        F.coalesce(money_text(F.col("Close"), "N/A"), F.lit(0.0)).alias("close"),
+        F.abs(F.coalesce(money_text(F.col("Change_Pct"), "-"), F.lit(0.0))).alias("move"),
+        (digits_only(F.col("Volume")) % 1000).cast("long").alias("odd_lot"),
+        F.when(F.col("Close") == "N/A", "missing").otherwise("priced").alias("state"),
+    )
+
+
+job(scalar_functions)
