@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.once import evaluated_once
+
 # The scoring tables. A pair or device that is not listed counts 1.0.
 RELEVANCE = {
     ("sports", "sportswear"): 1.4,
@@ -36,16 +38,15 @@ def parse_opportunities(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Every message lands in exactly one of the two.
     """
-    parsed = messages.withColumn(
-        "_o", F.from_json("body", f"{MESSAGE_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    )
+    body = F.from_json("body", f"{MESSAGE_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    parsed = evaluated_once(messages, {"_o": body}).select("message_id", "body", "_o.*")
     reason = (
         F.when(F.col("body").isNull(), "empty message")
-        .when(F.col("_o._bad").isNotNull() | F.col("_o").isNull(), "not a readable message")
-        .when(F.col("_o.opportunity_id").isNull(), "no opportunity_id")
+        .when(F.col("_bad").isNotNull(), "not a readable message")
+        .when(F.col("opportunity_id").isNull(), "no opportunity_id")
     )
     marked = parsed.withColumn("reason", reason)
-    good = marked.filter(F.col("reason").isNull()).select("message_id", *[f"_o.{f}" for f in _FIELDS])
+    good = marked.filter(F.col("reason").isNull()).select("message_id", *_FIELDS)
     return good, marked.filter(F.col("reason").isNotNull()).select("message_id", "reason", "body")
 
 
@@ -72,11 +73,17 @@ def device_bonus(device: Column) -> Column:
     return bonus
 
 
+def _valid(bid: Column) -> Column:
+    return bid["bid_amount"] > 0
+
+
 def with_scores(opportunities: DataFrame) -> DataFrame:
-    """Adds ``scored``: the valid bids with their score. A bid needs a positive amount."""
-    base = opportunities.withColumns(
-        {"_time": time_bonus(F.col("timestamp")), "_device": device_bonus(F.col("device_type"))}
-    )
+    """Opportunities with a valid bid, and ``scored``: those bids with their score.
+
+    A bid is valid if it has a positive amount.
+    """
+    factors = {"time_bonus": time_bonus(F.col("timestamp")), "device_bonus": device_bonus(F.col("device_type"))}
+    base = evaluated_once(opportunities.filter(F.exists("bids", _valid)), factors)
 
     def score(bid: Column) -> Column:
         fit = relevance(F.col("content_category"), bid["category"])
@@ -84,24 +91,17 @@ def with_scores(opportunities: DataFrame) -> DataFrame:
             bid["advertiser_id"].alias("advertiser_id"),
             bid["bid_amount"].alias("bid_amount"),
             fit.alias("relevance"),
-            (bid["bid_amount"] * fit * F.col("_time") * F.col("_device")).alias("score"),
+            (bid["bid_amount"] * fit * F.col("time_bonus") * F.col("device_bonus")).alias("score"),
         )
 
-    valid = F.filter(F.coalesce("bids", F.array().cast("array<struct<advertiser_id:string,bid_amount:double,category:string>>")),
-                     lambda b: b["bid_amount"] > 0)
-    return base.withColumn("scored", F.transform(valid, score))
+    return evaluated_once(base, {"scored": F.transform(F.filter("bids", _valid), score)})
 
 
 def score_bids(opportunities: DataFrame) -> DataFrame:
     """One row per valid bid with its factors and score."""
     return (
         with_scores(opportunities)
-        .select(
-            "opportunity_id",
-            F.col("_time").alias("time_bonus"),
-            F.col("_device").alias("device_bonus"),
-            F.inline("scored"),
-        )
+        .select("opportunity_id", "time_bonus", "device_bonus", F.inline("scored"))
         .select("opportunity_id", "advertiser_id", "bid_amount", "relevance", "time_bonus", "device_bonus", "score")
     )
 
@@ -116,7 +116,7 @@ def pick_winners(opportunities: DataFrame) -> DataFrame:
     ranked = F.sort_array(
         F.transform("scored", lambda b: F.struct((-b["score"]).alias("minus"), b["advertiser_id"], b["bid_amount"]))
     )
-    best = with_scores(opportunities).filter(F.size("scored") > 0).withColumn("_r", ranked)
+    best = evaluated_once(with_scores(opportunities), {"_r": ranked})
     first, second = F.col("_r")[0], F.get(F.col("_r"), F.lit(1))
     return best.select(
         "opportunity_id",

@@ -143,13 +143,13 @@ def opportunity_messages(t: Tables) -> DataFrame:
             bids.alias("bids"),
         )
     )
-    body = F.when(k % 97 == 0, F.concat(F.lit("not json "), message)).otherwise(message)
+    body = F.concat(F.when(k % 97 == 0, F.lit("not json ")).otherwise(F.lit("")), message)
     return t.events.select(F.concat(F.lit("msg-"), _text(k)).alias("message_id"), body.alias("body"))
 
 
 def interactions(t: Tables) -> DataFrame:
     """User, item and kind of every event; the item sits in a JSON field."""
-    item = F.from_json("props", "k long")["k"]
+    item = F.get_json_object("props", "$.k").cast("long")
     return t.events.select("event_id", "user_id", item.alias("item_id"), "event_type")
 
 
@@ -172,7 +172,7 @@ def sensor_messages(events: DataFrame, replays: bool = False) -> DataFrame:
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         )
     )
-    value = F.when(k % 101 == 0, F.concat(F.lit("broken "), reading)).otherwise(reading)
+    value = F.concat(F.when(k % 101 == 0, F.lit("broken ")).otherwise(F.lit("")), reading)
     out = events
     if replays:
         out = out.withColumn(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemill.functions.once import evaluated_once
 from tidemill.sources import snapshots
 
 READING_SCHEMA = (
@@ -89,21 +90,18 @@ def upsert_sink(path: str, key: list[str], order: list[Column], slices: int = 16
 # --- transformations -------------------------------------------------------------
 
 def _parsed(messages: DataFrame) -> DataFrame:
-    return messages.withColumn(
-        "_r", F.from_json("value", f"{READING_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    )
+    reading = F.from_json("value", f"{READING_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return evaluated_once(messages, {"_r": reading}).select("key", "value", "_r.*")
 
 
 def _readable() -> Column:
-    return F.col("_r").isNotNull() & F.col("_r._bad").isNull()
+    return F.col("value").isNotNull() & F.col("_bad").isNull()
 
 
 def readings(messages: DataFrame) -> DataFrame:
     """Messages that are readable, with the event time as ``at``."""
-    return (
-        _parsed(messages).filter(_readable())
-        .select(*[f"_r.{f}" for f in READING_FIELDS], F.try_to_timestamp("_r.timestamp").alias("at"))
-    )
+    good = _parsed(messages).filter(_readable())
+    return good.select(*READING_FIELDS, F.try_to_timestamp("timestamp").alias("at"))
 
 
 def unreadable(messages: DataFrame) -> DataFrame:
