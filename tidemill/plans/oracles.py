@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from tidemill.plans import oracle_pipeline, oracle_relational
+from tidemill.plans import oracle_models, oracle_pipeline, oracle_relational
 
-SQL: dict[str, str] = {**oracle_relational.SQL, **oracle_pipeline.SQL}
+SQL: dict[str, str] = {**oracle_relational.SQL, **oracle_pipeline.SQL, **oracle_models.SQL}
