@@ -28,31 +28,28 @@ def range_blocks(df: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _before(blocked: DataFrame, block: str, value: Column, name: str) -> DataFrame:
-    """For each block, the total of all blocks ahead of it (one row per block)."""
-    ahead = W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)
+def _ahead(blocked: DataFrame, block: str, values: dict[str, Column]) -> DataFrame:
+    """For each block, the totals of all blocks before it (one row per block)."""
+    before = W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)
     return (
         blocked.groupBy(block)
-        .agg(value.alias("_total"))
-        .select(block, F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias(name))
+        .agg(*[v.alias(n) for n, v in values.items()])
+        .select(block, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_ahead_{n}") for n in values])
     )
 
 
 def running_total(df: DataFrame, block: str, order: str, values: dict[str, Column]) -> DataFrame:
     """Running sums along ``order``.
 
-    ``block`` must rise with ``order``. ``values`` maps each new column to
-    the amount it adds up; ``order`` must be unique, or peers would be cut.
+    ``block`` must rise with ``order``, which must be unique, or peers would
+    be cut. ``values`` maps each new column to the amount it adds up. ``df``
+    is computed once and checkpointed, as its rows are read twice.
     """
-    for name, value in values.items():
-        df = df.withColumn(f"_v_{name}", value)
+    held = df.withColumns({f"_v_{n}": v for n, v in values.items()}).checkpoint()
+    ahead = _ahead(held, block, {n: F.sum(f"_v_{n}") for n in values})
     local = W.partitionBy(block).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = df
-    for name in values:
-        ahead = _before(df, block, F.sum(f"_v_{name}"), f"_ahead_{name}")
-        out = out.join(F.broadcast(ahead), block)  # one row per block
-    return out.select(
-        *[c for c in df.columns if not c.startswith("_v_")],
+    return held.join(F.broadcast(ahead), block).select(  # one row per block
+        *df.columns,
         *[(F.sum(f"_v_{n}").over(local) + F.col(f"_ahead_{n}")).alias(n) for n in values],
     )
 
@@ -60,11 +57,11 @@ def running_total(df: DataFrame, block: str, order: str, values: dict[str, Colum
 def numbered(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
     """Number rows 0, 1, 2 … in the order of ``order`` (unique together)."""
     blocked = range_blocks(df, *order)
-    ahead = _before(blocked, BLOCK, F.count(F.lit(1)), "_ahead")
+    ahead = _ahead(blocked, BLOCK, {"rows": F.count(F.lit(1))})
     local = W.partitionBy(BLOCK).orderBy(*order)
     return blocked.join(F.broadcast(ahead), BLOCK).select(  # one row per block
         *df.columns,
-        (F.row_number().over(local) - 1 + F.col("_ahead")).cast("long").alias(name),
+        (F.row_number().over(local) - 1 + F.col("_ahead_rows")).cast("long").alias(name),
     )
 
 

@@ -16,6 +16,7 @@ from tidemill.functions.text import (
     mixed_date,
     money_text,
 )
+from tidemill.session import stored
 
 BRONZE_METADATA = ["_source_file", "_source_sheet", "_ingested_at"]
 
@@ -54,9 +55,10 @@ def gold_portfolio(holdings: DataFrame, prices: DataFrame) -> DataFrame:
     """Market value, cost, profit and weight of every position.
 
     The join is on the ticker alone: a symbol with prices on several dates
-    gives one row per date. See ``gold_portfolio_latest`` for one row.
+    gives one row per date. See ``gold_portfolio_latest`` for one row. The
+    joined rows are stored, as their total is needed before their weights.
     """
-    positions = holdings.join(prices, F.col("Ticker") == F.col("Symbol")).select(
+    joined = holdings.join(prices, F.col("Ticker") == F.col("Symbol")).select(
         "Ticker",
         "Company_Name",
         "Sector",
@@ -68,6 +70,7 @@ def gold_portfolio(holdings: DataFrame, prices: DataFrame) -> DataFrame:
         F.round(F.col("Shares_Held") * F.col("Close"), 2).alias("Market_Value"),
         F.round(F.col("Shares_Held") * F.col("Cost_Basis"), 2).alias("Cost_Value"),
     ).withColumn("Unrealized_PnL", F.round(F.col("Market_Value") - F.col("Cost_Value"), 2))
+    positions = stored(joined, "positions")
     return positions.withColumn("Weight_Pct", share_of_total(positions, "Market_Value"))
 
 

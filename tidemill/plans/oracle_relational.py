@@ -43,8 +43,8 @@ CUSTOMER_SPEND = f"""
 """
 
 DAILY = f"""
-    SELECT c_mktsegment AS segment, o_orderdate, SUM(CAST(o_totalprice AS {M})) AS daily
-    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment, o_orderdate
+    SELECT c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS o_orderdate, SUM(CAST(o_totalprice AS {M})) AS daily
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
 """
 
 SQL = {

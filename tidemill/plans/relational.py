@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.latest import ranked_per_key
+from tidemill.functions.latest import first_rows, ranked_per_key
 from tidemill.functions.money import amount, average, exact_sum, mean, ratio, total
 from tidemill.functions.ordered import running_total
 from tidemill.tables import Tables
@@ -42,9 +42,10 @@ def staging_orders(t: Tables) -> DataFrame:
     return t.orders.select([F.col(old).alias(new) for old, new in names.items()])
 
 
-def working_orders(t: Tables) -> DataFrame:
+def working_orders(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Orders with their customer's name, segment and nation: the nine columns used by the file reports."""
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    orders = t.orders if orders is None else orders
+    return orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
@@ -58,8 +59,8 @@ def working_orders(t: Tables) -> DataFrame:
 
 
 def sample_orders(t: Tables, rows: int = 100_000) -> DataFrame:
-    """A bounded working set; ordered, so the same rows come back every time."""
-    return working_orders(t).orderBy("order_id").limit(rows)
+    """A bounded working set: the first orders by key, so the same rows come back every time."""
+    return working_orders(t, first_rows(t.orders, "o_orderkey", rows))
 
 
 def distinct_segments(t: Tables) -> DataFrame:
@@ -373,13 +374,16 @@ def priority_rank_by_year(t: Tables, n: int = 3) -> DataFrame:
     return ranked_per_key(counts, ["order_year"], [F.desc("order_count")], n, "rank_in_year")
 
 
-def daily_revenue(t: Tables) -> DataFrame:
-    """Revenue per segment and day: one row per segment and calendar day.
+def _customer_days(t: Tables) -> DataFrame:
+    """Orders added up per customer and calendar day, which takes the skew off the customer key."""
+    return t.orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("o_orderdate")).agg(
+        exact_sum("o_totalprice").alias("value")
+    )
 
-    Orders are added up per customer and day first, which takes the skew off
-    the customer key.
-    """
-    per_key = t.orders.groupBy("o_custkey", "o_orderdate").agg(exact_sum("o_totalprice").alias("value"))
+
+def daily_revenue(t: Tables) -> DataFrame:
+    """Revenue per segment and day: one row per segment and calendar day."""
+    per_key = _customer_days(t)
     return (
         per_key.join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_mktsegment").alias("segment"), "o_orderdate")
@@ -393,7 +397,7 @@ def cumulative_revenue(t: Tables, segment: str = "BUILDING") -> DataFrame:
     Running sums are taken inside a month and lifted by the months before
     it, so no window spans the whole history.
     """
-    per_key = t.orders.groupBy("o_custkey", "o_orderdate").agg(exact_sum("o_totalprice").alias("value"))
+    per_key = _customer_days(t)
     wanted = t.customer.filter(F.col("c_mktsegment") == segment).select("c_custkey")
     days = (
         per_key.join(wanted, F.col("o_custkey") == F.col("c_custkey"))
@@ -429,7 +433,7 @@ def lead_daily_revenue(t: Tables) -> DataFrame:
 
 def moving_avg_7d(t: Tables, days: int = 7) -> DataFrame:
     """Mean daily revenue over the last ``days`` calendar days, per segment."""
-    day_no = F.unix_date(F.col("o_orderdate").cast("date"))
+    day_no = F.unix_date("o_orderdate")
     span = W.partitionBy("segment").orderBy("_day").rangeBetween(-(days - 1), 0)
     return (
         daily_revenue(t)
