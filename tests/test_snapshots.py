@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemill.session import work_path
+from tidemill.sources import managed, snapshots
+
+
+@pytest.fixture
+def path(spark):
+    return work_path(spark, "test")
+
+
+def table(spark, n=40):
+    return spark.range(n).select("id", F.concat(F.lit("p"), F.col("id") % 5).alias("p"), (F.col("id") * 1.5).alias("v"))
+
+
+def test_update_keeps_old_versions(spark, path):
+    df = table(spark)
+    assert snapshots.commit(df, path, ["p"], slices=8) == 0
+    before = datetime.now(timezone.utc)
+    assert snapshots.update_where(spark, path, F.col("p") == "p1", {"p": F.lit("x"), "v": F.col("v") + 1}) == 1
+    assert rows(snapshots.read_as_of(spark, path, 0)) == rows(df)
+    assert rows(snapshots.read_as_of(spark, path, timestamp=before)) == rows(df)
+    now = snapshots.read_as_of(spark, path)
+    assert now.count() == 40 and now.filter("p = 'x'").count() == 8
+    assert rows(now.filter("p <> 'x'")) == rows(df.filter("p <> 'p1'"))
+    # a row keeps its slice, so a second change still finds it
+    assert snapshots.update_where(spark, path, F.col("p") == "x", {"p": F.lit("y")}) == 2
+    assert snapshots.read_as_of(spark, path).filter("p = 'y'").count() == 8
+    assert rows(snapshots.history(spark, path).select("version", "operation", "rows_changed")) == [
+        (0, "WRITE", 0), (1, "UPDATE", 8), (2, "UPDATE", 8),
+    ]
+    assert rows(snapshots.diff_counts(spark, path, 0, 2, "p").filter("old_rows <> new_rows")) == [("p1", 8, 0), ("y", 0, 8)]
+
+
+def test_update_rewrites_only_what_it_touches(spark, path):
+    snapshots.commit(table(spark, 400), path, ["p"], slices=64)
+    snapshots.update_where(spark, path, F.col("p") == "p1", {"v": F.lit(0.0)})
+    written = {r.version: r.rows_written for r in snapshots.history(spark, path).collect()}
+    assert written[0] == 400 and 80 <= written[1] < 400
+
+
+def test_update_without_a_match(spark, path):
+    snapshots.commit(table(spark), path, ["p"])
+    assert snapshots.update_where(spark, path, F.col("p") == "none", {"v": F.lit(0.0)}) == 1
+    assert rows(snapshots.read_as_of(spark, path)) == rows(table(spark))
+    assert rows(snapshots.read_as_of(spark, path, 1)) == rows(table(spark))
+
+
+def test_files_without_a_log_line_are_not_read(spark, path):
+    snapshots.commit(table(spark), path, ["p"])
+    table(spark).withColumn("_slice", F.lit(0)).write.partitionBy("_slice").parquet(f"{path}/data/_version=1-dead")
+    assert snapshots.read_as_of(spark, path).count() == 40
+    with pytest.raises(ValueError, match="no version 1"):
+        snapshots.read_as_of(spark, path, 1)
+
+
+def test_upsert_is_last_write_wins_and_idempotent(spark, path):
+    order = [F.desc("at")]
+    first = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("a", 2, "y")], "k string, at int, v string")
+    snapshots.upsert(first, path, ["k"], order, tag="batch-0")
+    assert rows(snapshots.read_as_of(spark, path)) == [("a", 2, "y"), ("b", 1, "x")]
+    second = spark.createDataFrame([("b", 3, "z"), ("c", 1, "x"), ("a", 1, "late")], "k string, at int, v string")
+    v = snapshots.upsert(second, path, ["k"], order, tag="batch-1")
+    want = [("a", 2, "y"), ("b", 3, "z"), ("c", 1, "x")]
+    assert rows(snapshots.read_as_of(spark, path)) == want
+    assert snapshots.upsert(first, path, ["k"], order, tag="batch-1") == v
+    assert rows(snapshots.read_as_of(spark, path)) == want
+    with pytest.raises(ValueError, match="key"):
+        snapshots.update_where(spark, path, F.lit(True), {"k": F.lit("q")})
+
+
+def test_append_is_checked_before_writing(spark, path):
+    schema = table(spark).schema
+    managed.append_enforced(table(spark), path, schema)
+    bad = spark.createDataFrame([("x", "p1", 1.0)], "id string, p string, v double")
+    with pytest.raises(managed.SchemaMismatch, match="column id is string, table has bigint"):
+        managed.append_enforced(bad, path, schema)
+    with pytest.raises(managed.SchemaMismatch, match="missing column v"):
+        managed.append_enforced(table(spark).drop("v"), path, schema)
+    assert spark.read.parquet(path).count() == 40
+
+
+def test_named_tables(spark, path):
+    df = managed.create_or_replace(table(spark), "t_named", ["p"], path)
+    assert df.count() == 40
+    assert managed.tables_in(spark, "default").filter("tableName = 't_named'").count() == 1
+    assert managed.describe(spark, "t_named").filter("col_name = 'Provider'").first().data_type == "parquet"
+    assert spark.sql("SHOW CATALOGS").count() >= 1
+    managed.drop(spark, "t_named")
+    assert not spark.catalog.tableExists("t_named")
