@@ -107,11 +107,12 @@ def fit_als(train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, re
 
 def top_items(model: ALSModel, users: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
     """The best ``k`` items per user under the original ids; items already seen may appear."""
-    recs = model.recommendForAllUsers(k).select("user_idx", F.inline("recommendations"))
-    return (
-        recs.join(users, "user_idx").join(items, "item_idx")
-        .select("user_id", "item_id", F.col("rating").cast("double").alias("score"))
-    )
+    recs = dot_topk(
+        model.userFactors.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("vec")),
+        model.itemFactors.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("vec")),
+        k,
+    ).select(F.col("user_id").alias("user_idx"), F.col("item_id").alias("item_idx"), "score")
+    return recs.join(users, "user_idx").join(items, "item_idx").select("user_id", "item_id", "score")
 
 
 def without_seen(recommendations: DataFrame, train: DataFrame) -> DataFrame:
