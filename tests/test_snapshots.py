@@ -94,3 +94,15 @@ def test_named_tables(spark, path):
     assert spark.sql("SHOW CATALOGS").count() >= 1
     managed.drop(spark, "t_named")
     assert not spark.catalog.tableExists("t_named")
+
+
+def test_empty_batches_and_many_versions(spark, path):
+    order = [F.desc("at")]
+    rows_in = spark.createDataFrame([("a", 1)], "k string, at int")
+    snapshots.upsert(rows_in, path, ["k"], order, tag="b0", slices=4)
+    snapshots.upsert(rows_in.limit(0), path, ["k"], order, tag="b1")
+    snapshots.upsert(rows_in.withColumn("at", F.lit(5)), path, ["k"], order, tag="b2")
+    assert rows(snapshots.read_as_of(spark, path)) == [("a", 5)]
+    assert rows(snapshots.read_as_of(spark, path, 1)) == [("a", 1)]
+    with pytest.raises(ValueError, match="no table"):
+        snapshots.read_as_of(spark, path + "-none")

@@ -55,11 +55,15 @@ def relevance(content: Column, category: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.concat_ws("/", content, category)), F.lit(1.0))
 
 
-def time_bonus(timestamp: Column) -> Column:
-    """By the hour as written in the message; text that is not a time counts 1.0."""
-    hour = F.when(
+def message_hour(timestamp: Column) -> Column:
+    """The hour as written in the message; null if the text is not a time."""
+    return F.when(
         F.try_to_timestamp(timestamp).isNotNull(), F.regexp_extract(timestamp, r"[T ](\d{2}):", 1).try_cast("int")
     )
+
+
+def time_bonus(hour: Column) -> Column:
+    """The bonus of the window that holds the hour, 1.0 outside all of them and for null."""
     bonus = F.lit(1.0)
     for first, after, value in TIME_BONUS:
         bonus = F.when((hour >= first) & (hour < after), F.lit(value)).otherwise(bonus)
@@ -82,8 +86,10 @@ def with_scores(opportunities: DataFrame) -> DataFrame:
 
     A bid is valid if it has a positive amount.
     """
-    factors = {"time_bonus": time_bonus(F.col("timestamp")), "device_bonus": device_bonus(F.col("device_type"))}
-    base = evaluated_once(opportunities.filter(F.exists("bids", _valid)), factors)
+    timed = evaluated_once(opportunities.filter(F.exists("bids", _valid)), {"_hour": message_hour(F.col("timestamp"))})
+    base = evaluated_once(
+        timed, {"time_bonus": time_bonus(F.col("_hour")), "device_bonus": device_bonus(F.col("device_type"))}
+    )
 
     def score(bid: Column) -> Column:
         fit = relevance(F.col("content_category"), bid["category"])
@@ -146,13 +152,15 @@ def win_counts(results: DataFrame, by: list[str] | None = None) -> DataFrame:
 def latency(results: DataFrame, started: str, finished: str, by: str) -> DataFrame:
     """Seconds from message to result, and results per second, per group."""
 
-    def seconds(c: str) -> Column:
+    def millis(c: str) -> Column:
         return F.unix_millis(F.try_to_timestamp(F.col(c)))
 
-    span = (F.max(seconds(finished)) - F.min(seconds(started))) / 1000
-    return results.groupBy(by).agg(
+    timed = evaluated_once(results.select(by, started, finished), {"_from": millis(started), "_to": millis(finished)})
+    taken = F.col("_to") - F.col("_from")
+    span = (F.max("_to") - F.min("_from")) / 1000
+    return timed.groupBy(by).agg(
         F.count("*").alias("results"),
-        F.round(F.avg(seconds(finished) - seconds(started)) / 1000, 6).alias("avg_latency_s"),
-        F.round(F.max(seconds(finished) - seconds(started)) / 1000, 3).alias("max_latency_s"),
+        F.round(F.avg(taken) / 1000, 6).alias("avg_latency_s"),
+        F.round(F.max(taken) / 1000, 3).alias("max_latency_s"),
         F.round(F.count("*") / F.nullif(span, F.lit(0.0)), 9).alias("results_per_s"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.latest import first_per_key, top_per_key
 from tidemill.functions.ordered import last_known, numbered
+from tidemill.functions.vectors import dot, sigmoid
 
 # What an event is worth. Every other kind counts 1.
 EVENT_WEIGHTS = {"purchase": 3, "click": 2}
@@ -106,15 +107,31 @@ def fit_als(train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, re
 
 
 def top_items(model: ALSModel, users: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
-    """The best ``k`` items per user under the original ids; items already seen may appear."""
+    """The best ``k`` items for each of ``users``, under the original ids.
+
+    ``users`` may be all of the id table or the part to predict for. Items a
+    user has already met may appear.
+    """
+    wanted = users.select(F.col("user_idx").cast("int").alias("id"))
     recs = dot_topk(
-        model.userFactors.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("vec")),
+        model.userFactors.join(wanted, "id", "left_semi").select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("vec")),
         model.itemFactors.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("vec")),
         k,
     ).select(F.col("user_id").alias("user_idx"), F.col("item_id").alias("item_idx"), "score")
     return recs.join(users, "user_idx").join(items, "item_idx").select("user_id", "item_id", "score")
 
 
+def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, weight: float = 1.0,
+                bias: float = 0.0) -> DataFrame:
+    """Probability for given (user, item) pairs: a logistic layer over the dot product of their vectors."""
+    return (
+        pairs.join(users.withColumnRenamed("vec", "_u"), "user_id")
+        .join(items.withColumnRenamed("vec", "_v"), "item_id")
+        .withColumn("score", sigmoid(F.lit(weight) * dot("_u", "_v") + F.lit(bias)))
+        .drop("_u", "_v")
+    )
+
+
 def without_seen(recommendations: DataFrame, train: DataFrame) -> DataFrame:
     """Leave out items the user has already met."""
     return recommendations.join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")

@@ -150,6 +150,11 @@ SQL = {
                        ROUND(LIST_DOT_PRODUCT(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 9) AS score
                 FROM embeddings u CROSS JOIN embeddings i))
         WHERE place <= 10""",
+    "pair_scores": """
+        SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+               ROUND(1 / (1 + EXP(-(2.0::DOUBLE * LIST_DOT_PRODUCT(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[]))
+                                    - 0.5::DOUBLE))), 9) AS score
+        FROM embeddings u JOIN embeddings i ON i.vec_id = u.vec_id + 1""",
     "promotion_decision": f"""
         SELECT 'by_score' AS champion, 'by_users' AS challenger, a.hit_rate AS champion_value, b.hit_rate AS challenger_value,
                b.hit_rate > a.hit_rate AS promoted, CASE WHEN b.hit_rate > a.hit_rate THEN 'by_users' ELSE 'by_score' END AS next_champion,

@@ -503,6 +503,14 @@ def dot_product_topk(t: Tables) -> DataFrame:
     return recommend.dot_topk(users, items)
 
 
+def pair_scores(t: Tables) -> DataFrame:
+    """Every vector scored against the one that follows it."""
+    users = t.embeddings.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vec"))
+    items = t.embeddings.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vec"))
+    pairs = users.select("user_id", (F.col("user_id") + 1).alias("item_id"))
+    return recommend.score_pairs(pairs, users, items, weight=2.0, bias=-0.5).withColumn("score", F.round("score", 9))
+
+
 def _als(t: Tables) -> tuple[DataFrame, DataFrame]:
     """ALS recommendations and the holdout."""
     features, users, items = recommend.indexed_features(stored(_features(t), "features"))
@@ -546,6 +554,7 @@ job(hit_rate)
 job(negative_samples)
 job(training_pairs)
 job(dot_product_topk)
+job(pair_scores)
 job(lambda t: _als(t)[0], "als_top_items")
 job(als_hit_rate)
 job(run_log)

@@ -99,6 +99,13 @@ def export_csv(df: DataFrame, folder: str, name: str, drop: list[str], one_file_
     return path
 
 
+def decimals_as_doubles(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles, for readers that calculate and plot."""
+    return df.select(
+        *[F.col(c).cast("double").alias(c) if kind.startswith("decimal") else F.col(c) for c, kind in df.dtypes]
+    )
+
+
 def capture_raw(df: DataFrame, source_file: str, source_sheet: str) -> DataFrame:
     """Every column as text under a space-free name, plus where and when it came from."""
     return df.select(

@@ -11,8 +11,12 @@ and keeps it. A version writes only the slices it changes; reading version
 written last, in one file, so a write that dies half-way leaves only files
 that no reader opens. One writer at a time.
 
-The number of slices is fixed when the table is made, so the log holds at
-most versions x slices rows and may be looked up on the driver.
+The number of slices is fixed when the table is made. What the driver looks
+up is at most one log row per slice; versions are resolved on Spark.
+
+An update costs the slices it touches. A stream whose keys fall everywhere
+touches them all: for a large store it is cheaper to append (``run_to_files``)
+and let readers take ``latest_per_key``.
 """
 
 from __future__ import annotations
@@ -36,30 +40,31 @@ LOG_SCHEMA = (
 )
 
 
-def _log_rows(spark: SparkSession, path: str) -> list:
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log").collect()
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log")
     except Exception as err:
         if "PATH_NOT_FOUND" in str(err):
-            return []
+            return None
         raise
 
 
+def _newest(log: DataFrame) -> list:
+    """For every slice its newest log row: at most one row per slice reaches the driver."""
+    return first_per_key(log, ["slice"], [F.desc("version")]).collect()
+
+
 def _open(spark: SparkSession, path: str, entries: list) -> DataFrame:
-    """The newest folder of every slice among ``entries``, with the slice column."""
-    newest: dict[int, object] = {}
-    for e in sorted(entries, key=lambda e: e.version):
-        newest[e.slice] = e
-    newest.pop(NO_SLICE, None)
-    if not newest:
+    """The rows of the given slices, with the slice column."""
+    held = [e for e in entries if e.slice != NO_SLICE]
+    if not held:
         raise ValueError(f"no such version of {path}")
-    schema = T.StructType.fromJson(json.loads(max(newest.values(), key=lambda e: e.version).row_schema))
-    folders = [e.folder for e in newest.values() if e.folder]
+    schema = T.StructType.fromJson(json.loads(max(held, key=lambda e: e.version).row_schema))
     full = schema.add(SLICE, T.IntegerType())
+    folders = [e.folder for e in held if e.folder]
     if not folders:
         return spark.createDataFrame([], full)
-    rows = spark.read.option("basePath", f"{path}/data").schema(full).parquet(*folders)
-    return rows.select(*full.names)
+    return spark.read.option("basePath", f"{path}/data").schema(full).parquet(*folders).select(*full.names)
 
 
 def _write(rows: DataFrame, path: str, version: int, operation: str, tag: str, touched: dict[int, int],
@@ -99,10 +104,11 @@ def commit(df: DataFrame, path: str, slice_by: list[str], operation: str = "WRIT
     """
     if not 1 <= slices <= MAX_SLICES:
         raise ValueError(f"slices must be 1 to {MAX_SLICES}")
-    known = _log_rows(df.sparkSession, path)
-    if known:
-        slices, slice_by, keyed = known[0].slices, known[0].sliced_by, known[0].keyed
-    version = max((e.version for e in known), default=-1) + 1
+    log = _log(df.sparkSession, path)
+    version = 0
+    if log is not None:
+        first = log.orderBy(F.desc("version")).first()
+        version, slices, slice_by, keyed = first.version + 1, first.slices, first.sliced_by, first.keyed
     rows = df.withColumn(SLICE, _slice_of(slice_by, slices)).select(*df.columns, SLICE)
     return _write(rows, path, version, operation, tag, dict.fromkeys(range(slices), 0), slices, slice_by, keyed)
 
@@ -110,14 +116,16 @@ def commit(df: DataFrame, path: str, slice_by: list[str], operation: str = "WRIT
 def read_as_of(spark: SparkSession, path: str, version: int | None = None,
                timestamp: datetime | None = None) -> DataFrame:
     """The rows of one version, or of the newest version at a time; else the current rows."""
-    entries = _log_rows(spark, path)
+    log = _log(spark, path)
+    if log is None:
+        raise ValueError(f"no table at {path}")
     if timestamp is not None:
-        entries = [e for e in entries if e.committed_us <= timestamp.timestamp() * 1_000_000]
+        log = log.filter(F.col("committed_us") <= int(timestamp.timestamp() * 1_000_000))
     if version is not None:
-        if version not in {e.version for e in entries}:
+        if log.filter(F.col("version") == version).isEmpty():
             raise ValueError(f"no version {version} of {path}")
-        entries = [e for e in entries if e.version <= version]
-    return _open(spark, path, entries).drop(SLICE)
+        log = log.filter(F.col("version") <= version)
+    return _open(spark, path, _newest(log)).drop(SLICE)
 
 
 def update_where(spark: SparkSession, path: str, predicate: Column, assignments: dict[str, Column]) -> int:
@@ -126,7 +134,7 @@ def update_where(spark: SparkSession, path: str, predicate: Column, assignments:
     Slices without a matching row are not rewritten; the rest of the table
     is shared with the version before.
     """
-    entries = _log_rows(spark, path)
+    entries = _newest(_log(spark, path))
     first = entries[0]
     if first.keyed and set(assignments) & set(first.sliced_by):
         raise ValueError("the key of a keyed table cannot be updated")
@@ -160,17 +168,21 @@ def upsert(updates: DataFrame, path: str, key: list[str], order: list[Column], t
     that is delivered again has no effect.
     """
     spark = updates.sparkSession
-    entries = _log_rows(spark, path)
-    if tag and any(e.tag == tag for e in entries):
-        return max(e.version for e in entries)
-    if not entries:
-        first_rows = first_per_key(updates, key, order)
-        return commit(first_rows, path, key, "UPSERT", slices, keyed=True, tag=tag)
+    log = _log(spark, path)
+    if log is not None and tag:
+        done = log.filter(F.col("tag") == tag).select("version").first()
+        if done:
+            return done.version
+    # one evaluation of the updates, whatever is asked of them below
+    fresh = first_per_key(updates, key, order).checkpoint()
+    if log is None:
+        return commit(fresh, path, key, "UPSERT", slices, keyed=True, tag=tag)
+    entries = _newest(log)
     first = entries[0]
     if not first.keyed or list(first.sliced_by) != key:
         raise ValueError(f"{path} is not keyed by {key}")
     version = max(e.version for e in entries) + 1
-    fresh = first_per_key(updates, key, order).withColumn(SLICE, _slice_of(key, first.slices)).checkpoint()
+    fresh = fresh.withColumn(SLICE, _slice_of(key, first.slices))
     counts = fresh.groupBy(SLICE).agg(F.count("*").alias("n")).collect()  # one row per slice
     touched = {r[SLICE]: r["n"] for r in counts}
     current = _open(spark, path, entries)

@@ -56,6 +56,17 @@ def to_messages(df: DataFrame, key: Column, fields: list[str]) -> DataFrame:
     return df.select(key.alias("key"), F.to_json(F.struct(*fields)).alias("value"))
 
 
+def start_to_topic(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Send keyed messages on to another topic. Needs the Kafka package."""
+    return (
+        messages.select("key", "value").writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def run_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what is there to parquet files, exactly once, then stop."""
     query = (
@@ -81,8 +92,7 @@ def upsert_sink(path: str, key: list[str], order: list[Column], slices: int = 16
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if not rows.isEmpty():
-            snapshots.upsert(rows, path, key, [F.desc("batch_id"), *order], tag=f"batch-{batch_id}", slices=slices)
+        snapshots.upsert(rows, path, key, [F.desc("batch_id"), *order], tag=f"batch-{batch_id}", slices=slices)
 
     return write
 
