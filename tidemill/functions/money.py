@@ -1,7 +1,9 @@
 """Money arithmetic that gives the same cents for every row order.
 
 Double sums depend on the order rows arrive in, so two runs of one job can
-differ in the last bits. Amounts are added as decimals and shown as doubles.
+differ in the last bits. Amounts are added as whole cents in 64-bit integers:
+exact, and several times faster than decimals. A sum beyond 9.2e16 units
+raises an overflow error (ANSI mode) rather than give a wrong figure.
 """
 
 from __future__ import annotations
@@ -9,35 +11,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
 
-
-def amount(c: str | Column) -> Column:
-    """The value as an exact two-digit decimal."""
-    return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+def cents(c: str | Column) -> Column:
+    """An amount in whole cents."""
+    return F.rint((F.col(c) if isinstance(c, str) else c) * 100).cast("long")
 
 
 def exact_sum(c: str | Column) -> Column:
-    """Decimal sum, for partial results that are added up again later."""
-    return F.sum(amount(c))
+    """Sum in cents, which may be added up again later."""
+    return F.sum(cents(c))
 
 
-def total(c: str | Column) -> Column:
-    """Sum of an amount, as a double of whole cents."""
-    return exact_sum(c).cast("double")
+def shown(in_cents: Column) -> Column:
+    """Cents as an amount: the double nearest to the exact value."""
+    return (in_cents.cast("decimal(38,0)") / F.lit(100).cast("decimal(3,0)")).cast("double")
 
 
-def mean(c: str | Column, digits: int = 2) -> Column:
-    """Average of an amount; null over no rows."""
-    return average(exact_sum(c), F.count(c), digits)
+def total(c: str | Column) -> Column:
+    return shown(exact_sum(c))
 
 
-def average(added: Column, count: Column, digits: int = 2) -> Column:
-    """A decimal sum over a count, divided and rounded as decimals, shown as a double.
+def average(in_cents: Column, count: Column, digits: int = 2) -> Column:
+    """A sum in cents over a count; divided and rounded as decimals, null over no rows.
 
     In doubles an average that ends in half a cent may fall to either side.
     """
-    return F.round(added / F.nullif(count.cast("decimal(20,0)"), F.lit(0)), digits).cast("double")
+    parts = F.nullif(count, F.lit(0)).cast("decimal(18,0)") * 100
+    return F.round(in_cents.cast("decimal(38,0)") / parts, digits).cast("double")
+
+
+def mean(c: str | Column, digits: int = 2) -> Column:
+    return average(exact_sum(c), F.count(c), digits)
 
 
 def ratio(num: Column, den: Column, digits: int = 2) -> Column:

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.money import total
+
 
 class ExpectationFailed(AssertionError):
     """A rule that must hold was violated."""
@@ -95,7 +97,7 @@ def singular(violations: DataFrame) -> DataFrame:
 def total_off_target(df: DataFrame, column: str, target: float, tolerance: float) -> DataFrame:
     """One row if the column's total is off its target by more than the tolerance, else none."""
     return (
-        df.agg(F.sum(F.col(column).cast("decimal(38,2)")).cast("double").alias("total"))
+        df.agg(total(column).alias("total"))
         .withColumn("drift", F.abs(F.col("total") - F.lit(target)))
         .filter(F.col("drift") > tolerance)
     )

@@ -20,6 +20,7 @@ OTHER_WEIGHT = 1
 # The factorisation's settings.
 RANK, ITERATIONS, REGULARISATION, SEED = 20, 10, 0.1, 42
 TOP = 10
+BLOCK_PAIRS = 500_000
 
 
 def feature_table(events: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
@@ -95,8 +96,14 @@ def hit_rate(recommendations: DataFrame, holdout: DataFrame) -> DataFrame:
 
 def fit_als(train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REGULARISATION,
             seed: int = SEED) -> ALSModel:
-    """Implicit-feedback factorisation on ``user_idx`` and ``item_idx``."""
+    """Implicit-feedback factorisation on ``user_idx`` and ``item_idx``.
+
+    The number of blocks follows the number of pairs: the library's fixed ten
+    are too few for a large table and mostly overhead for a small one.
+    """
+    blocks = min(512, max(1, -(-train.count() // BLOCK_PAIRS)))
     als = ALS(
+        numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="user_idx", itemCol="item_idx", ratingCol="interaction_score", implicitPrefs=True,
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, coldStartStrategy="drop",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.latest import ranked_per_key
-from tidemill.functions.money import amount, average, exact_sum
+from tidemill.functions.money import average, exact_sum, shown, total
 from tidemill.session import work_path
 from tidemill.sources.files import write_partitioned
 from tidemill.tables import Tables
@@ -36,7 +36,7 @@ def customer_360(t: Tables) -> DataFrame:
             F.col("n_name").alias("nation"),
             F.col("r_name").alias("region"),
             F.coalesce("orders", F.lit(0)).alias("total_orders"),
-            F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
+            F.coalesce(shown(F.col("revenue")), F.lit(0.0)).alias("total_revenue"),
             average(F.col("revenue"), F.col("orders")).alias("avg_order_value"),
             "first_order_date",
             "last_order_date",
@@ -55,14 +55,14 @@ def segment_report(c360: DataFrame, accuracy: int = 10_000) -> DataFrame:
         c360.groupBy("segment")
         .agg(
             F.count("*").alias("num_customers"),
-            F.sum(amount("total_revenue")).alias("_revenue"),
+            exact_sum("total_revenue").alias("_revenue"),
             F.sum("total_orders").alias("_orders"),
             F.percentile_approx("customer_tenure_days", 0.5, accuracy).alias("median_tenure_days"),
         )
         .select(
             "segment",
             "num_customers",
-            F.col("_revenue").cast("double").alias("total_revenue"),
+            shown(F.col("_revenue")).alias("total_revenue"),
             average(F.col("_revenue"), F.col("_orders")).alias("avg_order_value"),
             "median_tenure_days",
         )
@@ -94,7 +94,7 @@ def customer_360_checks(c360: DataFrame) -> DataFrame:
 def region_summary(rows: DataFrame) -> DataFrame:
     """The query that is run on the plain and on the partitioned copy."""
     return rows.groupBy("region", "segment").agg(
-        F.count("*").alias("customers"), F.sum(amount("total_revenue")).cast("double").alias("revenue")
+        F.count("*").alias("customers"), total("total_revenue").alias("revenue")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.latest import first_per_key
-from tidemill.functions.money import amount
+from tidemill.functions.money import total
 from tidemill.functions.text import (
     NO_CHANGE_MARK,
     NO_PRICE_MARK,
@@ -82,16 +82,16 @@ def gold_portfolio_latest(holdings: DataFrame, prices: DataFrame) -> DataFrame:
 
 def share_of_total(df: DataFrame, value: str) -> Column:
     """``value`` in percent of its total over ``df``; the total is a scalar subquery."""
-    whole = df.agg(F.sum(amount(value)).cast("double").alias("whole")).scalar()
+    whole = df.agg(total(value).alias("whole")).scalar()
     return F.round(F.col(value) / F.nullif(whole, F.lit(0.0)) * 100, 2)
 
 
 def gold_sector_allocation(portfolio: DataFrame) -> DataFrame:
     """Value, shares, profit and share of the portfolio per sector."""
     sectors = portfolio.groupBy("Sector").agg(
-        F.sum(amount("Market_Value")).cast("double").alias("Sector_Value"),
+        total("Market_Value").alias("Sector_Value"),
         F.sum("Shares_Held").alias("Total_Shares"),
-        F.sum(amount("Unrealized_PnL")).cast("double").alias("Sector_PnL"),
+        total("Unrealized_PnL").alias("Sector_PnL"),
     )
     return sectors.withColumn("Allocation_Pct", share_of_total(sectors, "Sector_Value")).orderBy(
         F.desc("Sector_Value")

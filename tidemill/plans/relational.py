@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.latest import first_rows, ranked_per_key
-from tidemill.functions.money import amount, average, exact_sum, mean, ratio, total
+from tidemill.functions.money import average, exact_sum, mean, ratio, shown, total
 from tidemill.functions.ordered import running_total
 from tidemill.tables import Tables
 
@@ -175,7 +175,8 @@ def priority_avg_filter(t: Tables, floor: float = 150_000) -> DataFrame:
     per_priority = t.spark.sql(
         """
         SELECT o_orderpriority AS priority,
-               CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(18,2))) / COUNT(*), 2) AS DOUBLE) AS avg_order_value
+               CAST(ROUND(CAST(SUM(CAST(RINT(o_totalprice * 100) AS LONG)) AS DECIMAL(38,0)) / (100 * COUNT(*)), 2)
+                    AS DOUBLE) AS avg_order_value
         FROM {orders}
         GROUP BY o_orderpriority
         """,
@@ -226,7 +227,7 @@ def top_spenders(t: Tables, k: int = 10) -> DataFrame:
     return (
         spend_per_customer(t)
         .groupBy("c_name", "c_mktsegment")
-        .agg(F.sum("num_orders").alias("num_orders"), F.sum("spent").cast("double").alias("total_spent"))
+        .agg(F.sum("num_orders").alias("num_orders"), shown(F.sum("spent")).alias("total_spent"))
         .orderBy(F.desc("total_spent"), "c_name")
         .limit(k)
     )
@@ -245,7 +246,8 @@ def supplier_nations(t: Tables, k: int = 10) -> DataFrame:
     return t.spark.sql(
         """
         SELECT n.n_name AS nation, COUNT(s.s_suppkey) AS num_suppliers,
-               CAST(ROUND(SUM(CAST(s.s_acctbal AS DECIMAL(18,2))) / COUNT(s.s_acctbal), 2) AS DOUBLE) AS avg_balance
+               CAST(ROUND(CAST(SUM(CAST(RINT(s.s_acctbal * 100) AS LONG)) AS DECIMAL(38,0)) / (100 * COUNT(s.s_acctbal)), 2)
+                    AS DOUBLE) AS avg_balance
         FROM {supplier} s JOIN {nation} n ON s.s_nationkey = n.n_nationkey
         GROUP BY n.n_name
         ORDER BY num_suppliers DESC, nation
@@ -275,7 +277,7 @@ def nation_region_balance(t: Tables, k: int = 5) -> DataFrame:
         _suppliers_per_nation(t)
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy(F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
-        .agg(F.sum("balance").cast("double").alias("total_balance"))
+        .agg(shown(F.sum("balance")).alias("total_balance"))
         .orderBy(F.desc("total_balance"), "nation")
         .limit(k)
     )
@@ -286,7 +288,7 @@ def revenue_by_part_type(t: Tables, k: int = 10) -> DataFrame:
     return (
         per_part.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("p_type")
-        .agg(F.sum("revenue").cast("double").alias("total_revenue"))
+        .agg(shown(F.sum("revenue")).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "p_type")
         .limit(k)
     )
@@ -308,7 +310,7 @@ def segment_status_view(t: Tables) -> DataFrame:
     return t.spark.sql(
         """
         SELECT c_mktsegment, o_orderstatus, SUM(orders) AS order_count,
-               CAST(ROUND(SUM(value) / SUM(orders), 2) AS DOUBLE) AS avg_price
+               CAST(ROUND(CAST(SUM(value) AS DECIMAL(38,0)) / (100 * SUM(orders)), 2) AS DOUBLE) AS avg_price
         FROM customer_orders_view
         GROUP BY c_mktsegment, o_orderstatus
         ORDER BY c_mktsegment, order_count DESC
@@ -326,7 +328,7 @@ def above_average_customers(t: Tables, factor: float = 1.5, k: int = 15) -> Data
         "c_mktsegment",
         "num_orders",
         average(F.col("spent"), F.col("num_orders")).alias("avg_order_value"),
-        F.col("spent").cast("double").alias("total_spent"),
+        shown(F.col("spent")).alias("total_spent"),
     )
     overall = spend.agg(mean("avg_order_value").alias("global_avg")).scalar()
     return (
@@ -349,7 +351,7 @@ def segment_year_summary(t: Tables) -> DataFrame:
         .agg(
             F.sum("orders").alias("num_orders"),
             F.count_distinct("o_custkey").alias("unique_customers"),
-            F.sum("value").cast("double").alias("total_revenue"),
+            shown(F.sum("value")).alias("total_revenue"),
             average(F.sum("value"), F.sum("orders")).alias("avg_order_value"),
         )
     )
@@ -362,7 +364,7 @@ def top_by_segment(t: Tables, n: int = 5) -> DataFrame:
     per_name = (
         spend_per_customer(t)
         .groupBy("c_name", "c_mktsegment")
-        .agg(F.sum("spent").cast("double").alias("total_spent"))
+        .agg(shown(F.sum("spent")).alias("total_spent"))
     )
     return ranked_per_key(per_name, ["c_mktsegment"], [F.desc("total_spent")], n, "rank_in_segment")
 
@@ -387,7 +389,7 @@ def daily_revenue(t: Tables) -> DataFrame:
     return (
         per_key.join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_mktsegment").alias("segment"), "o_orderdate")
-        .agg(F.sum("value").cast("decimal(38,2)").alias("daily"))
+        .agg(F.sum("value").alias("daily"))
     )
 
 
@@ -402,7 +404,7 @@ def cumulative_revenue(t: Tables, segment: str = "BUILDING") -> DataFrame:
     days = (
         per_key.join(wanted, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("o_orderdate")
-        .agg(F.sum("value").cast("decimal(38,2)").alias("daily"))
+        .agg(F.sum("value").alias("daily"))
         .withColumn("_month", F.date_trunc("month", "o_orderdate"))
     )
     return running_total(
@@ -412,8 +414,8 @@ def cumulative_revenue(t: Tables, segment: str = "BUILDING") -> DataFrame:
         {"cumulative_revenue": F.col("daily"), "cumulative_days": F.lit(1).cast("long")},
     ).select(
         "o_orderdate",
-        F.col("daily").cast("double").alias("daily_revenue"),
-        F.col("cumulative_revenue").cast("double").alias("cumulative_revenue"),
+        shown(F.col("daily")).alias("daily_revenue"),
+        shown(F.col("cumulative_revenue")).alias("cumulative_revenue"),
         F.col("cumulative_days").cast("long").alias("cumulative_days"),
     )
 
@@ -425,9 +427,9 @@ def lead_daily_revenue(t: Tables) -> DataFrame:
     return daily_revenue(t).select(
         "segment",
         "o_orderdate",
-        F.col("daily").cast("double").alias("daily_revenue"),
-        following.cast("double").alias("next_revenue"),
-        (following - F.col("daily")).cast("double").alias("change"),
+        shown(F.col("daily")).alias("daily_revenue"),
+        shown(following).alias("next_revenue"),
+        shown(following - F.col("daily")).alias("change"),
     )
 
 
@@ -441,8 +443,8 @@ def moving_avg_7d(t: Tables, days: int = 7) -> DataFrame:
         .select(
             "segment",
             "o_orderdate",
-            F.col("daily").cast("double").alias("daily_revenue"),
-            (F.sum("daily").over(span).cast("double") / F.count("daily").over(span)).alias("avg_7d"),
+            shown(F.col("daily")).alias("daily_revenue"),
+            (shown(F.sum("daily").over(span)) / F.count("daily").over(span)).alias("avg_7d"),
         )
     )
 
@@ -457,7 +459,7 @@ def yearly_trends(t: Tables) -> DataFrame:
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("order_year", F.col("r_name").alias("region"))
-        .agg(F.sum("value").cast("double").alias("total_revenue"))
+        .agg(shown(F.sum("value")).alias("total_revenue"))
     )
     before = F.lag("total_revenue").over(W.partitionBy("region").orderBy("order_year"))
     return (
@@ -503,7 +505,7 @@ def above_group_average(df: DataFrame, group: str, value: str, average: DataFram
     )
     return (
         above.groupBy(group)
-        .agg(F.count("*").alias("num_above_avg"), mean(amount("above_by")).alias("avg_amount_above"))
+        .agg(F.count("*").alias("num_above_avg"), mean("above_by").alias("avg_amount_above"))
         .orderBy(F.desc("num_above_avg"))
     )
 

@@ -132,16 +132,21 @@ def tag_counts(rows: DataFrame, student: str | None) -> DataFrame:
     )
 
 
+def _mean_temperature() -> Column:
+    """Readings have one decimal: added as whole tenths, the mean does not depend on their order."""
+    tenths = F.sum(F.rint(F.col("temperature_c") * 10).cast("long"))
+    return tenths / 10 / F.nullif(F.count("temperature_c"), F.lit(0))
+
+
 def running_mean(rows: DataFrame) -> DataFrame:
     """Readings and mean temperature per sensor since the start.
 
     The state is a sum and a count per sensor, whatever the length of the
     stream, and each task adds up its own part before the shuffle.
     """
-    added = F.sum(F.col("temperature_c").cast("decimal(18,1)"))
     return rows.groupBy("sensor_id").agg(
         F.count("temperature_c").alias("readings"),
-        (added.cast("double") / F.nullif(F.count("temperature_c"), F.lit(0))).alias("avg_temperature"),
+        _mean_temperature().alias("avg_temperature"),
     )
 
 
@@ -151,13 +156,12 @@ def tumbling_mean(rows: DataFrame, window: str = "1 day", watermark: str = "1 ho
     A window is given out once the watermark has passed its end and its state
     is dropped; rows that come later than that are not counted.
     """
-    added = F.sum(F.col("temperature_c").cast("decimal(18,1)"))
     return (
         rows.withWatermark("at", watermark)
         .groupBy(F.window("at", window), "sensor_id")
         .agg(
             F.count("temperature_c").alias("readings"),
-            (added.cast("double") / F.nullif(F.count("temperature_c"), F.lit(0))).alias("avg_temperature"),
+            _mean_temperature().alias("avg_temperature"),
         )
         .select(
             F.col("window.start").cast("timestamp_ntz").alias("window_start"), "sensor_id", "readings", "avg_temperature"
