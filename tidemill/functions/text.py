@@ -13,7 +13,8 @@ EXCHANGE_PREFIX = r"^[A-Z]+:"
 MONEY_SIGNS = r"[\$,]"
 NOT_DIGITS = r"[^0-9]"
 US_DATE = r"^\d{2}/\d{2}/\d{4}$"
-DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy")
+ISO_FORMAT = "yyyy-MM-dd"
+US_FORMAT = "MM/dd/yyyy"
 
 
 def is_blank(c: Column) -> Column:
@@ -44,8 +45,12 @@ def digits_only(c: Column) -> Column:
 
 
 def mixed_date(c: Column) -> Column:
-    """The first of the known formats that reads the text; null if none does."""
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in DATE_FORMATS])
+    """A date in either known format; null if neither reads the text.
+
+    The shape picks the format. Trying one after the other would raise and
+    swallow an error inside the parser for every row of the second format.
+    """
+    return F.when(c.rlike(US_DATE), F.try_to_date(c, US_FORMAT)).otherwise(F.try_to_date(c, ISO_FORMAT))
 
 
 def iso_from_us_date(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.latest import first_per_key
 from tidemill.functions.money import total
+from tidemill.functions.once import evaluated_once
 from tidemill.functions.text import (
     NO_CHANGE_MARK,
     NO_PRICE_MARK,
@@ -41,13 +42,16 @@ def silver_holdings(bronze: DataFrame) -> DataFrame:
 
 def silver_prices(bronze: DataFrame) -> DataFrame:
     """Typed prices, one row per symbol and date; rows without a price are gone."""
-    clean = bronze.select(
+    raw = bronze.filter(~is_blank(F.col("Symbol")))
+    # the price is both a condition and a column
+    priced = evaluated_once(raw, {"_close": money_text(F.col("Close"), NO_PRICE_MARK)}).filter("_close IS NOT NULL")
+    clean = priced.select(
         F.trim("Symbol").alias("Symbol"),
         mixed_date(F.col("Date")).alias("Date"),
-        money_text(F.col("Close"), NO_PRICE_MARK).alias("Close"),
+        F.col("_close").alias("Close"),
         digits_only(F.col("Volume")).alias("Volume"),
         money_text(F.col("Change_Pct"), NO_CHANGE_MARK).alias("Change_Pct"),
-    ).filter(F.col("Close").isNotNull() & ~is_blank(F.col("Symbol")))
+    )
     return first_per_key(clean, ["Symbol", "Date"], _all_but(clean, ["Symbol", "Date"]))
 
 
