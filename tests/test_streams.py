@@ -103,7 +103,7 @@ def test_tag_filter(spark, tables):
 
 def test_kafka_source_needs_its_package(spark):
     with pytest.raises(Exception, match="kafka|Kafka"):
-        sensors.topic_source(spark, "localhost:1", "greenhouse-sensors")
+        sensors.topic_source(spark, "localhost:1", "readings")
     rate = spark.readStream.format("rate").load().selectExpr("'k' AS key", "'v' AS value")
     with pytest.raises(Exception, match="kafka|Kafka"):
-        sensors.start_to_topic(rate, "localhost:1", "greenhouse-alerts", work_path(spark, "cp"))
+        sensors.start_to_topic(rate, "localhost:1", "alerts", work_path(spark, "cp"))

@@ -43,7 +43,7 @@ def first_rows(df: DataFrame, key: str, n: int, buckets: int = 10_000) -> DataFr
     lo, hi, before = ends.lo, ends.hi, 0
     while hi > lo:
         width = (hi - lo) // buckets + 1
-        bucket = F.floor((F.col(key) - F.lit(lo)) / F.lit(width))
+        bucket = F.expr(f"(`{key}` - {lo}L) div {width}L")  # whole numbers: doubles would blur large keys
         counts = df.filter(F.col(key).between(lo, hi)).groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()
         found = None
         for b, rows in sorted((r.b, r.n) for r in counts):

@@ -38,7 +38,7 @@ def _cents_text(cents: Column, comma: Column) -> Column:
 
 
 def dirty_holdings(t: Tables) -> DataFrame:
-    """Custodian-style holdings text, one row per part with the usual defects."""
+    """Holdings text as a report gives it, one row per part with the usual defects."""
     k = F.col("p_partkey")
     blank_row = k % 50 == 0
     ticker = F.when(k % 53 == 0, F.lit("nan")).otherwise(

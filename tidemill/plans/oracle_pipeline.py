@@ -85,7 +85,7 @@ SECTORS = f"""
           FROM ({PORTFOLIO}) GROUP BY "Sector")
 """
 
-META_H = "'custodian_report' AS _source_file, 'Holdings' AS _source_sheet"
+META_H = "'holdings_report' AS _source_file, 'Holdings' AS _source_sheet"
 
 
 def _rule(name: str, source: str, cond: str) -> str:
@@ -142,7 +142,7 @@ SQL = {
         SELECT region, segment, COUNT(*) AS customers, {_sum('total_revenue')} AS revenue FROM ({C360}) GROUP BY 1, 2""",
     "bronze_capture": f"""
         SELECT *, {META_H} FROM ({HOLDINGS})
-        UNION ALL BY NAME SELECT *, 'custodian_report' AS _source_file, 'Prices' AS _source_sheet FROM ({PRICES})""",
+        UNION ALL BY NAME SELECT *, 'holdings_report' AS _source_file, 'Prices' AS _source_sheet FROM ({PRICES})""",
     "title_block_rows": HOLDINGS,
     "silver_holdings": SILVER_H,
     "silver_prices": SILVER_P,

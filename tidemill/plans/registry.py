@@ -221,11 +221,11 @@ job(lambda t: customer.customer_360_checks(customer.customer_360(t)), "customer_
 # --- bronze, silver, gold ----------------------------------------------------------------
 
 def _bronze_holdings(t: Tables) -> DataFrame:
-    return files.capture_raw(derived.dirty_holdings(t), "custodian_report", "Holdings")
+    return files.capture_raw(derived.dirty_holdings(t), "holdings_report", "Holdings")
 
 
 def _bronze_prices(t: Tables) -> DataFrame:
-    return files.capture_raw(derived.dirty_prices(t), "custodian_report", "Prices")
+    return files.capture_raw(derived.dirty_prices(t), "holdings_report", "Prices")
 
 
 def bronze_capture(t: Tables) -> DataFrame:
@@ -238,7 +238,7 @@ def title_block_rows(t: Tables) -> DataFrame:
     """Holdings written as report files with a title block, and read back below it."""
     path = work_path(t.spark, "holdings_report")
     rows = derived.dirty_holdings(t)
-    reports.write_report(rows, path, ["Custodian report", "Holdings", "", "All figures in USD"])
+    reports.write_report(rows, path, ["Holdings report", "Holdings", "", "All figures in USD"])
     return reports.read_report(t.spark, path, [safe_name(c) for c in rows.columns])
 
 
@@ -332,11 +332,11 @@ def portfolio_project(t: Tables) -> Project:
 
     @p.dataset("view")
     def bronze_holdings(p):
-        return files.capture_raw(p.ref("raw_holdings"), "custodian_report", "Holdings")
+        return files.capture_raw(p.ref("raw_holdings"), "holdings_report", "Holdings")
 
     @p.dataset("view")
     def bronze_prices(p):
-        return files.capture_raw(p.ref("raw_prices"), "custodian_report", "Prices")
+        return files.capture_raw(p.ref("raw_prices"), "holdings_report", "Prices")
 
     @p.dataset("table")
     def silver_holdings(p):
@@ -469,13 +469,19 @@ def _split(t: Tables) -> tuple[DataFrame, DataFrame]:
     return recommend.holdout_split(stored(_features(t), "features"))
 
 
+def _stored_split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The same as tables, for jobs that read each side more than once."""
+    train, held = _split(t)
+    return stored(train, "train"), stored(held, "holdout")
+
+
 def id_index(t: Tables) -> DataFrame:
     return recommend.index_ids(_features(t), "user_id", "user_idx")
 
 
 def hit_rate(t: Tables) -> DataFrame:
     """The popularity baseline against the holdout."""
-    train, held = _split(t)
+    train, held = _stored_split(t)
     return recommend.hit_rate(recommend.recommend_popular(held, recommend.popular_items(train)), held)
 
 
@@ -535,7 +541,7 @@ def run_log(t: Tables) -> DataFrame:
 def promotion_decision(t: Tables) -> DataFrame:
     """Popularity by score holds the title; popularity by number of users challenges it."""
     path = work_path(t.spark, "runs")
-    train, held = _split(t)
+    train, held = _stored_split(t)
     measures = {"by_score": None, "by_users": F.count("*")}
     for i, (model, by) in enumerate(measures.items()):
         recs = recommend.recommend_popular(held, recommend.popular_items(train, by=by))

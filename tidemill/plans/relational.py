@@ -306,12 +306,12 @@ def segment_status_view(t: Tables) -> DataFrame:
     joined = per_key.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "c_mktsegment", "o_orderstatus", "orders", "value"
     )
-    joined.createOrReplaceTempView("customer_orders_view")
+    joined.createOrReplaceTempView("order_totals_by_customer")
     return t.spark.sql(
         """
         SELECT c_mktsegment, o_orderstatus, SUM(orders) AS order_count,
                CAST(ROUND(CAST(SUM(value) AS DECIMAL(38,0)) / (100 * SUM(orders)), 2) AS DOUBLE) AS avg_price
-        FROM customer_orders_view
+        FROM order_totals_by_customer
         GROUP BY c_mktsegment, o_orderstatus
         ORDER BY c_mktsegment, order_count DESC
         """
