@@ -55,7 +55,7 @@ def test_top_k_runs_before_the_shuffle(tables):
 
 
 def test_winners_need_no_shuffle(tables):
-    good, _ = auction.parse_opportunities(derived.opportunity_messages(tables))
+    good, _ = auction.parse_opportunities(derived.opportunity_messages(tables.events))
     text = plan(auction.pick_winners(good))
     assert "Exchange" not in text
     assert text.count("from_json(") == 1

@@ -14,10 +14,18 @@ INCOME_WEIGHT = 0.04
 BIAS = -4.0
 
 
-@F.pandas_udf(T.DoubleType())
-def probability_in_batches(age: pd.Series, income_k: pd.Series) -> pd.Series:
-    """The score over Arrow batches, for models that only exist in Python."""
-    return 1.0 / (1.0 + np.exp(-(AGE_WEIGHT * age + INCOME_WEIGHT * income_k + BIAS)))
+def probability_in_batches(age: str, income_k: str) -> Column:
+    """The score over Arrow batches, for models that only exist in Python.
+
+    The function is made here, so that it travels to the executors whole and
+    they need no copy of this package.
+    """
+
+    @F.pandas_udf(T.DoubleType())
+    def score(ages: pd.Series, incomes: pd.Series) -> pd.Series:
+        return 1.0 / (1.0 + np.exp(-(AGE_WEIGHT * ages + INCOME_WEIGHT * incomes + BIAS)))
+
+    return score(age, income_k)
 
 
 def probability(age: str, income_k: str) -> Column:

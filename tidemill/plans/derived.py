@@ -113,8 +113,8 @@ def employees(t: Tables) -> DataFrame:
     )
 
 
-def opportunity_messages(t: Tables) -> DataFrame:
-    """One ad opportunity per event as JSON text; every 97th is not JSON."""
+def opportunity_messages(events: DataFrame) -> DataFrame:
+    """One ad opportunity per event as JSON text; every 97th is not JSON. Batch or stream."""
     k = F.col("event_id")
     content = F.lit("other")
     for event, name in CONTENT_BY_EVENT.items():
@@ -144,7 +144,7 @@ def opportunity_messages(t: Tables) -> DataFrame:
         )
     )
     body = F.concat(F.when(k % 97 == 0, F.lit("not json ")).otherwise(F.lit("")), message)
-    return t.events.select(F.concat(F.lit("msg-"), _text(k)).alias("message_id"), body.alias("body"))
+    return events.select(F.concat(F.lit("msg-"), _text(k)).alias("message_id"), body.alias("body"))
 
 
 def interactions(t: Tables) -> DataFrame:

@@ -160,6 +160,9 @@ SQL = {
                b.hit_rate > a.hit_rate AS promoted, CASE WHEN b.hit_rate > a.hit_rate THEN 'by_users' ELSE 'by_score' END AS next_champion,
                ROUND(ABS(b.hit_rate - a.hit_rate), 6) AS margin
         FROM ({_hits(_popular("SUM(interaction_score)"))}) a CROSS JOIN ({_hits(_popular("COUNT(*)"))}) b""",
+    "auction_stream": f"SELECT * EXCLUDE (event_id, ts) FROM ({WINNERS})",
+    "auction_stream_retries": """
+        SELECT 'msg-' || event_id AS message_id, 'not a readable message' AS reason FROM events WHERE event_id % 97 = 0""",
     "stream_parsed": READINGS,
     "stream_unreadable": """
         SELECT 's' || (user_id % 3) || '-sensor-0' || (1 + user_id % 6) AS key FROM events WHERE event_id % 101 = 0""",

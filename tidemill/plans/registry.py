@@ -418,7 +418,7 @@ for build in (score_vectorized, score_builtin, top_scored, score_by_partitions):
 # --- auction ------------------------------------------------------------------------------------------
 
 def _opportunities(t: Tables) -> DataFrame:
-    return auction.parse_opportunities(derived.opportunity_messages(t))[0]
+    return auction.parse_opportunities(derived.opportunity_messages(t.events))[0]
 
 
 def _winners(t: Tables) -> DataFrame:
@@ -451,7 +451,7 @@ def keyed_upsert(t: Tables) -> DataFrame:
 
 job(lambda t: auction.score_bids(_opportunities(t)), "auction_scores")
 job(lambda t: _winners(t).drop("timestamp"), "auction_winners")
-job(lambda t: auction.parse_opportunities(derived.opportunity_messages(t))[1].drop("body"), "auction_quarantine")
+job(lambda t: auction.parse_opportunities(derived.opportunity_messages(t.events))[1].drop("body"), "auction_quarantine")
 job(lambda t: auction.win_counts(_winners(t)), "auction_wins")
 job(lambda t: auction.win_counts(_winners(t), ["content_category"]), "auction_wins_by_category")
 job(auction_latency)
@@ -637,7 +637,19 @@ def alert_messages(t: Tables) -> DataFrame:
     return _through_files(t, sensors.alerts(sensors.readings(_sensor_stream(t)), ALERT_ABOVE), "alerts")
 
 
-for build in (stream_parsed, stream_unreadable, stream_tag_counts, stream_running_mean, stream_session_summary,
+def auction_stream(t: Tables) -> DataFrame:
+    """The auction on a stream of messages: results in files, exactly once across restarts."""
+    good, _ = auction.parse_opportunities(derived.opportunity_messages(t.stream("events")))
+    return _through_files(t, auction.pick_winners(good).drop("timestamp"), "auction")
+
+
+def auction_stream_retries(t: Tables) -> DataFrame:
+    """The messages of the same stream that failed, set aside without stopping it."""
+    _, failed = auction.parse_opportunities(derived.opportunity_messages(t.stream("events")))
+    return _through_files(t, failed, "retries").select("message_id", "reason")
+
+
+for build in (auction_stream, auction_stream_retries, stream_parsed, stream_unreadable, stream_tag_counts, stream_running_mean, stream_session_summary,
               stream_tumbling, stream_dedup, alert_messages):
     job(build)
 
