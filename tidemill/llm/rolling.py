@@ -113,11 +113,16 @@ class Slab:
 
 @dataclass
 class Words(Slab):
-    """The words of a slab: byte ranges and hashes; ``bounds`` counts words."""
+    """The words of a slab: byte ranges and hashes; ``bounds`` counts words.
+
+    A text begins at its byte in ``text_at`` and is followed by a line feed.
+    """
 
     start: np.ndarray
     end: np.ndarray
     hashes: np.ndarray
+    text_at: np.ndarray
+    prefix: Prefix
 
 
 def bytes_of(texts: list[bytes]) -> Slab:
@@ -137,8 +142,8 @@ def words_of(texts: list[bytes], word_bytes: np.ndarray = NOT_SPACE, lower: bool
     if len(start) > len(end):
         end = np.append(end, len(data))
     text_starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
-    hashes = Prefix(_BYTE_VALUES[data]).stretch(start, end) if len(start) else np.zeros(0, U64)
-    return Words(data, np.searchsorted(start, text_starts), start, end, hashes)
+    prefix = Prefix(_BYTE_VALUES[data])
+    return Words(data, np.searchsorted(start, text_starts), start, end, prefix.stretch(start, end), text_starts, prefix)
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:
