@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemill.session import shared_folder, stored
 
 #: Rows handed to Python at once. Texts may be long, so batches are small.
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 #: Stands for a missing id: it counts as larger than any other.
 NO_ID = (1 << 63) - 1
 

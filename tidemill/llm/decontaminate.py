@@ -215,3 +215,9 @@ def contaminated(hits: str = "hits", one_in: int = 20) -> Column:
     """At least one word in ``one_in`` is hit."""
     h = F.col(hits)
     return (h["n_hit"] > 0) & (h["n_hit"] * one_in >= h["n_words"])
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text") -> DataFrame:
+    """Documents that aren't contaminated."""
+    (hits,) = unused(docs, "hits")
+    return contamination(docs, benchmark, window, text_col, hits).filter(~contaminated(hits)).drop(hits)

@@ -168,6 +168,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     return with_classes(docs, placed, id_col, text_col, result)
 
 
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each class of near-duplicates, and one of repeated rows."""
+    (near,) = unused(docs, "near")
+    kept = near_duplicates(docs, size, percent, id_col, text_col, near).filter(F.col(near)["kept"]).drop(near)
+    ids = docs.groupBy(identity(docs, id_col).alias("doc")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # texts are only shuffled by id where ids repeat at all
+    return kept if ids.isEmpty() else kept.dropDuplicates([id_col, text_col])
+
+
 def with_classes(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str, result: str) -> DataFrame:
     doc, sig, out = unused(docs, "doc_key", "text_sig", result)
     text = F.coalesce(named(text_col).cast("string"), F.lit(""))

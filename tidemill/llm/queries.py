@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat_format, decontaminate, minhash_dedup, mixing, nbsvm, phrase_dedup, suffix_dedup, weak_rules
+from tidemill.llm import (
+    chat_format,
+    decontaminate,
+    html_template,
+    license_scan,
+    minhash_dedup,
+    mixing,
+    nbsvm,
+    phrase_dedup,
+    suffix_dedup,
+    weak_rules,
+)
+from tidemill.llm.sql import SQL
 from tidemill.tables import Tables
 
 #: A conversation whose texts imitate the template.
@@ -21,12 +33,28 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(Tables(spark, sf_dir).documents).taken()
 
 
+def op3_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_template.extract(Tables(spark, sf_dir).pages)
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op4_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = weak_rules.judged(Tables(spark, sf_dir).documents)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"]
     return out.select("doc_id", *[f"rules.{n}" for n in names])
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(Tables(spark, sf_dir).documents.select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        F.col("license.best").alias("license"),
+        "license.dice",
+        F.coalesce("license.n_matches", F.lit(0)).cast("long").alias("n_matches"),
+        F.coalesce(F.array_join("license.names", ","), F.lit("")).alias("licenses"),
+    )
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = Tables(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string")
@@ -66,7 +94,18 @@ def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_phrase_dedup, op2_source_mix, op4_weak_rules, op6_chat_format, op7_suffix_dedup, op8_minhash_dedup, op9_decontaminate, op10_nbsvm)
+    for f in (
+        op1_phrase_dedup,
+        op2_source_mix,
+        op3_html_template,
+        op4_weak_rules,
+        op5_license_scan,
+        op6_chat_format,
+        op7_suffix_dedup,
+        op8_minhash_dedup,
+        op9_decontaminate,
+        op10_nbsvm,
+    )
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import recurring as rec
 from tidemill.llm import rolling as R
-from tidemill.llm.common import SPAN, merged, parts_for, prepared, ranges, texts_of
+from tidemill.llm.common import SPAN, merged, parts_for, prepared, ranges, texts_of, unused
+from tidemill.llm.common import col as named
 from tidemill.llm.phrase_dedup import with_spans
 
 #: Bytes of the pieces in a bucket, and suffixes in a shard before the merges.
@@ -178,3 +179,17 @@ def remove_repeated(docs: DataFrame, size: int = 400, gram: int | None = None, i
     prepared(docs.sparkSession)
     spans = repeated_spans(texts_of(docs, id_col, text_col), size, gram)
     return with_spans(docs, spans, F.pandas_udf(_kept_bytes, RESULT), id_col, text_col, result)
+
+
+def _left_text(text: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([k.decode("utf-8", "ignore") for k in _kept_bytes(text, spans)["kept"]], dtype=object)
+
+
+def without_repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated strings cut out of the text, and ``length_col``, if present, set anew."""
+    prepared(docs.sparkSession)
+    (left,) = unused(docs, "left_text")
+    spans = repeated_spans(texts_of(docs, id_col, text_col), size)
+    out = with_spans(docs, spans, F.pandas_udf(_left_text, "string"), id_col, text_col, left)
+    changed = {text_col: F.col(left), length_col: F.length(left).cast("long")}
+    return out.select(*[changed[c].alias(c) if c in changed else named(c) for c in docs.columns])
