@@ -20,7 +20,6 @@ by iteration); ``tests/llm`` compares them with plain versions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemill.llm import decontaminate, minhash_dedup, mixing, nbsvm, suffix_dedup
 from tidemill.llm.common import prepared, stored
@@ -32,8 +31,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    out = nbsvm.classify(docs.withColumnRenamed("score", "_score_in"), Tables(spark, sf_dir).labels)
-    return out.filter(F.col("score") >= KEEP_SCORE).drop("score").withColumnRenamed("_score_in", "score")
+    return nbsvm.accepted(docs, Tables(spark, sf_dir).labels, KEEP_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

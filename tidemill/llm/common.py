@@ -35,6 +35,11 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def besides(df: DataFrame, result: str) -> list[Column]:
+    """All columns of ``df``, but for one that has the result's name: the result replaces it."""
+    return [col(c) for c in df.columns if c.lower() != result.lower()]
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -80,4 +85,4 @@ def ranges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-__all__ = ["BATCH_ROWS", "NO_ID", "SPAN", "col", "identity", "merged", "parts_for", "prepared", "ranges", "stored", "texts_of", "unused"]
+__all__ = ["BATCH_ROWS", "NO_ID", "SPAN", "besides", "col", "identity", "merged", "parts_for", "prepared", "ranges", "stored", "texts_of", "unused"]

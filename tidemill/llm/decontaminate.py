@@ -15,8 +15,8 @@ of a shorter one). A document word inside an occurrence of a window is hit.
    end; candidates that leave the document go. The others are verified word by
    word over the window's full length.
 
-The benchmark is the stated query set. It is taken in blocks of at most
-``BLOCK_WORDS`` words (of whole items), each small enough to be sent to every
+The benchmark is the stated query set. It is taken in blocks of about
+``BLOCK_BYTES`` bytes (of whole items), each small enough to be sent to every
 task; documents are never shuffled. More items mean more passes.
 
 Null texts have no words. An item without an id hits words but is not listed.
@@ -32,10 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import rolling as R
+from tidemill.llm.common import besides, parts_for, prepared, ranges, unused
 from tidemill.llm.common import col as named
-from tidemill.llm.common import parts_for, prepared, ranges, unused
 
-BLOCK_WORDS = 1_000_000
+BLOCK_BYTES = 4_000_000
 SHINGLE = 3
 _FILTER_BITS = 22
 RESULT = "struct<n_words:long,spans:array<struct<a:long,b:long>>,items:array<string>>"
@@ -186,15 +186,15 @@ def union_of(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, step, lambda s: s.n)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", result: str = "hits", block_words: int = BLOCK_WORDS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", result: str = "hits", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with a struct column ``result``: ``n_words``, ``n_hit``, ``spans`` (of words), ``items`` (sorted)."""
     prepared(docs.sparkSession)
     text = F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary")
     queries = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")).distinct()
-    _, blocks = parts_for(queries, F.length("text") / 4, block_words)
+    _, blocks = parts_for(queries, F.length("text"), block_bytes)
     out, hits = docs, []
-    for i in range(int(blocks)):
-        rows = queries.filter(F.pmod(F.xxhash64("item", "text"), F.lit(int(blocks))) == i).collect()  # bounded by block_words
+    for i in range(blocks):
+        rows = queries.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).collect()  # bounded by block_bytes
         windows, items = windows_of([(r.item, bytes(r.text)) for r in rows], window)
         keys: dict[int, list] = {}
         for x in windows:
@@ -208,7 +208,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_
     spans = F.array_sort(F.flatten(F.array(*[h["spans"] for h in hits])))
     items = F.array_sort(F.array_distinct(F.flatten(F.array(*[h["items"] for h in hits]))))
     value = F.struct(hits[0]["n_words"].alias("n_words"), union_of(spans).alias("n_hit"), spans.alias("spans"), items.alias("items"))
-    return out.select(*[named(c) for c in docs.columns], value.alias(result))
+    return out.select(*besides(docs, result), value.alias(result))
 
 
 def contaminated(hits: str = "hits", one_in: int = 20) -> Column:

@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import besides, prepared, stored, unused
 from tidemill.llm.common import col as named
-from tidemill.llm.common import prepared, stored, unused
 
 MIN_CLASS = 3
 #: A host with fewer pages has no template.
@@ -190,4 +190,4 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", resu
         return pd.Series([Page(s).main_text(frozenset(() if t is None else t)) for s, t in zip(sources, tokens, strict=True)], dtype=object)
 
     joined = pages.withColumn(host, host_of(url_col)).join(by_host.select(F.col("host").alias(host), F.col("tokens").alias(found)), host, "left")
-    return joined.withColumn(out, F.pandas_udf(read, "string")(source, F.col(found))).select(*[named(c) for c in pages.columns], F.col(out).alias(result))
+    return joined.withColumn(out, F.pandas_udf(read, "string")(source, F.col(found))).select(*besides(pages, result), F.col(out).alias(result))

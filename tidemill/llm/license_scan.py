@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import besides, identity, unused
 from tidemill.llm.common import col as named
-from tidemill.llm.common import identity, unused
 
 #: Usual notices by license.
 NOTICES = [
@@ -115,4 +115,4 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, percen
     value = F.struct(F.col("first.best").alias("best"), (-F.col("first.d")).alias("dice"), F.col("n").alias("n_matches"), "names")
     right = per_doc.select(F.col("doc").alias(doc), F.col("sig").alias(sig), value.alias(out))
     joined = docs.withColumns({doc: identity(docs, id_col), sig: F.xxhash64(text)}).join(right, [doc, sig], "left")
-    return joined.select(*[named(c) for c in docs.columns], F.col(out).alias(result))
+    return joined.select(*besides(docs, result), F.col(out).alias(result))

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import rolling as R
+from tidemill.llm.common import besides, prepared, unused
 from tidemill.llm.common import col as named
-from tidemill.llm.common import prepared, unused
 
 DIM_BITS = 17
 GRAMS = (2, 3, 4)
@@ -181,10 +181,18 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", result: str =
 
     (name,) = unused(docs, result)
     text = F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary")
-    return docs.withColumn(name, F.pandas_udf(score, "double")(text)).select(*[named(c) for c in docs.columns], F.col(name).alias(result))
+    return docs.withColumn(name, F.pandas_udf(score, "double")(text)).select(*besides(docs, result), F.col(name).alias(result))
 
 
 def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` with ``score``."""
     prepared(docs.sparkSession)
     return scored(docs, train(docs, labels, id_col=id_col, text_col=text_col, max_rows=max_rows), text_col)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.3, text_col: str = "text", id_col: str = "doc_id", max_rows: int = MAX_ROWS) -> DataFrame:
+    """Documents that score ``least`` or more, with their own columns."""
+    prepared(docs.sparkSession)
+    (name,) = unused(docs, "score")
+    model = train(docs, labels, id_col=id_col, text_col=text_col, max_rows=max_rows)
+    return scored(docs, model, text_col, name).filter(F.col(name) >= least).drop(name)

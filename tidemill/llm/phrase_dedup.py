@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import recurring as rec
 from tidemill.llm import rolling as R
-from tidemill.llm.common import SPAN, identity, merged, parts_for, prepared, ranges, texts_of, unused
+from tidemill.llm.common import SPAN, besides, identity, merged, parts_for, prepared, ranges, texts_of, unused
 from tidemill.llm.common import col as named
 
 #: Words in one shard's passages.
@@ -128,4 +128,4 @@ def with_spans(docs: DataFrame, spans: DataFrame, keep, id_col: str, text_col: s
     left = docs.withColumns({doc: identity(docs, id_col), sig: F.xxhash64(text)})
     right = spans.select(F.col("doc").alias(doc), F.col("sig").alias(sig), F.col("spans").alias(cuts))
     joined = left.join(right, [doc, sig], "left").withColumn(out, keep(text.cast("binary"), F.col(cuts)))
-    return joined.select(*[named(c) for c in docs.columns], F.col(out).alias(result))
+    return joined.select(*besides(docs, result), F.col(out).alias(result))

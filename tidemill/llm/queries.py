@@ -25,7 +25,7 @@ HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
 def op1_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = phrase_dedup.remove_repeated(Tables(spark, sf_dir).documents)
+    out = phrase_dedup.remove_repeated(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     return out.select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
 
 
@@ -34,12 +34,12 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = html_template.extract(Tables(spark, sf_dir).pages)
+    out = html_template.extract(Tables(spark, sf_dir).pages.select("page_id", "url", "html"))
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 
 def op4_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = weak_rules.judged(Tables(spark, sf_dir).documents)
+    out = weak_rules.judged(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"]
     return out.select("doc_id", *[f"rules.{n}" for n in names])
 
@@ -63,7 +63,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.remove_repeated(Tables(spark, sf_dir).documents)
+    out = suffix_dedup.remove_repeated(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     return out.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", "dedup.kept_sha256")
 
 

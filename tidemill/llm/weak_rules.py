@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import rolling as R
+from tidemill.llm.common import besides, prepared, unused
 from tidemill.llm.common import col as named
-from tidemill.llm.common import prepared, unused
 
 #: How much likelier a good vote may be on good texts than on bad ones.
 GOOD_VOTE = 1.5
@@ -167,4 +167,4 @@ def judged(docs: DataFrame, min_words: int = 50, text_col: str = "text", result:
         odds = odds + F.when(vote == -1, bad).when(vote == 1, fine).otherwise(0.0)
     good = 1 / (1 + F.exp(-odds))
     value = F.struct(*[s[c].alias(c) for c in STATS], failed.alias("base_failed"), F.array(*votes(s)).alias("votes"), good.alias("p_good"), (~failed & (good >= 0.5)).alias("kept"))
-    return counted(docs).select(*[named(c) for c in docs.columns], value.alias(result))
+    return counted(docs).select(*besides(docs, result), value.alias(result))
