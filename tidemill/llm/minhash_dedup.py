@@ -5,14 +5,16 @@
    filled bin in an order of its own (optimal densification), so two signatures
    agree in each bin with the probability of the sets' similarity.
 2. Documents with equal sets form one class and go on as one row.
-3. Bands of the signature are bucketed. Each bucket links its smallest id with
-   every other member: a star, so pairs grow with members, not their square.
+3. Bands of the signature are bucketed. Each bucket links one member, drawn by a
+   hash, with every other: a star, so pairs grow with members, not their square.
 4. Candidate pairs pass a size bound and are confirmed on the full sets.
 5. A star can miss two members that resemble each other and not its centre.
-   Buckets whose members are still in several components get further stars from
-   other centres while those connect anything; at last, all pairs across the
-   components that are left in a bucket are confirmed. No link that shares a
-   bucket is lost, and pairs within a component are never listed.
+   Buckets whose members are still in several components get a second star with
+   another centre. What is then still open is searched exactly, across components
+   only: shingles are ordered by rarity, a pair at the threshold shares one of
+   the first fifth of both sets, and the places of the first shared shingle bound
+   how much may follow. In a group of edited copies the edits are the rarest
+   shingles, so copies too far apart are told by their places, not by comparison.
 
 The default bands miss a pair at the threshold with a probability below 1e-7.
 Null and empty texts have no shingles and are linked with nothing. A null id
@@ -23,11 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import rolling as R
-from tidemill.llm.common import NO_ID, identity, prepared, stored, texts_of, unused
+from tidemill.llm.common import NO_ID, besides, identity, prepared, stored, texts_of, unused
 from tidemill.llm.common import col as named
 from tidemill.llm.components import components
 
@@ -105,6 +107,38 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "b").join(right, "a").filter(common * 100 >= union * percent).select("a", "b").distinct()
 
 
+def _pairs(spokes: DataFrame, percent: int) -> DataFrame:
+    """Centre and member of every spoke, the smaller id first, if their sizes allow the threshold."""
+    a, b = F.least("n", "hub.n"), F.greatest("n", "hub.n")
+    ends = spokes.filter((a * 100 >= b * percent) & (F.col("rep") != F.col("hub.rep")))
+    return ends.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
+
+
+def _open(members: DataFrame, comps: DataFrame, centre: Column) -> DataFrame:
+    """The members of buckets that hold several components, with their component and a centre."""
+    placed = members.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    still = placed.groupBy("bucket").agg(centre, F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    return stored(placed.join(still.drop("low", "high"), "bucket"), "open-buckets")
+
+
+def across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` (``rep, n, comp``) of different components that may reach the threshold; none that does is left out."""
+    grams = nodes.join(sets, nodes.rep == sets.doc).select("rep", "n", "comp", F.explode("shingles").alias("s"))
+    shared = grams.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    sorted_ = grams.join(shared, "s").groupBy("rep", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("g"))
+    # shingles of one set alone come first; they take up places and match nothing
+    alone = F.col("n") - F.size("g")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = sorted_.withColumn("alone", alone).withColumn("g", F.slice("g", 1, F.greatest(prefix - F.col("alone"), F.lit(0)).cast("int")))
+    tokens = first.select("rep", "n", "comp", F.posexplode("g").alias("at", "g"), "alone").select("rep", "n", "comp", (F.col("at") + F.col("alone")).alias("at"), F.col("g.s").alias("s"))
+    x, y = (tokens.select("s", *[F.col(c).alias(c + end) for c in ("rep", "n", "comp", "at")]) for end in "xy")
+    low, high = F.least("nx", "ny"), F.greatest("nx", "ny")
+    follow = F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty"))
+    fits = (low * 100 >= high * percent) & (follow * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent)
+    met = x.join(y, "s").filter((F.col("compx") < F.col("compy")) & fits)
+    return met.select(F.least("repx", "repy").alias("a"), F.greatest("repx", "repy").alias("b")).distinct()
+
+
 def _sets_of(texts: DataFrame, members: DataFrame, size: int) -> DataFrame:
     def scan(batches):
         for pdf in batches:
@@ -126,42 +160,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         "classes",
     )
     banded = classes.select("rep", "sig", "n", F.explode("bands").alias("bucket"))
-    hubs = banded.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("hub"), F.max("rep").alias("top")).filter("hub.rep < top")
-    members = stored(banded.join(hubs.select("bucket", "hub"), "bucket"), "bucket-members")
-    lo, hi = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    bound = lo * 100 >= hi * percent
 
-    def pairs_of(df: DataFrame) -> DataFrame:
-        ends = df.filter(bound & (F.col("a") != F.col("b")))
-        return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def centre(draw: int) -> Column:
+        return F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(draw)).alias("h"), "rep", "n")).alias("hub")
 
-    tested = stored(pairs_of(members.select(F.col("hub.rep").alias("a"), F.col("hub.n").alias("n_a"), F.col("rep").alias("b"), F.col("n").alias("n_b"))), "pairs")
+    hubs = banded.groupBy("bucket").agg(centre(0), F.min("rep").alias("low"), F.max("rep").alias("high"))
+    members = stored(banded.join(hubs.filter("low < high").drop("low", "high"), "bucket"), "bucket-members")
+    tested = stored(_pairs(members, percent), "pairs")
     sets = stored(_sets_of(texts, members.select(F.col("rep").alias("doc"), "sig").distinct(), size), "sets")
     links = stored(similar(tested, sets, percent), "links")
     comps = components(links)
     members = members.select("bucket", "rep", "n")
-    last = False
-    while True:
-        placed = members.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        open_ = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-        placed = stored(placed.join(open_, "bucket"), "open-buckets")
-        if last:
-            x = placed.select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("ca"))
-            y = placed.select("bucket", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("cb"))
-            found = pairs_of(x.join(y, "bucket").filter("ca < cb"))
-        else:  # the next star of a bucket: from a member of its last component to those of the others
-            hub = placed.filter("comp = high").groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("hub"))
-            found = pairs_of(placed.filter("comp < high").join(hub, "bucket").select(F.col("hub.rep").alias("a"), F.col("hub.n").alias("n_a"), F.col("rep").alias("b"), F.col("n").alias("n_b")))
+
+    def widened(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         fresh = stored(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         more = stored(similar(fresh, sets, percent), "links")
-        grew = not more.isEmpty()
-        if grew:
-            links = links.union(more)
-            comps = components(links)
-        if last:
-            break
-        tested = tested.union(fresh)
-        last = not grew
+        return tested.union(fresh), links if more.isEmpty() else links.union(more)
+
+    placed = _open(members, comps, centre(1))
+    hub_comp = comps.select(F.col("node"), F.col("comp").alias("hub_comp"))
+    apart = placed.join(hub_comp, F.col("hub.rep") == F.col("node"), "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub.rep"))
+    tested, now = widened(_pairs(apart, percent))
+    if now is not links:
+        links, comps = now, components(now)
+        placed = _open(members, comps, centre(2))
+    _, now = widened(across(placed.select("rep", "n", "comp").distinct(), sets, percent))
+    if now is not links:
+        comps = components(now)
     by_class = classes.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("set_a", "set_b", "n", F.coalesce("comp", "rep").alias("component"))
     sized = rows.select("doc", "sig", "n", "set_a", "set_b").dropDuplicates(["doc", "sig"])
     placed = sized.join(by_class, ["set_a", "set_b", "n"], "left").select("doc", "sig", "n", F.coalesce("component", "doc").alias("component"))
@@ -187,4 +212,4 @@ def with_classes(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str,
         (F.col("doc") == F.col("component")).alias("kept"),
     )
     right = placed.select(F.col("doc").alias(doc), F.col("sig").alias(sig), value.alias(out))
-    return left.join(right, [doc, sig]).select(*[named(c) for c in docs.columns], F.col(out).alias(result))
+    return left.join(right, [doc, sig]).select(*besides(docs, result), F.col(out).alias(result))
