@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tests.compare import duck
-from tidemill.session import build_session
+from tidemill.session import build_session, remove_work, shared_folder
 from tidemill.tables import Tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -13,10 +13,9 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session("local[8]", partitions=8)
     session.sparkContext.setLogLevel("ERROR")
-    from tidemill.session import shared_folder
-
     shared_folder(session)
     yield session
+    remove_work(session)
     session.stop()
 
 

@@ -78,6 +78,49 @@ def test_incremental_takes_only_new_rows(spark):
     assert rows(run(spark.range(3, 9))) == [(i,) for i in range(9)]
 
 
+def test_incremental_refuses_what_it_would_lose(spark):
+    folder = work_path(spark, "inc")
+
+    def run(data):
+        p = Project(spark, folder)
+        p.source("raw", spark.createDataFrame(data, "id long, v string"))
+
+        @p.dataset("incremental", cursor="id")
+        def facts(p):
+            return p.ref("raw")
+
+        return p.ref("facts")
+
+    assert run([(1, "a"), (5, "b")]).count() == 2
+    with pytest.raises(ValueError, match="arrived late"):
+        run([(1, "a"), (3, "late"), (5, "b")])
+    with pytest.raises(ValueError, match="without id"):
+        run([(None, "x")])
+    assert run([(5, "b"), (6, "c")]).count() == 3
+
+
+def test_incremental_merge_by_key(spark):
+    folder = work_path(spark, "merge")
+
+    def run(data):
+        p = Project(spark, folder)
+        p.source("raw", spark.createDataFrame(data, "id long, at int, v string"))
+
+        @p.dataset("incremental", key=["id"])
+        def facts(p):
+            return p.ref("raw")
+
+        return rows(p.ref("facts"))
+
+    assert run([(1, 5, "a"), (2, None, "b")]) == [(1, 5, "a"), (2, None, "b")]
+    # a change, an old cursor, a null cursor, a row as it was, and one twice
+    merged = run([(1, 5, "changed"), (3, 1, "late"), (4, None, "null"), (2, None, "b"), (3, 1, "later")])
+    assert merged == [(1, 5, "changed"), (2, None, "b"), (3, 1, "late"), (4, None, "null")]
+    assert run([(1, 5, "changed"), (2, None, None)]) == [(1, 5, "changed"), (2, None, None), (3, 1, "late"), (4, None, "null")]
+    stored = spark.read.parquet(f"{folder}/facts").groupBy("_run").count()
+    assert rows(stored) == [(0, 2), (1, 3), (2, 1)]  # rows that did not change are not written again
+
+
 def test_quality_tests(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, None)], "k int, v string")
     assert rows(quality.unique(df, ["k"])) == [(1, 2)]

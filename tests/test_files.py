@@ -65,12 +65,13 @@ def test_versioned_export(spark, tables):
     folder = work_path(spark, "export")
     df = tables.nation.withColumn("_ingested_at", F.current_timestamp())
     one = files.export_csv(df, folder, "nations", ["_ingested_at"])
-    two = files.export_csv(df, folder, "nations", ["_ingested_at"], one_file_rows=3)
+    two = files.export_csv(df, folder, "nations", ["_ingested_at"], files=3)
     assert one != two and "/nations_v20" in one
     for path in (one, two):
         assert spark.read.csv(path, header=True).count() == 25
         assert "_ingested_at" not in spark.read.csv(path, header=True).columns
     assert files.file_inventory(spark, one, "part-*.csv").count() == 1
+    assert files.file_inventory(spark, two, "part-*.csv").count() == 3
 
 
 def test_inventory_sizes(spark, tables):

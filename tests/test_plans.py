@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
-import __spark_entry__ as entry
 from tests.conftest import SMALL, rows
 from tidemill.operators import auction, scoring
 from tidemill.plans import customer, derived, relational
+from tidemill.plans.registry import JOBS
 from tidemill.session import work_path
 from tidemill.sources.files import write_partitioned
 from tidemill.tables import Tables
@@ -67,11 +69,37 @@ def test_builtin_score_stays_in_the_jvm(tables):
     assert "ArrowEvalPython" in plan(scoring.score_vectorized(df))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith(("stream_", "snapshot_"))))
+def plans_of(build):
+    """The plans of a job: of its result, and of every step that it stores or checkpoints on the way."""
+    seen = []
+    checkpoint, parquet = DataFrame.checkpoint, DataFrameWriter.parquet
+
+    def noted_checkpoint(self, *args):
+        seen.append(plan(self))
+        return checkpoint(self, *args)
+
+    def noted_parquet(self, *args, **options):
+        seen.append(plan(self._df))
+        return parquet(self, *args, **options)
+
+    DataFrame.checkpoint, DataFrameWriter.parquet = noted_checkpoint, noted_parquet
+    try:
+        seen.append(plan(build()))
+    finally:
+        DataFrame.checkpoint, DataFrameWriter.parquet = checkpoint, parquet
+    return seen
+
+
+def test_stored_steps_are_looked_at(spark):
+    assert len(plans_of(lambda: JOBS["gold_portfolio"](spark, SMALL))) == 4
+    assert len(plans_of(lambda: JOBS["negative_samples"](spark, SMALL))) >= 4
+
+
+@pytest.mark.parametrize("name", sorted(JOBS))
 def test_no_cross_joins(spark, name):
-    text = plan(entry.queries()[name](spark, SMALL))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
+    for text in plans_of(lambda: JOBS[name](spark, SMALL)):
+        assert "CartesianProduct" not in text
+        assert "BroadcastNestedLoopJoin" not in text
 
 
 def test_large_sides_are_joined_by_shuffle(spark, tables):

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemill.functions.latest import first_per_key, first_rows, ranked_per_key
 from tidemill.functions.ordered import last_known, numbered, range_blocks, running_total
-from tidemill.functions.sized import measured
 from tidemill.operators import recommend
 from tidemill.session import work_path
 
@@ -63,19 +62,43 @@ def test_negatives_against_brute_force(spark, case):
     else:
         pairs, users, items = {(u, i): 1 for u in range(6) for i in range(10) if (u, i) not in {(1, 3), (4, 9)}}, 6, 10
     train = spark.createDataFrame([(u, i) for u, i in pairs], "user_idx long, item_idx long")
-    got = recommend.negative_pairs(train, users, items).orderBy("draw").collect()
     free = [(u, i) for u in range(users) for i in range(items) if (u, i) not in pairs]
     n = len(pairs)
-    strip = max(1, len(free) // n)
-    want = [(j, *free[(j * strip + (j * 7919) % strip) % len(free)]) for j in range(n)]
-    assert [tuple(r) for r in got] == want
-    if len(free) >= n:
-        assert len({w[1:] for w in want}) == n
+    if len(free) < n:
+        with pytest.raises(ValueError, match=f"{n} pairs are asked for, {len(free)} are unknown"):
+            recommend.negative_pairs(train, users, items)
+        got = recommend.negative_pairs(train, users, items, short="keep").collect()
+        assert sorted((r.user_idx, r.item_idx) for r in got) == free
+        return
+    got = [(r.user_idx, r.item_idx) for r in recommend.negative_pairs(train, users, items).orderBy("draw").collect()]
+    assert len(got) == len(set(got)) == n
+    assert set(got) <= set(free)
+    # every stretch of the free cells gets its share, the last one too
+    places = sorted(free.index(g) for g in got)
+    for stretch in (2, 3, 5, 10):
+        for k in range(stretch):
+            lo, hi = len(free) * k / stretch, len(free) * (k + 1) / stretch
+            assert abs(sum(lo <= p < hi for p in places) - n / stretch) <= 2
 
 
 def test_no_negatives_in_a_full_grid(spark):
     train = spark.createDataFrame([(u, i) for u in range(3) for i in range(3)], "user_idx long, item_idx long")
-    assert recommend.negative_pairs(train, 3, 3).count() == 0
+    assert recommend.negative_pairs(train, 3, 3, short="keep").count() == 0
+    assert recommend.negative_pairs(train.limit(0), 3, 3).count() == 0
+
+
+def test_ids_are_dense(spark):
+    f = features(spark, {(7, 100): 1, (3, 50): 2, (7, 50): 3})
+    both, users, items = recommend.indexed_features(f)
+    assert rows(users) == [(3, 0), (7, 1)] and rows(items) == [(100, 1), (50, 0)]
+    assert rows(both.select("user_idx", "item_idx", "interaction_score")) == [(0, 0, 2), (1, 0, 3), (1, 1, 1)]
+
+
+def test_popular_list_by_join(spark):
+    f = features(spark, random_pairs(2, 30, 20, 300))
+    train, held = recommend.holdout_split(f)
+    popular = recommend.popular_items(train, 5)
+    assert recommend.popular_hit_rate(popular, held).first() == recommend.hit_rate(recommend.recommend_popular(held, popular), held).first()
 
 
 @pytest.mark.parametrize("blocks", [(8192, 32768), (7, 5)])
@@ -167,17 +190,6 @@ def test_rank_keeps_ties(spark):
     assert rows(ranked_per_key(df, ["k"], [F.desc("v")], 2, "r")) == [("a", 3, 1), ("a", 3, 1), ("b", 1, 1)]
 
 
-def test_measured_marks_only_small_sides(spark):
-    big = spark.range(100)
-    assert "BroadcastHashJoin" in plan(big.join(measured(spark.range(5)), "id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(big.join(measured(spark.range(5)), "id"))
-        assert "BroadcastHashJoin" not in plan(big.join(measured(spark.range(5), max_rows=4), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

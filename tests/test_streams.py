@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemill.plans import derived
 from tidemill.session import work_path
-from tidemill.sources import snapshots
 from tidemill.streaming import sensors
 
 
@@ -37,12 +36,36 @@ def test_every_message_is_read_or_set_aside(spark, tables):
     assert bad > 0 and good + bad == messages.count()
 
 
+def test_a_reading_without_a_time_is_set_aside(spark, path):
+    put(spark, path, (1, "a", 20.0, "01T00:00:00"), (2, "a", 21.0, "99T00:00:00"), "{broken")
+    messages = spark.read.parquet(f"{path}/in")
+    assert rows(sensors.readings(messages).select("reading_id")) == [(1,)]
+    assert sensors.unreadable(messages).count() == 2
+
+
+def test_a_batch_that_comes_twice_changes_nothing(spark, path):
+    write = sensors.append_sink(f"{path}/state")
+    first = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n int")
+    for batch, number in ((first, 0), (first.withColumn("n", F.lit(2)), 1), (first.withColumn("n", F.lit(2)), 1), (first.limit(0), 2)):
+        write(batch, number)
+    assert rows(sensors.newest(spark, f"{path}/state", ["k"])) == [("a", 2), ("b", 2)]
+
+
+def test_a_key_keeps_its_order(spark):
+    """Messages of one key stay in one partition, in the order they came."""
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).cast("string").alias("k")).coalesce(1)
+    sent = sensors.to_messages(df, F.col("k"), ["id"]).repartition(4, "key").withColumn("p", F.spark_partition_id()).collect()
+    seen = {}
+    for r in sent:
+        seen.setdefault(r.key, []).append((r.p, json.loads(r.value)["id"]))
+    assert all(len({p for p, _ in v}) == 1 and [i for _, i in v] == sorted(i for _, i in v) for v in seen.values())
+
+
 def test_restart_goes_on_from_the_checkpoint(spark, path):
     def run():
         rows_in = sensors.readings(sensors.folder_source(spark, f"{path}/in", files_per_trigger=1))
-        sensors.run_batches(sensors.running_mean(rows_in), f"{path}/cp", "update",
-                            sensors.upsert_sink(f"{path}/state", ["sensor_id"], [], slices=2))
-        return rows(snapshots.read_as_of(spark, f"{path}/state").drop("batch_id"))
+        sensors.run_batches(sensors.running_mean(rows_in), f"{path}/cp", "update", sensors.append_sink(f"{path}/state"))
+        return rows(sensors.newest(spark, f"{path}/state", ["sensor_id"]))
 
     put(spark, path, (1, "a", 20.0, "01T00:00:00"), (2, "b", 30.0, "01T00:00:01"), "{broken")
     assert run() == [("a", 1, 20.0), ("b", 1, 30.0)]

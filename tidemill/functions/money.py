@@ -1,9 +1,10 @@
 """Money arithmetic that gives the same cents for every row order.
 
 Double sums depend on the order rows arrive in, so two runs of one job can
-differ in the last bits. Amounts are added as whole cents in 64-bit integers:
-exact, and several times faster than decimals. A sum beyond 9.2e16 units
-raises an overflow error (ANSI mode) rather than give a wrong figure.
+differ in the last bits. Amounts are rounded to whole cents per row and added as
+two 64-bit sums, of millions of cents and of the rest: exact, several times
+faster than decimals, and no total of amounts comes near their limits. This does
+not depend on ANSI mode. A single amount beyond 9.2e16 raises an error.
 """
 
 from __future__ import annotations
@@ -11,15 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MILLION = 1_000_000
+
 
 def cents(c: str | Column) -> Column:
     """An amount in whole cents."""
-    return F.rint((F.col(c) if isinstance(c, str) else c) * 100).cast("long")
+    value = F.rint((F.col(c) if isinstance(c, str) else c).cast("double") * 100)
+    fits = value.isNull() | (F.abs(value) < 9.2e18)
+    return F.when(fits, value.cast("long")).otherwise(F.raise_error(F.lit("amount beyond 9.2e16")).cast("long"))
 
 
 def exact_sum(c: str | Column) -> Column:
-    """Sum in cents, which may be added up again later."""
-    return F.sum(cents(c))
+    """Sum in cents as a decimal, which may be added up again later; null over no amounts."""
+    whole = cents(c)
+    high = F.sum(F.call_function("div", whole, F.lit(MILLION)))
+    return high.cast("decimal(25,0)") * F.lit(MILLION).cast("decimal(7,0)") + F.sum(whole % MILLION).cast("decimal(25,0)")
 
 
 def shown(in_cents: Column) -> Column:

@@ -39,9 +39,10 @@ def money_text(c: Column, missing: str | None = None) -> Column:
 def digits_only(c: Column) -> Column:
     """All non-digits are dropped before the cast, so a sign or a decimal point is lost.
 
-    Values beyond 32 bits give null.
+    Text without digits and numbers beyond 64 bits give null; ``quality`` rules
+    on the result count them.
     """
-    return F.regexp_replace(c, NOT_DIGITS, "").try_cast("int")
+    return F.regexp_replace(c, NOT_DIGITS, "").try_cast("long")
 
 
 def mixed_date(c: Column) -> Column:

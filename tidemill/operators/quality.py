@@ -94,6 +94,13 @@ def singular(violations: DataFrame) -> DataFrame:
     return violations
 
 
+def total_drift(df: DataFrame, columns: list[str], target: float) -> DataFrame:
+    """Per column its total and how far that is from the target."""
+    totals = df.agg(*[total(c).alias(f"t{i}") for i, c in enumerate(columns)])
+    lines = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"t{i}").alias("total")) for i, c in enumerate(columns)])
+    return totals.select(F.inline(lines)).withColumn("drift", F.abs(F.col("total") - F.lit(target)))
+
+
 def total_off_target(df: DataFrame, column: str, target: float, tolerance: float) -> DataFrame:
     """One row if the column's total is off its target by more than the tolerance, else none."""
     return (

@@ -50,11 +50,18 @@ def index_ids(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def indexed_features(features: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Features with dense integer ids, and the two id tables."""
-    users = index_ids(features, "user_id", "user_idx")
-    items = index_ids(features, "item_id", "item_idx")
-    both = features.join(users, "user_id").join(items, "item_id")
-    return both, users, items
+    """Features with dense integer ids, and the two id tables.
+
+    Both kinds of ids are numbered in one go, users before items.
+    """
+    none = F.lit(None)
+    users = features.select("user_id", none.cast(features.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("kind"))
+    items = features.select(none.cast(features.schema["user_id"].dataType).alias("user_id"), "item_id", F.lit(1).alias("kind"))
+    ids = numbered(users.unionByName(items).distinct(), "kind", "user_id", "item_id").checkpoint()
+    n_users = ids.filter("kind = 0").count()
+    users = ids.filter("kind = 0").select("user_id", F.col("position").alias("user_idx"))
+    items = ids.filter("kind = 1").select("item_id", (F.col("position") - n_users).alias("item_idx"))
+    return features.join(users, "user_id").join(items, "item_id"), users, items
 
 
 def holdout_split(features: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -94,14 +101,26 @@ def hit_rate(recommendations: DataFrame, holdout: DataFrame) -> DataFrame:
     )
 
 
+def popular_hit_rate(popular: DataFrame, holdout: DataFrame) -> DataFrame:
+    """The hit rate of one list for all users: a join with the few items of the list."""
+    listed = popular.select("item_id", F.lit(1).alias("hit"))
+    return (
+        holdout.select("item_id").join(F.broadcast(listed), "item_id", "left")  # as many rows as the list is long
+        .agg(F.count("hit").alias("hits"), F.count("*").alias("holdout_rows"))
+        .withColumn("hit_rate", F.coalesce(F.col("hits") / F.nullif("holdout_rows", F.lit(0)), F.lit(0.0)))
+    )
+
+
 def fit_als(train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REGULARISATION,
-            seed: int = SEED) -> ALSModel:
+            seed: int = SEED, blocks: int | None = None) -> ALSModel:
     """Implicit-feedback factorisation on ``user_idx`` and ``item_idx``.
 
-    The number of blocks follows the number of pairs: the library's fixed ten
-    are too few for a large table and mostly overhead for a small one.
+    The number of blocks follows the number of pairs, without a limit, unless
+    the caller names it: the library's fixed ten are too few for a large table
+    and mostly overhead for a small one.
     """
-    blocks = min(512, max(1, -(-train.count() // BLOCK_PAIRS)))
+    if blocks is None:
+        blocks = max(1, -(-train.count() // BLOCK_PAIRS))
     als = ALS(
         numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="user_idx", itemCol="item_idx", ratingCol="interaction_score", implicitPrefs=True,
@@ -144,31 +163,39 @@ def without_seen(recommendations: DataFrame, train: DataFrame) -> DataFrame:
     return recommendations.join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 
-def negative_pairs(train: DataFrame, n_users: int, n_items: int) -> DataFrame:
-    """One unknown (user, item) pair for every training pair, exactly.
+def negative_pairs(train: DataFrame, n_users: int, n_items: int, short: str = "raise") -> DataFrame:
+    """One unknown (user, item) pair for every training pair, none of them twice.
 
     Cells of the grid are numbered ``user_idx * n_items + item_idx``. If the
     j-th known cell (from 0) has number p, then p - j unknown cells lie before
     it. So the r-th unknown cell is r plus the number of known cells whose
     p - j is at most r: one lookup along a sorted axis, without building
-    the grid and without rejected draws. The draws r take one cell from
-    each of n equal strips of the unknown cells.
+    the grid and without rejected draws. The unknown cells are cut into as many
+    strips as there are draws, strip j from ``j * free div n`` to
+    ``(j + 1) * free div n``; each draw takes one cell of its strip, so the
+    draws cover all of the grid in proportion.
+
+    With fewer unknown cells than known ones there is no such set: ``short``
+    says whether to raise an error or to ``keep`` all unknown cells.
 
     Known cells that touch share one p - j and are counted together first,
     so neither dense users nor long runs meet in one task.
     """
-    grid = n_users * n_items
     cells = train.select((F.col("user_idx") * F.lit(n_items) + F.col("item_idx")).cast("long").alias("cell"))
-    known = numbered(cells, "cell", name="j").checkpoint()
+    known = numbered(cells, "cell", name="j")
     n = known.count()
-    free = grid - n
-    if n == 0 or free <= 0:
+    free = n_users * n_items - n
+    if free < n and short != "keep":
+        raise ValueError(f"{n} pairs are asked for, {max(free, 0)} are unknown")
+    draws = min(n, free)
+    if draws <= 0:
         return train.sparkSession.createDataFrame([], "draw long, user_idx long, item_idx long")
-    strip = max(1, free // n)
     j = F.col("j")
-    draws = known.select(
-        j.alias("draw"),
-        ((j * strip + (j * 7919) % strip) % F.lit(free)).cast("long").alias("at"),
+    # products of two counts may pass 64 bits
+    edge = lambda i: F.call_function("div", i.cast("decimal(19,0)") * F.lit(free).cast("decimal(19,0)"), F.lit(draws).cast("decimal(19,0)"))
+    drawn = known.filter(j < draws).select(j.alias("draw"), edge(j).alias("lo"), edge(j + 1).alias("hi")).select(
+        "draw",
+        (F.col("lo") + (F.col("draw") * 7919) % (F.col("hi") - F.col("lo"))).alias("at"),
         F.lit(1).alias("side"),
         F.lit(None).cast("long").alias("passed"),
     )
@@ -177,7 +204,7 @@ def negative_pairs(train: DataFrame, n_users: int, n_items: int) -> DataFrame:
         .agg((F.max("j") + 1).alias("passed"))
         .select(F.lit(None).cast("long").alias("draw"), "at", F.lit(0).alias("side"), "passed")
     )
-    placed = last_known(steps.unionByName(draws), ["at", "side", "draw"], "passed", "ahead").filter("side = 1")
+    placed = last_known(steps.unionByName(drawn), ["at", "side", "draw"], "passed", "ahead").filter("side = 1")
     cell = F.col("at") + F.coalesce("ahead", F.lit(0))
     return placed.withColumn("cell", cell).select(
         "draw",
@@ -277,3 +304,14 @@ def promote(runs: DataFrame, champion: str, challenger: str) -> DataFrame:
         F.when(F.col("promoted"), challenger).otherwise(champion).alias("next_champion"),
         F.round(F.abs(F.col("challenger_value") - F.col("champion_value")), 6).alias("margin"),
     )
+
+
+DECISION_SCHEMA = (
+    "champion string, challenger string, champion_value double, challenger_value double,"
+    " promoted boolean, next_champion string, margin double, decided_at timestamp"
+)
+
+
+def record_decision(path: str, decision: DataFrame) -> None:
+    """Append a promotion decision to the log of decisions."""
+    decision.withColumn("decided_at", F.current_timestamp()).write.mode("append").parquet(path)

@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemill.functions.latest import first_per_key
 from tidemill.session import work_path
 
 KINDS = ("view", "table", "incremental", "ephemeral")
@@ -22,13 +24,15 @@ class Project:
 
     ``view`` registers a temporary view, ``table`` is written out and read
     back, ``ephemeral`` stays a plan inside its readers, and ``incremental``
-    appends the rows past the highest value of its ``cursor`` column.
+    adds what a run brings: with a ``key`` the rows that are new or changed,
+    of which readers see the last one per key; with a ``cursor`` alone the rows
+    past the highest value stored, for inputs that never arrive late.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = folder or work_path(spark, "project")
-        self.models: dict[str, tuple[Callable[[Project], DataFrame], str, str | None]] = {}
+        self.models: dict[str, tuple[Callable[[Project], DataFrame], str, str | None, list[str] | None]] = {}
         self.sources: dict[str, DataFrame] = {}
         self.built: dict[str, DataFrame] = {}
         self.edges: list[tuple[str, str]] = []
@@ -37,15 +41,15 @@ class Project:
     def source(self, name: str, df: DataFrame) -> None:
         self.sources[name] = df
 
-    def dataset(self, kind: str = "view", cursor: str | None = None):
+    def dataset(self, kind: str = "view", cursor: str | None = None, key: list[str] | None = None):
         """Decorator: register a function under its own name."""
         if kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}")
-        if (kind == "incremental") != (cursor is not None):
-            raise ValueError("an incremental dataset, and no other, names its cursor column")
+        if (kind == "incremental") != (cursor is not None or key is not None):
+            raise ValueError("an incremental dataset, and no other, names its cursor column or its key")
 
         def register(fn):
-            self.models[fn.__name__] = (fn, kind, cursor)
+            self.models[fn.__name__] = (fn, kind, cursor, key)
             return fn
 
         return register
@@ -63,10 +67,10 @@ class Project:
         if name not in self.built:
             if name not in self.models:
                 raise KeyError(f"no dataset or source named {name}")
-            fn, kind, cursor = self.models[name]
+            fn, kind, cursor, key = self.models[name]
             self._open.append(name)
             try:
-                self.built[name] = self._store(name, fn(self), kind, cursor)
+                self.built[name] = self._store(name, fn(self), kind, cursor, key)
             finally:
                 self._open.pop()
         return self.built[name]
@@ -78,7 +82,7 @@ class Project:
     def lineage(self) -> DataFrame:
         return self.spark.createDataFrame(self.edges, "dataset string, input string")
 
-    def _store(self, name: str, df: DataFrame, kind: str, cursor: str | None) -> DataFrame:
+    def _store(self, name: str, df: DataFrame, kind: str, cursor: str | None, key: list[str] | None) -> DataFrame:
         if kind == "view":
             df.createOrReplaceTempView(name)
             return df
@@ -87,25 +91,66 @@ class Project:
         path = f"{self.folder}/{name}"
         if kind == "table":
             df.write.mode("overwrite").parquet(path)
+        elif key is not None:
+            return merge_rows(df, path, key)
         else:
             append_new(df, path, cursor)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def append_new(df: DataFrame, path: str, cursor: str) -> None:
-    """Append the rows whose ``cursor`` lies past the highest one stored.
+RUN = "_run"
 
-    The bound is a single value, so it reaches the scan as a pushed filter.
-    Rows that arrive late with a stored cursor value are not taken.
-    """
-    spark = df.sparkSession
+
+def _stored_rows(spark: SparkSession, schema, path: str) -> DataFrame | None:
     try:
-        stored = spark.read.schema(df.schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except Exception as err:
         if "PATH_NOT_FOUND" not in str(err):
             raise
+        return None
+
+
+def merge_rows(df: DataFrame, path: str, key: list[str]) -> DataFrame:
+    """Add the rows of this run that are new or differ, and return the last row per key.
+
+    Late rows and rows with nulls count like any other. What is stored is never
+    rewritten: each run appends under its number, and the newest row of a key
+    stands. Within a run the keys should be unique; of repeated ones the first
+    in the order of the other columns is taken.
+    """
+    spark, rest = df.sparkSession, [c for c in df.columns if c not in key]
+    once = first_per_key(df, key, [F.col(c) for c in rest])
+    stored_schema = T.StructType([*df.schema.fields, T.StructField(RUN, T.LongType())])
+    held = _stored_rows(spark, stored_schema, path)
+    if held is None:
+        once.withColumn(RUN, F.lit(0).cast("long")).write.parquet(path)
+    else:
+        last = first_per_key(held, key, [F.desc(RUN)])
+        run = held.agg(F.max(RUN)).first()[0]
+        fresh = once.exceptAll(last.drop(RUN)).withColumn(RUN, F.lit(0 if run is None else run + 1).cast("long"))
+        fresh.write.mode("append").parquet(path)
+    return first_per_key(_stored_rows(spark, stored_schema, path), key, [F.desc(RUN)]).drop(RUN)
+
+
+def append_new(df: DataFrame, path: str, cursor: str) -> None:
+    """Append the rows whose ``cursor`` lies past the highest one stored.
+
+    The bound is a single value, so it reaches the scan as a pushed filter. For
+    inputs whose cursor only grows: rows that arrive late or without a cursor
+    value need ``merge_rows``, so they raise an error instead of being lost.
+    """
+    spark = df.sparkSession
+    held = _stored_rows(spark, df.schema, path)
+    if not df.filter(F.col(cursor).isNull()).isEmpty():
+        raise ValueError(f"rows without {cursor}: name a key and merge")
+    if held is None:
         df.write.parquet(path)
         return
-    high = stored.agg(F.max(cursor).alias("high")).first()["high"]
-    fresh = df if high is None else df.filter(F.col(cursor) > F.lit(high))
-    fresh.write.mode("append").parquet(path)
+    high = held.agg(F.max(cursor).alias("high")).first()["high"]
+    if high is not None:
+        seen = held.groupBy(cursor).agg(F.count("*").alias("n"))
+        now = df.filter(F.col(cursor) <= F.lit(high)).groupBy(cursor).agg(F.count("*").alias("m"))
+        if not now.join(seen, cursor, "left").filter(F.col("m") > F.coalesce("n", F.lit(0))).isEmpty():
+            raise ValueError(f"rows arrived late for {cursor}: name a key and merge")
+        df = df.filter(F.col(cursor) > F.lit(high))
+    df.write.mode("append").parquet(path)

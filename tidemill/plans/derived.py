@@ -48,7 +48,9 @@ def dirty_holdings(t: Tables) -> DataFrame:
             F.when(k % 7 == 0, F.lit("  ")).otherwise(F.lit("")),
         )
     )
-    shares = F.concat(F.when(k % 11 == 0, F.lit("'")).otherwise(F.lit("")), _text(100 + k % 900))
+    # a second copy of a row has fewer shares
+    held = F.when(F.col("_copy") == 2, 50 + k % 900).otherwise(100 + k % 900)
+    shares = F.when(k % 61 == 0, F.lit("unknown")).otherwise(F.concat(F.when(k % 11 == 0, F.lit("'")).otherwise(F.lit("")), _text(held)))
     cost = F.concat(
         F.when(k % 3 == 0, F.lit("$")).otherwise(F.lit("")),
         _cents_text(1000 + (k * 7919) % 200000, k % 2 == 0),
@@ -87,7 +89,7 @@ def dirty_prices(t: Tables) -> DataFrame:
         F.concat(F.lit("TK"), _text(k), F.when(k % 9 == 0, F.lit(" ")).otherwise(F.lit(""))).alias("Symbol"),
         F.when(k % 2 == 0, F.lit("2024-03-15")).otherwise(F.lit("03/15/2024")).alias("Date"),
         close.alias("Close"),
-        _text(1000000 + (k * 1009) % 50000000).alias("Volume"),
+        _text(1000000 + (k * 1009) % 50000000 - F.when(F.col("_copy") == 2, 7).otherwise(0)).alias("Volume"),
         change.alias("Change Pct"),
     )
 

@@ -19,6 +19,7 @@ from tidemill.functions.text import (
 )
 from tidemill.session import stored
 
+PROCESSED_AT = "_processed_at"
 BRONZE_METADATA = ["_source_file", "_source_sheet", "_ingested_at"]
 
 
@@ -27,16 +28,23 @@ def _all_but(df: DataFrame, keys: list[str]) -> list[Column]:
     return [F.col(c) for c in df.columns if c not in keys]
 
 
-def silver_holdings(bronze: DataFrame) -> DataFrame:
-    """Typed holdings, one row per ticker; blank rows are gone."""
-    clean = bronze.filter(~is_blank(F.col("Ticker"))).select(
-        bare_ticker(F.col("Ticker")).alias("Ticker"),
+def typed_holdings(bronze: DataFrame) -> DataFrame:
+    """Every holding with its types; what cannot be read is null."""
+    # the shares are used in conditions and as a column
+    read = evaluated_once(bronze, {"_shares": digits_only(F.col("Shares_Held"))})
+    return read.select(
+        F.when(~is_blank(F.col("Ticker")), bare_ticker(F.col("Ticker"))).alias("Ticker"),
         "Company_Name",
-        digits_only(F.col("Shares_Held")).alias("Shares_Held"),
+        F.col("_shares").alias("Shares_Held"),
         money_text(F.col("Cost_Basis")).alias("Cost_Basis"),
         "Sector",
         "Account",
     )
+
+
+def silver_holdings(bronze: DataFrame) -> DataFrame:
+    """Typed holdings, one row per ticker; rows without a ticker or readable shares are gone."""
+    clean = typed_holdings(bronze).filter("Ticker IS NOT NULL AND Shares_Held IS NOT NULL")
     return first_per_key(clean, ["Ticker"], _all_but(clean, ["Ticker"]))
 
 
@@ -55,14 +63,14 @@ def silver_prices(bronze: DataFrame) -> DataFrame:
     return first_per_key(clean, ["Symbol", "Date"], _all_but(clean, ["Symbol", "Date"]))
 
 
-def gold_portfolio(holdings: DataFrame, prices: DataFrame) -> DataFrame:
-    """Market value, cost, profit and weight of every position.
+def with_processed_at(silver: DataFrame) -> DataFrame:
+    """When the rows were cleaned; an export leaves the column out again."""
+    return silver.withColumn(PROCESSED_AT, F.current_timestamp())
 
-    The join is on the ticker alone: a symbol with prices on several dates
-    gives one row per date. See ``gold_portfolio_latest`` for one row. The
-    joined rows are stored, as their total is needed before their weights.
-    """
-    joined = holdings.join(prices, F.col("Ticker") == F.col("Symbol")).select(
+
+def market_values(holdings: DataFrame, prices: DataFrame) -> DataFrame:
+    """Market value, cost and profit of every position, without its weight."""
+    return holdings.join(prices, F.col("Ticker") == F.col("Symbol")).select(
         "Ticker",
         "Company_Name",
         "Sector",
@@ -74,7 +82,16 @@ def gold_portfolio(holdings: DataFrame, prices: DataFrame) -> DataFrame:
         F.round(F.col("Shares_Held") * F.col("Close"), 2).alias("Market_Value"),
         F.round(F.col("Shares_Held") * F.col("Cost_Basis"), 2).alias("Cost_Value"),
     ).withColumn("Unrealized_PnL", F.round(F.col("Market_Value") - F.col("Cost_Value"), 2))
-    positions = stored(joined, "positions")
+
+
+def gold_portfolio(holdings: DataFrame, prices: DataFrame) -> DataFrame:
+    """Market value, cost, profit and weight of every position.
+
+    The join is on the ticker alone: a symbol with prices on several dates
+    gives one row per date. See ``gold_portfolio_latest`` for one row. The
+    joined rows are stored, as their total is needed before their weights.
+    """
+    positions = stored(market_values(holdings, prices), "positions")
     return positions.withColumn("Weight_Pct", share_of_total(positions, "Market_Value"))
 
 

@@ -45,6 +45,29 @@ WINNERS = f"""
     WHERE place = 1
 """
 
+_BID = """'{"advertiser_id":"' || advertiser || '"' ||
+    CASE WHEN (event_id + i) % 19 <> 0 THEN ',"bid_amount":' || CAST((100 + (event_id * 37 + i * 101) % 900) / 100 AS VARCHAR) ELSE '' END ||
+    ',"category":"' || category || '"}'"""
+
+# the messages that cannot be read, letter for letter
+BROKEN_OPPORTUNITIES = f"""
+    SELECT 'msg-' || event_id AS message_id, 'not a readable message' AS reason,
+           'not json {{"opportunity_id":"opp-' || event_id || '","timestamp":"' || STRFTIME(ts, '%Y-%m-%dT%H:%M:%SZ') ||
+           '","user_id":"u_' || user_id || '","content_category":"' ||
+           CASE event_type WHEN 'click' THEN 'sports' WHEN 'view' THEN 'finance' WHEN 'purchase' THEN 'entertainment'
+                WHEN 'signup' THEN 'lifestyle' ELSE 'other' END ||
+           '","device_type":"' || CASE WHEN (event_id // 4) % 2 = 0 THEN 'mobile' ELSE 'desktop' END ||
+           '","region":"region-' || (user_id % 4) || '","bids":[' || COALESCE(bids, '') || ']}}' AS body
+    FROM events LEFT JOIN (
+        SELECT event_id, STRING_AGG({_BID}, ',' ORDER BY i) AS bids FROM (
+            SELECT event_id, i, 'adv_' || LPAD(CAST((event_id * 7 + i * 11) % 20 AS VARCHAR), 2, '0') AS advertiser,
+                   (['sportswear', 'energy_drink', 'fintech', 'insurance', 'streaming', 'gaming', 'beauty', 'travel', 'fast_food', 'auto']
+                     )[1 + (event_id * 7 + i * 3) % 10] AS category
+            FROM events, UNNEST([0, 1, 2]) AS u(i) WHERE i < event_id % 4 AND event_id % 97 = 0)
+        GROUP BY event_id) USING (event_id)
+    WHERE event_id % 97 = 0
+"""
+
 # --- recommender -------------------------------------------------------------
 
 FEATURES = """
@@ -67,12 +90,13 @@ def _hits(popular: str) -> str:
         FROM ({HELD}) h LEFT JOIN ({popular}) p ON h.item_id = p.item_id"""
 
 
-# the whole grid, the known cells struck out, and one free cell drawn from each strip
+# the whole grid, the known cells struck out, and one free cell drawn from each of n strips of them
 NEGATIVES = f"""
     SELECT CAST(draw AS BIGINT) AS draw, user_idx, item_idx FROM (
-        SELECT j AS draw, (j * strip + (j * 7919) % strip) % free AS r FROM (
-            SELECT UNNEST(RANGE(n)) AS j, free, GREATEST(1, free // n) AS strip
-            FROM (SELECT COUNT(*) AS n, (SELECT COUNT(*) FROM u) * (SELECT COUNT(*) FROM i) - COUNT(*) AS free FROM train)))
+        SELECT j AS draw, lo + (j * 7919) % (hi - lo) AS r FROM (
+            SELECT j, CAST(j::HUGEINT * free // n AS BIGINT) AS lo, CAST((j + 1)::HUGEINT * free // n AS BIGINT) AS hi FROM (
+                SELECT UNNEST(RANGE(n)) AS j, n, free
+                FROM (SELECT COUNT(*) AS n, (SELECT COUNT(*) FROM u) * (SELECT COUNT(*) FROM i) - COUNT(*) AS free FROM train))))
     JOIN (
         SELECT user_idx, item_idx, ROW_NUMBER() OVER (ORDER BY user_idx, item_idx) - 1 AS r
         FROM u CROSS JOIN i LEFT JOIN train USING (user_id, item_id) WHERE interaction_score IS NULL) USING (r)
@@ -106,12 +130,11 @@ SQL = {
         SELECT n AS partitions, (SELECT COUNT(*) FROM customer) AS rows, ROUND((SELECT SUM(p) FROM (
             SELECT 1 / (1 + EXP(-(0.03::DOUBLE * (18 + c_custkey % 47) + 0.04::DOUBLE * (20 + c_custkey % 131) - 4.0::DOUBLE))) AS p
             FROM customer)), 6) AS total_prob, n AS partitions_used
-        FROM (VALUES (1::BIGINT), (4), (16)) v(n)""",
+        FROM (VALUES (4::BIGINT), (16), (32)) v(n)""",
     "auction_scores": f"""
         SELECT opportunity_id, advertiser_id, bid_amount, relevance, time_bonus, device_bonus, score FROM ({SCORES})""",
     "auction_winners": f"SELECT * EXCLUDE (event_id, ts) FROM ({WINNERS})",
-    "auction_quarantine": """
-        SELECT 'msg-' || event_id AS message_id, 'not a readable message' AS reason FROM events WHERE event_id % 97 = 0""",
+    "auction_quarantine": BROKEN_OPPORTUNITIES,
     "auction_wins": f"SELECT winning_advertiser_id, COUNT(*) AS wins FROM ({WINNERS}) GROUP BY 1",
     "auction_wins_by_category": f"""
         SELECT content_category, winning_advertiser_id, COUNT(*) AS wins FROM ({WINNERS}) GROUP BY 1, 2""",
@@ -139,6 +162,16 @@ SQL = {
     "popular_items": _popular("SUM(interaction_score)"),
     "hit_rate": _hits(_popular("SUM(interaction_score)")),
     "negative_samples": f"{INDEXED} SELECT draw, user_idx, item_idx FROM negatives",
+    # properties, not the formula: as many new pairs as known ones, and every user with enough free cells gets some
+    "negative_checks": f"""
+        SELECT COUNT(*) AS draws, COUNT(*) AS pairs, (SELECT COUNT(DISTINCT user_id) FROM ({FEATURES})) AS users, 0::BIGINT AS known FROM ({TRAIN})""",
+    "als_checks": f"""
+        SELECT COUNT(DISTINCT user_id) AS users, LEAST(10, COUNT(DISTINCT item_id)) AS least, LEAST(10, COUNT(DISTINCT item_id)) AS most,
+               0::BIGINT AS repeated, 0::BIGINT AS unscored, 0::BIGINT AS unknown_items, TRUE AS hits_are_joined_pairs FROM ({TRAIN})""",
+    "run_log_checks": """
+        SELECT * FROM (VALUES ('run-1', 'popular', 'algorithm=popularity', 'hit_rate', TRUE),
+            ('run-2', 'als', 'algorithm=ALS-implicit,maxIter=10,rank=20,regParam=0.1', 'hit_rate', TRUE))
+            v(run_id, model, params, metric, is_share)""",
     "training_pairs": f"""{INDEXED}
         SELECT user_idx, item_idx, ROUND(interaction_score / (SELECT MAX(interaction_score) FROM train), 6) AS label
         FROM train JOIN u USING (user_id) JOIN i USING (item_id)
@@ -161,11 +194,16 @@ SQL = {
                ROUND(ABS(b.hit_rate - a.hit_rate), 6) AS margin
         FROM ({_hits(_popular("SUM(interaction_score)"))}) a CROSS JOIN ({_hits(_popular("COUNT(*)"))}) b""",
     "auction_stream": f"SELECT * EXCLUDE (event_id, ts) FROM ({WINNERS})",
-    "auction_stream_retries": """
-        SELECT 'msg-' || event_id AS message_id, 'not a readable message' AS reason FROM events WHERE event_id % 97 = 0""",
+    "auction_stream_retries": BROKEN_OPPORTUNITIES,
     "stream_parsed": READINGS,
     "stream_unreadable": """
-        SELECT 's' || (user_id % 3) || '-sensor-0' || (1 + user_id % 6) AS key FROM events WHERE event_id % 101 = 0""",
+        SELECT student || '-' || sensor_id AS key,
+               'broken {"reading_id":' || reading_id || ',"student":"' || student || '","sensor_id":"' || sensor_id ||
+               '","temperature_c":' || CAST(temperature_c AS VARCHAR) || ',"humidity_pct":' || CAST(humidity_pct AS VARCHAR) ||
+               ',"timestamp":"' || STRFTIME(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}' AS value
+        FROM (SELECT event_id AS reading_id, 's' || (user_id % 3) AS student, 'sensor-0' || (1 + user_id % 6) AS sensor_id,
+                     (180 + event_id % 171) / 10 AS temperature_c, (300 + event_id % 601) / 10 AS humidity_pct, ts
+              FROM events WHERE event_id % 101 = 0)""",
     "stream_tag_counts": f"""
         SELECT COUNT(*) FILTER (WHERE student = 's1') AS messages, COUNT(*) FILTER (WHERE student <> 's1') AS skipped
         FROM ({READINGS})""",
@@ -178,8 +216,7 @@ SQL = {
         SELECT DATE_TRUNC('day', "at")::TIMESTAMP AS window_start, sensor_id, COUNT(*) AS readings, {MEAN} AS avg_temperature
         FROM ({READINGS}) GROUP BY 1, 2
         HAVING window_start + INTERVAL 1 DAY <= (SELECT MAX("at") - INTERVAL 1 HOUR FROM ({READINGS}))""",
-    "stream_dedup": f"""
-        SELECT sensor_id, COUNT(*) AS rows, COUNT(DISTINCT reading_id) AS readings FROM ({READINGS}) GROUP BY 1""",
+    "stream_dedup": READINGS,
     "alert_messages": f"""
         SELECT student || '-' || sensor_id AS key,
                '{{"reading_id":' || reading_id || ',"student":"' || student || '","sensor_id":"' || sensor_id ||

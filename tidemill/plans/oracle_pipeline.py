@@ -21,13 +21,18 @@ def _cents_text(cents: str, comma: str) -> str:
         ELSE CAST({whole} AS VARCHAR) END || '.' || LPAD(CAST(({cents}) % 100 AS VARCHAR), 2, '0'))"""
 
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
 K = "p_partkey"
 HOLDINGS = f"""
     SELECT CASE WHEN {K} % 50 <> 0 THEN CASE WHEN {K} % 53 = 0 THEN 'nan'
              ELSE CASE WHEN {K} % 5 = 0 THEN 'NYSE:' ELSE '' END || 'TK' || {K} || CASE WHEN {K} % 7 = 0 THEN '  ' ELSE '' END
              END END AS "Ticker",
            CASE WHEN {K} % 50 <> 0 THEN p_name END AS "Company_Name",
-           CASE WHEN {K} % 50 <> 0 THEN CASE WHEN {K} % 11 = 0 THEN '''' ELSE '' END || (100 + {K} % 900) END AS "Shares_Held",
+           CASE WHEN {K} % 50 <> 0 THEN CASE WHEN {K} % 61 = 0 THEN 'unknown' ELSE CASE WHEN {K} % 11 = 0 THEN '''' ELSE '' END
+             || (CASE WHEN copy = 2 THEN 50 ELSE 100 END + {K} % 900) END END AS "Shares_Held",
            CASE WHEN {K} % 50 <> 0 THEN CASE WHEN {K} % 3 = 0 THEN '$' ELSE '' END ||
              {_cents_text(f'1000 + ({K} * 7919) % 200000', f'{K} % 2 = 0')} END AS "Cost_Basis",
            CASE WHEN {K} % 50 <> 0 THEN p_type END AS "Sector",
@@ -40,27 +45,39 @@ PRICES = f"""
            CASE WHEN {K} % 2 = 0 THEN '2024-03-15' ELSE '03/15/2024' END AS "Date",
            CASE WHEN {K} % 25 = 0 THEN 'N/A' ELSE CASE WHEN {K} % 3 = 0 THEN '$' ELSE '' END ||
              {_cents_text(f'1000 + ({K} * 104729) % 200000', f'{K} % 2 = 0')} END AS "Close",
-           CAST(1000000 + ({K} * 1009) % 50000000 AS VARCHAR) AS "Volume",
+           CAST(1000000 + ({K} * 1009) % 50000000 - CASE WHEN copy = 2 THEN 7 ELSE 0 END AS VARCHAR) AS "Volume",
            CASE WHEN {K} % 13 = 0 THEN '-' ELSE CASE WHEN {K} % 2 = 0 THEN '-' ELSE '' END || ({K} % 5) || '.' || ({K} % 10)
              END AS "Change_Pct"
     FROM part, UNNEST(CASE WHEN {K} % 30 = 0 THEN [1, 2] ELSE [1] END) AS u(copy)
 """
 
-SILVER_H = f"""
-    SELECT DISTINCT TRIM(REGEXP_REPLACE(TRIM("Ticker"), '^[A-Z]+:', '')) AS "Ticker", "Company_Name",
-           TRY_CAST(REGEXP_REPLACE("Shares_Held", '[^0-9]', '', 'g') AS INTEGER) AS "Shares_Held",
+TYPED_H = f"""
+    SELECT CASE WHEN "Ticker" IS NOT NULL AND TRIM("Ticker") NOT IN ('', 'nan')
+             THEN TRIM(REGEXP_REPLACE(TRIM("Ticker"), '^[A-Z]+:', '')) END AS "Ticker", "Company_Name",
+           TRY_CAST(REGEXP_REPLACE("Shares_Held", '[^0-9]', '', 'g') AS BIGINT) AS "Shares_Held",
            TRY_CAST(REGEXP_REPLACE("Cost_Basis", '[\\$,]', '', 'g') AS DOUBLE) AS "Cost_Basis", "Sector", "Account"
-    FROM ({HOLDINGS}) WHERE "Ticker" IS NOT NULL AND TRIM("Ticker") NOT IN ('', 'nan')
+    FROM ({HOLDINGS})
+"""
+
+SILVER_H = f"""
+    SELECT * EXCLUDE (place) FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY "Ticker" ORDER BY "Company_Name" NULLS FIRST, "Shares_Held", "Cost_Basis" NULLS FIRST,
+                                     "Sector" NULLS FIRST, "Account" NULLS FIRST) AS place
+        FROM ({TYPED_H}) WHERE "Ticker" IS NOT NULL AND "Shares_Held" IS NOT NULL)
+    WHERE place = 1
 """
 
 SILVER_P = f"""
-    SELECT * FROM (
-        SELECT DISTINCT TRIM("Symbol") AS "Symbol",
-            CAST(CASE WHEN "Date" LIKE '%/%' THEN STRPTIME("Date", '%m/%d/%Y') ELSE STRPTIME("Date", '%Y-%m-%d') END AS DATE) AS "Date",
-            TRY_CAST(REGEXP_REPLACE(NULLIF("Close", 'N/A'), '[\\$,]', '', 'g') AS DOUBLE) AS "Close",
-            TRY_CAST(REGEXP_REPLACE("Volume", '[^0-9]', '', 'g') AS INTEGER) AS "Volume",
-            TRY_CAST(NULLIF("Change_Pct", '-') AS DOUBLE) AS "Change_Pct"
-        FROM ({PRICES})) WHERE "Close" IS NOT NULL
+    SELECT * EXCLUDE (place) FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY "Symbol", "Date" ORDER BY "Close", "Volume" NULLS FIRST, "Change_Pct" NULLS FIRST) AS place
+        FROM (
+            SELECT TRIM("Symbol") AS "Symbol",
+                CAST(CASE WHEN "Date" LIKE '%/%' THEN STRPTIME("Date", '%m/%d/%Y') ELSE STRPTIME("Date", '%Y-%m-%d') END AS DATE) AS "Date",
+                TRY_CAST(REGEXP_REPLACE(NULLIF("Close", 'N/A'), '[\\$,]', '', 'g') AS DOUBLE) AS "Close",
+                TRY_CAST(REGEXP_REPLACE("Volume", '[^0-9]', '', 'g') AS BIGINT) AS "Volume",
+                TRY_CAST(NULLIF("Change_Pct", '-') AS DOUBLE) AS "Change_Pct"
+            FROM ({PRICES})) WHERE "Close" IS NOT NULL)
+    WHERE place = 1
 """
 
 
@@ -100,8 +117,7 @@ def _edge(dataset: str, name: str, rows: str) -> str:
 
 SQL = {
     "csv_roundtrip": f"""
-        SELECT CAST(order_id AS INTEGER) AS order_id, CAST(customer_id AS INTEGER) AS customer_id, customer_name, segment,
-               total_price, status, priority FROM ({WORKING})""",
+        SELECT * REPLACE (CAST(order_id AS INTEGER) AS order_id, CAST(customer_id AS INTEGER) AS customer_id) FROM ({WORKING})""",
     "parquet_roundtrip": f"SELECT customer_name, total_price FROM ({WORKING})",
     "format_counts": f"""
         SELECT f AS format, (SELECT COUNT(*) FROM ({WORKING})) AS rows
@@ -112,9 +128,13 @@ SQL = {
     "events_json_fields": """
         SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS item_id, event_type FROM events""",
     "snapshot_history": """
-        SELECT 0 :: BIGINT AS version, 'WRITE' AS operation, 0 :: BIGINT AS rows_changed
-        UNION ALL SELECT 1, 'UPDATE', COUNT(*) FROM orders WHERE o_orderpriority = '1-URGENT'""",
+        SELECT 0 :: BIGINT AS version, 'WRITE' AS operation, TIMESTAMP '2024-01-01' AS committed_at, COUNT(*) AS rows_written FROM orders
+        UNION ALL SELECT 1, 'UPDATE', TIMESTAMP '2024-01-03', COUNT(*) FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "snapshot_as_of": WORKING,
+    "snapshot_as_of_time": WORKING,
+    "decimal_export": """
+        SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price, o_orderstatus FROM orders""",
+    "table_inventory": " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS rows FROM {n}" for n in TABLES),
     "snapshot_update": f"""
         SELECT * REPLACE (CASE WHEN priority = '1-URGENT' THEN 'CRITICAL' ELSE priority END AS priority) FROM ({WORKING})""",
     "snapshot_diff": """
@@ -157,12 +177,21 @@ SQL = {
              ("Silver: Prices", SILVER_P), ("Gold: Portfolio", PORTFOLIO), ("Gold: Sectors", SECTORS)], 1)
     ),
     "expect_report": " UNION ALL ".join([
-        _rule("valid_ticker", HOLDINGS, """("Ticker" IS NOT NULL AND "Ticker" <> 'nan')"""),
-        _rule("has_shares", HOLDINGS, '("Shares_Held" IS NOT NULL)'),
-        _rule("has_market_value", PORTFOLIO, '("Market_Value" > 10000)'),
+        _rule("valid_ticker", TYPED_H, """("Ticker" IS NOT NULL AND "Ticker" <> 'nan')"""),
+        _rule("has_shares", TYPED_H, '("Shares_Held" IS NOT NULL)'),
+        _rule("has_market_value", PORTFOLIO, '("Market_Value" > 0)'),
     ]),
     "expect_or_drop": f"""
-        SELECT *, {META_H} FROM ({HOLDINGS}) WHERE "Ticker" <> 'nan' AND "Shares_Held" IS NOT NULL""",
+        SELECT * FROM ({TYPED_H}) WHERE "Ticker" <> 'nan' AND "Shares_Held" IS NOT NULL""",
+    "gold_checks": " UNION ALL ".join([
+        *[_rule(c, PORTFOLIO, f'"{c}" IS NOT NULL') for c in ("Shares_Held", "Cost_Basis", "Market_Value")],
+        _rule("known_holding", PORTFOLIO, f'"Ticker" IN (SELECT "Ticker" FROM ({SILVER_H}))'),
+    ]),
+    "dq_weight_total": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", SUM(CAST("Weight_Pct" AS DECIMAL(18,2)) * {by})::DOUBLE AS total,
+                   ABS(SUM(CAST("Weight_Pct" AS DECIMAL(18,2)) * {by})::DOUBLE - 100.0::DOUBLE) AS drift FROM ({PORTFOLIO})"""
+        for name, by in (("Weight_Pct", 1), ("Double_Pct", 2))
+    ),
     "dq_unique": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
     "dq_not_null": f"""SELECT *, {META_H} FROM ({HOLDINGS}) WHERE "Ticker" IS NULL""",
@@ -185,4 +214,5 @@ SQL = {
         _edge("gold_sector_allocation", "gold_portfolio", PORTFOLIO),
     ]),
     "incremental_orders": "SELECT * FROM orders",
+    "incremental_merge": "SELECT * FROM orders",
 }

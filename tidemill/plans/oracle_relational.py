@@ -53,6 +53,7 @@ SQL = {
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
                o_orderdate AS order_date, o_totalprice AS total_price FROM orders""",
     "sample_orders": f"SELECT * FROM ({WORKING}) ORDER BY order_id LIMIT 100000",
+    "sample_orders_small": f"SELECT * FROM ({WORKING}) ORDER BY order_id LIMIT 1000",
     "distinct_segments": "SELECT DISTINCT c_mktsegment AS segment FROM customer",
     "segment_balance": f"""
         SELECT c_mktsegment, COUNT(*) AS num_customers, {_avg('c_acctbal')} AS avg_balance

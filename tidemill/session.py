@@ -39,6 +39,19 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def prepare(spark: SparkSession) -> None:
+    """Let checkpoints go to the shared folder where one is known; jobs without any need none."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.master.startswith("local"):
+        shared_folder(spark)
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Remove what the jobs of this session's folder have stored. Only call it when no result is read any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/tidemill")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run's output; runs never share or overwrite one."""
     return f"{shared_folder(spark).rstrip('/')}/tidemill/{name}-{uuid.uuid4().hex}"

@@ -86,15 +86,15 @@ def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.parquet")
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"))
 
 
-def export_csv(df: DataFrame, folder: str, name: str, drop: list[str], one_file_rows: int = 1_000_000) -> str:
+def export_csv(df: DataFrame, folder: str, name: str, drop: list[str], files: int | None = None) -> str:
     """A versioned CSV export ``<name>_v<timestamp>.csv`` without the metadata columns.
 
-    Small results become one file; larger ones stay spread over the tasks.
+    The caller says into how many files; by default each task writes its own.
     """
     path = f"{folder.rstrip('/')}/{name}_v{datetime.now():%Y%m%d_%H%M%S_%f}.csv"
-    rows = df.drop(*drop).checkpoint()
-    if rows.count() <= one_file_rows:
-        rows = rows.coalesce(1)
+    rows = df.drop(*drop)
+    if files is not None:
+        rows = rows.repartition(files)
     rows.write.mode("overwrite").option("header", "true").csv(path)
     return path
 

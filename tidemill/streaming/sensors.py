@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemill.functions.latest import first_per_key
 from tidemill.functions.once import evaluated_once
-from tidemill.sources import snapshots
 
 READING_SCHEMA = (
     "reading_id long, student string, sensor_id string, temperature_c double, humidity_pct double, timestamp string"
@@ -87,31 +87,39 @@ def run_batches(df: DataFrame, checkpoint: str, mode: str, write: Callable[[Data
     return query
 
 
-def upsert_sink(path: str, key: list[str], order: list[Column], slices: int = 16) -> Callable[[DataFrame, int], None]:
-    """Keep the newest row per key in a versioned table; a repeated batch changes nothing."""
+BATCH = "batch_id"
+
+
+def append_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Append every micro-batch under its number; a batch costs its own rows only."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        snapshots.upsert(rows, path, key, [F.desc("batch_id"), *order], tag=f"batch-{batch_id}", slices=slices)
+        batch.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
 
     return write
 
 
+def newest(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
+    """The newest row per key of an appended stream; a batch that came twice changes nothing."""
+    rows = spark.read.parquet(path)
+    return first_per_key(rows, key, [F.desc(BATCH)]).drop(BATCH)
+
+
 # --- transformations -------------------------------------------------------------
 
 def _parsed(messages: DataFrame) -> DataFrame:
     reading = F.from_json("value", f"{READING_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    return evaluated_once(messages, {"_r": reading}).select("key", "value", "_r.*")
+    parsed = evaluated_once(messages, {"_r": reading}).select("key", "value", "_r.*")
+    return evaluated_once(parsed, {"at": F.try_to_timestamp("timestamp")})
 
 
 def _readable() -> Column:
-    return F.col("value").isNotNull() & F.col("_bad").isNull()
+    return F.col("value").isNotNull() & F.col("_bad").isNull() & F.col("at").isNotNull()
 
 
 def readings(messages: DataFrame) -> DataFrame:
-    """Messages that are readable, with the event time as ``at``."""
-    good = _parsed(messages).filter(_readable())
-    return good.select(*READING_FIELDS, F.try_to_timestamp("timestamp").alias("at"))
+    """Messages that are readable and have a readable time, as ``at``."""
+    return _parsed(messages).filter(_readable()).select(*READING_FIELDS, "at")
 
 
 def unreadable(messages: DataFrame) -> DataFrame:
