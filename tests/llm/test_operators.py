@@ -18,6 +18,7 @@ from tidemill.llm import (
     mixing,
     nbsvm,
     phrase_dedup,
+    recurring,
     suffix_dedup,
     weak_rules,
 )
@@ -99,6 +100,22 @@ def test_phrases_random(spark, seed):
     assert got(out, "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256") == sorted(plain.phrase_dedup(rows), key=repr)
 
 
+@pytest.mark.parametrize("limit", [0, 2])
+def test_hot_keys_give_the_same(spark, monkeypatch, limit):
+    """Keys with many contents go another way, to the same result."""
+    monkeypatch.setattr(recurring, "HOT_CONTENTS", limit)
+    rng = random.Random(9)
+    part = prose(77, 70, 50)
+    rows = [(i, " ".join([prose(200 + i, 9, 5), *part.split()[rng.randrange(12) : 60 + rng.randrange(10)], prose(300 + i, 9, 5)])) for i in range(25)]
+    rows += odd_rows()[7:]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    out = phrase_dedup.remove_repeated(df)
+    assert got(out, "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256") == sorted(plain.phrase_dedup(rows), key=repr)
+    out = suffix_dedup.remove_repeated(df, 120)
+    assert got(out, "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", "dedup.kept_sha256") == sorted(plain.suffix_dedup(rows, 120), key=repr)
+
+
 # --- suffix dedup ------------------------------------------------------------
 
 

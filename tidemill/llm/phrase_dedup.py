@@ -12,6 +12,8 @@ covers them whose word sequence also starts in a document with a smaller id.
 3. Each shard compiles its phrases into an Aho-Corasick automaton over word
    numbers and streams its passages through it. Every hit locates the windows
    that hold the phrase; equal windows meet, and the smallest id owns them.
+   A phrase with too many different passages for one shard is looked up window
+   by window instead, with partial sums.
 4. The spans go back to the documents by id.
 
 Nulls and empty texts have no words. A null id counts as larger than any other.
@@ -91,11 +93,13 @@ def repeated_spans(texts: DataFrame, window: int = 50, gram: int = 16) -> DataFr
     """``doc``, ``sig`` and the word spans to remove, for texts that have any."""
     found = rec.recurring(rec.runs(texts, window, gram, words=True), across_documents=True)
     groups = rec.contents(found)
-    differing = groups.filter("differ")
-    n, shards = parts_for(differing, F.col("at.last") - F.col("at.first") + F.lit(window - 1), SHARD_WORDS)
+    differing, hot = rec.split_by_heat(groups)
+    _, shards = parts_for(differing, F.col("at.last") - F.col("at.first") + F.lit(window - 1), SHARD_WORDS)
     cut = rec.by_bucket(rec.pieces(texts, differing, window, words=True), shards)
     parts = cut.mapInPandas(lambda batches: rec.in_buckets(batches, lambda rows: shard_parts(rows, window, gram)), f"key long, content long, part {SPAN}")
     parts = parts.dropDuplicates(["key", "content"])
+    if hot is not None:
+        parts = parts.unionByName(rec.by_window(rec.pieces(texts, hot, window, words=True), window, True, F.col("least") < F.col("owner")))
     return rec.spans_of(found, groups, parts, window, F.col("doc") > F.col("owner"))
 
 

@@ -19,6 +19,8 @@ from tidemill.llm import rolling as R
 from tidemill.llm.common import prepared, stored
 
 RUNS = "key long, content long, doc long, sig long, first long, last long, again boolean"
+#: A key with more contents is not given to one task.
+HOT_CONTENTS = 4096
 PIECES = "key long, content long, owner long, piece binary"
 
 
@@ -129,6 +131,41 @@ def in_buckets(batches, work):
         yield work(pd.concat(held, ignore_index=True))
 
 
+def split_by_heat(groups: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The groups whose contents differ: of keys that one task can take whole, and of hotter keys (none: null)."""
+    differing = groups.filter("differ")
+    hot = differing.groupBy("key").agg(F.count(F.lit(1)).alias("contents")).filter(F.col("contents") > HOT_CONTENTS).select("key")
+    if hot.isEmpty():
+        return differing, None
+    return differing.join(hot, "key", "left_anti"), differing.join(hot, "key")
+
+
+def by_window(cut: DataFrame, window: int, words: bool, taken: Column) -> DataFrame:
+    """``key, content, part`` for pieces of hot keys, window by window.
+
+    Equal windows meet by their hash within a key, counted with partial sums, so
+    no task holds a key whole. ``taken`` is a condition on ``n`` (places of the
+    window), ``least`` (its smallest owner) and ``owner``.
+    """
+
+    def scan(batches):
+        for pdf in batches:
+            for rows in R.slabs(zip(pdf["key"], pdf["piece"], pdf["content"], pdf["owner"], strict=True)):
+                slab, prefix = _units([r[1] for r in rows], words)
+                n = np.diff(slab.bounds) - window + 1
+                of = np.repeat(np.arange(len(rows)), n)
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                start = slab.bounds[of] + at
+                column = lambda i: np.array([r[i] for r in rows], np.int64)[of]  # noqa: B023, E731
+                whole = prefix.stretch(start, start + window).view(np.int64)
+                yield pd.DataFrame({"key": column(0), "content": column(2), "owner": column(3), "at": at, "whole": whole})
+
+    each = cut.mapInPandas(scan, "key long, content long, owner long, at long, whole long")
+    met = each.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("owner").alias("least"))
+    hit = each.join(met, ["key", "whole"]).filter(taken)
+    return hit.groupBy("key", "content").agg(F.collect_set(F.struct(F.col("at").alias("a"), (F.col("at") + F.lit(window)).alias("b"))).alias("part"))
+
+
 def spans_of(runs_found: DataFrame, groups: DataFrame, parts: DataFrame, window: int, whole: Column) -> DataFrame:
     """The spans of every text that has any.
 
@@ -147,4 +184,4 @@ def spans_of(runs_found: DataFrame, groups: DataFrame, parts: DataFrame, window:
     )
 
 
-__all__ = ["PIECES", "RUNS", "by_bucket", "contents", "in_buckets", "pieces", "prepared", "recurring", "runs", "spans_of"]
+__all__ = ["PIECES", "RUNS", "by_bucket", "by_window", "contents", "in_buckets", "pieces", "prepared", "recurring", "runs", "spans_of", "split_by_heat"]

@@ -5,7 +5,8 @@ covers it also starts anywhere else, in the same text or another.
 
 1. Windows that cannot recur are left out (``recurring.py``); what remains are
    pieces, one for each content, dealt to buckets by key. Equal strings of
-   ``size`` bytes are in the same bucket.
+   ``size`` bytes are in the same bucket. A key with too many different pieces
+   for one bucket is looked up window by window instead, with partial sums.
 2. A bucket's pieces are split into shards. The symbols of a shard are blocks of
    ``stride`` bytes, one starting at every byte, and the chain of a byte goes on
    ``stride`` bytes further; ``size`` is ``depth`` strides. The shard's suffixes
@@ -157,10 +158,13 @@ def repeated_spans(texts: DataFrame, size: int = 400, gram: int | None = None) -
     """``doc``, ``sig`` and the byte spans to remove, for texts that have any."""
     found = rec.recurring(rec.runs(texts, size, gram or max(1, size * 8 // 25), words=False), across_documents=False)
     groups = rec.contents(found)
-    differing = groups.filter("differ")
-    n, buckets = parts_for(differing, F.col("at.last") - F.col("at.first") + F.lit(size - 1), BUCKET_BYTES)
+    differing, hot = rec.split_by_heat(groups)
+    _, buckets = parts_for(differing, F.col("at.last") - F.col("at.first") + F.lit(size - 1), BUCKET_BYTES)
     cut = rec.by_bucket(rec.pieces(texts, differing, size, words=False).dropDuplicates(["key", "content"]), buckets)
     parts = cut.mapInPandas(lambda batches: rec.in_buckets(batches, lambda rows: bucket_parts(rows, size)), f"key long, content long, part {SPAN}")
+    if hot is not None:
+        cut = rec.pieces(texts, hot, size, words=False).dropDuplicates(["key", "content"])
+        parts = parts.unionByName(rec.by_window(cut, size, False, F.col("n") > 1))
     return rec.spans_of(found, groups, parts, size, F.col("n") > 1)
 
 
