@@ -38,17 +38,19 @@ def _ahead(blocked: DataFrame, block: str, values: dict[str, Column]) -> DataFra
     )
 
 
-def running_total(df: DataFrame, block: str, order: str, values: dict[str, Column]) -> DataFrame:
+def running_total(df: DataFrame, block: str, order: str | list[str], values: dict[str, Column]) -> DataFrame:
     """Running sums along ``order``.
 
     ``block`` must rise with ``order``, which must be unique, or peers would
     be cut. ``values`` maps each new column to the amount it adds up. ``df``
-    is computed once and checkpointed, as its rows are read twice.
+    is computed once and checkpointed, as its rows are read twice. Blocks of
+    ``range_blocks`` are as few as the shuffle partitions; other blocks carry
+    no hint, as nothing bounds their number.
     """
     held = df.withColumns({f"_v_{n}": v for n, v in values.items()}).checkpoint()
     ahead = _ahead(held, block, {n: F.sum(f"_v_{n}") for n in values})
     local = W.partitionBy(block).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return held.join(F.broadcast(ahead), block).select(  # one row per block
+    return held.join(F.broadcast(ahead) if block == BLOCK else ahead, block).select(  # one row per block
         *df.columns,
         *[(F.sum(f"_v_{n}").over(local) + F.col(f"_ahead_{n}")).alias(n) for n in values],
     )
