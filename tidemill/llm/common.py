@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemill.session import shared_folder, stored
 
-#: Rows handed to Python at once. Texts may be long, so batches are small.
-BATCH_ROWS = 250
+#: Bytes handed to Python at once: texts may be long, so batches are bounded by size.
+BATCH_BYTES = "4m"
 #: Stands for a missing id: it counts as larger than any other.
 NO_ID = (1 << 63) - 1
 
@@ -18,7 +18,7 @@ SPAN = "array<struct<a:long,b:long>>"
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Small batches towards Python, and the cluster's shared folder for checkpoints."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     shared_folder(spark)
     return spark
 
@@ -85,4 +85,4 @@ def ranges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-__all__ = ["BATCH_ROWS", "NO_ID", "SPAN", "besides", "col", "identity", "merged", "parts_for", "prepared", "ranges", "stored", "texts_of", "unused"]
+__all__ = ["BATCH_BYTES", "NO_ID", "SPAN", "besides", "col", "identity", "merged", "parts_for", "prepared", "ranges", "stored", "texts_of", "unused"]
