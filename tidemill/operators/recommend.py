@@ -57,7 +57,8 @@ def indexed_features(features: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     none = F.lit(None)
     users = features.select("user_id", none.cast(features.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("kind"))
     items = features.select(none.cast(features.schema["user_id"].dataType).alias("user_id"), "item_id", F.lit(1).alias("kind"))
-    ids = numbered(users.unionByName(items).distinct(), "kind", "user_id", "item_id").checkpoint()
+    distinct = users.distinct().unionByName(items.distinct()).checkpoint()  # ranges are drawn from it, then it is split
+    ids = numbered(distinct, "kind", "user_id", "item_id").checkpoint()
     n_users = ids.filter("kind = 0").count()
     users = ids.filter("kind = 0").select("user_id", F.col("position").alias("user_idx"))
     items = ids.filter("kind = 1").select("item_id", (F.col("position") - n_users).alias("item_idx"))
@@ -182,7 +183,7 @@ def negative_pairs(train: DataFrame, n_users: int, n_items: int, short: str = "r
     so neither dense users nor long runs meet in one task.
     """
     cells = train.select((F.col("user_idx") * F.lit(n_items) + F.col("item_idx")).cast("long").alias("cell"))
-    known = numbered(cells, "cell", name="j")
+    known = numbered(cells, "cell", name="j").checkpoint()  # counted, drawn from and stepped through
     n = known.count()
     free = n_users * n_items - n
     if free < n and short != "keep":

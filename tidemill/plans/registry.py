@@ -554,7 +554,8 @@ def hit_rate(t: Tables) -> DataFrame:
 
 
 def _indexed_train(t: Tables) -> tuple[DataFrame, int, int]:
-    features, users, items = recommend.indexed_features(_features(t))
+    """Train with dense ids; the features are stored, as ids and train read them several times."""
+    features, users, items = recommend.indexed_features(stored(_features(t), "features"))
     train, _ = recommend.holdout_split(features)
     return train, users.count(), items.count()
 
