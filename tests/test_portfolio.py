@@ -130,9 +130,9 @@ def test_blank_marks_are_dropped(spark, bronze):
 
 def test_expectations(spark, silver, bronze):
     rules = {"valid_ticker": "Ticker IS NOT NULL", "has_shares": "Shares_Held IS NOT NULL", "big": "Shares_Held > 150"}
-    kept, report = quality.expect_or_drop(medallion.typed_holdings(bronze[0]), rules)
-    assert kept.count() == 7
-    assert rows(report.select("rule", "rows", "failed")) == [("big", 12, 5), ("has_shares", 12, 3), ("valid_ticker", 12, 1)]
+    kept, report = quality.expect_or_drop(medallion.cleaned_holdings(bronze[0]), rules)
+    assert kept.count() == 5
+    assert rows(report.select("rule", "rows", "failed")) == [("big", 10, 5), ("has_shares", 10, 3), ("valid_ticker", 10, 1)]
     with pytest.raises(quality.ExpectationFailed, match="valid_ticker: 1 of 12"):
         quality.expect_or_fail(bronze[0], {"valid_ticker": "Ticker IS NOT NULL"})
     assert quality.expect_or_fail(silver[0], {"valid_ticker": "Ticker IS NOT NULL"}).count() == 7

@@ -17,6 +17,7 @@ from tidemill.functions.text import (
     mixed_date,
     money_text,
 )
+from tidemill.operators.quality import expect_or_drop
 from tidemill.session import stored
 
 PROCESSED_AT = "_processed_at"
@@ -42,10 +43,22 @@ def typed_holdings(bronze: DataFrame) -> DataFrame:
     )
 
 
+def cleaned_holdings(bronze: DataFrame) -> DataFrame:
+    """Typed holdings, one row per ticker: the output that the drop rules look at.
+
+    Of several rows one with readable shares stays, if there is any.
+    """
+    typed = typed_holdings(bronze)
+    return first_per_key(typed, ["Ticker"], [F.col("Shares_Held").isNull(), *_all_but(typed, ["Ticker"])])
+
+
+# The rules and their names.
+HOLDING_RULES = {"valid_ticker": "Ticker IS NOT NULL AND Ticker <> 'nan'", "has_shares": "Shares_Held IS NOT NULL"}
+
+
 def silver_holdings(bronze: DataFrame) -> DataFrame:
-    """Typed holdings, one row per ticker; rows without a ticker or readable shares are gone."""
-    clean = typed_holdings(bronze).filter("Ticker IS NOT NULL AND Shares_Held IS NOT NULL")
-    return first_per_key(clean, ["Ticker"], _all_but(clean, ["Ticker"]))
+    """Cleaned holdings that satisfy every rule: rows without a ticker or readable shares are gone."""
+    return expect_or_drop(cleaned_holdings(bronze), HOLDING_RULES)[0]
 
 
 def silver_prices(bronze: DataFrame) -> DataFrame:

@@ -59,14 +59,16 @@ TYPED_H = f"""
     FROM ({HOLDINGS})
 """
 
-SILVER_H = f"""
+CLEANED_H = f"""
     SELECT * EXCLUDE (place) FROM (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY "Ticker" ORDER BY "Company_Name" NULLS FIRST, "Shares_Held", "Cost_Basis" NULLS FIRST,
-                                     "Sector" NULLS FIRST, "Account" NULLS FIRST) AS place
-        FROM ({TYPED_H}) WHERE "Ticker" IS NOT NULL AND "Shares_Held" IS NOT NULL)
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY "Ticker" ORDER BY "Shares_Held" IS NULL, "Company_Name" NULLS FIRST, "Shares_Held",
+                                     "Cost_Basis" NULLS FIRST, "Sector" NULLS FIRST, "Account" NULLS FIRST) AS place
+        FROM ({TYPED_H}))
     WHERE place = 1
 """
 
+SILVER_H = f"""SELECT * FROM ({CLEANED_H}) WHERE "Ticker" IS NOT NULL AND "Shares_Held" IS NOT NULL"""
+
 SILVER_P = f"""
     SELECT * EXCLUDE (place) FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY "Symbol", "Date" ORDER BY "Close", "Volume" NULLS FIRST, "Change_Pct" NULLS FIRST) AS place
@@ -177,12 +179,12 @@ SQL = {
              ("Silver: Prices", SILVER_P), ("Gold: Portfolio", PORTFOLIO), ("Gold: Sectors", SECTORS)], 1)
     ),
     "expect_report": " UNION ALL ".join([
-        _rule("valid_ticker", TYPED_H, """("Ticker" IS NOT NULL AND "Ticker" <> 'nan')"""),
-        _rule("has_shares", TYPED_H, '("Shares_Held" IS NOT NULL)'),
+        _rule("valid_ticker", CLEANED_H, """("Ticker" IS NOT NULL AND "Ticker" <> 'nan')"""),
+        _rule("has_shares", CLEANED_H, '("Shares_Held" IS NOT NULL)'),
         _rule("has_market_value", PORTFOLIO, '("Market_Value" > 0)'),
     ]),
     "expect_or_drop": f"""
-        SELECT * FROM ({TYPED_H}) WHERE "Ticker" <> 'nan' AND "Shares_Held" IS NOT NULL""",
+        SELECT * FROM ({CLEANED_H}) WHERE "Ticker" <> 'nan' AND "Shares_Held" IS NOT NULL""",
     "gold_checks": " UNION ALL ".join([
         *[_rule(c, PORTFOLIO, f'"{c}" IS NOT NULL') for c in ("Shares_Held", "Cost_Basis", "Market_Value")],
         _rule("known_holding", PORTFOLIO, f'"Ticker" IN (SELECT "Ticker" FROM ({SILVER_H}))'),

@@ -317,19 +317,15 @@ job(layer_funnel)
 
 # --- data quality ----------------------------------------------------------------------------
 
-# The rules and their names.
-HOLDING_RULES = {"valid_ticker": "Ticker IS NOT NULL AND Ticker <> 'nan'", "has_shares": "Shares_Held IS NOT NULL"}
-
-
 def expect_report(t: Tables) -> DataFrame:
-    """The drop rules on the typed holdings and a warn rule on the portfolio."""
-    typed = quality.expect(medallion.typed_holdings(_bronze_holdings(t)), HOLDING_RULES)
+    """The drop rules on the cleaned holdings and a warn rule on the portfolio."""
+    cleaned = quality.expect(medallion.cleaned_holdings(_bronze_holdings(t)), medallion.HOLDING_RULES)
     values = medallion.market_values(*_silver(t))
-    return typed.unionByName(quality.expect(values, {"has_market_value": "Market_Value > 0"}))
+    return cleaned.unionByName(quality.expect(values, {"has_market_value": "Market_Value > 0"}))
 
 
 def expect_or_drop(t: Tables) -> DataFrame:
-    kept, _ = quality.expect_or_drop(medallion.typed_holdings(_bronze_holdings(t)), HOLDING_RULES)
+    kept, _ = quality.expect_or_drop(medallion.cleaned_holdings(_bronze_holdings(t)), medallion.HOLDING_RULES)
     return kept
 
 
