@@ -191,4 +191,6 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     if not sum(s.slots for s in sources):
         empty = cut.withColumns({"shard": F.lit(0).cast("long"), "slot": F.lit(0).cast("long")}).limit(0)
         return Mix(rows, empty)
-    return Mix(rows, slots_of(spark, sources, shard_slots, seed).join(cut, ["sid", "block"]))
+    slots = slots_of(spark, sources, shard_slots, seed)
+    # the size of slots is estimated from the draws they are spread from, thousands of times too low
+    return Mix(rows, slots.hint("merge").join(cut, ["sid", "block"]))
