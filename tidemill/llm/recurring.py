@@ -162,7 +162,7 @@ def by_window(cut: DataFrame, window: int, words: bool, taken: Column) -> DataFr
 
     each = cut.mapInPandas(scan, "key long, content long, owner long, at long, whole long")
     met = each.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("owner").alias("least"))
-    hit = each.join(met, ["key", "whole"]).filter(taken)
+    hit = each.join(met.hint("merge"), ["key", "whole"]).filter(taken)  # windows are far more than the pieces they are estimated from
     return hit.groupBy("key", "content").agg(F.collect_set(F.struct(F.col("at").alias("a"), (F.col("at") + F.lit(window)).alias("b"))).alias("part"))
 
 
