@@ -9,8 +9,8 @@
    hash, with every other: a star, so pairs grow with members, not their square.
 4. Candidate pairs pass a size bound and are confirmed on the full sets.
 5. A star can miss two members that resemble each other and not its centre.
-   Buckets whose members are still in several components get a second star with
-   another centre. What is then still open is searched exactly, across components
+   Buckets whose members are still in several components get a second star around
+   the member that shares the most buckets with the most others. What is then still open is searched exactly, across components
    only: shingles are ordered by rarity, a pair at the threshold shares one of
    the first fifth of both sets, and the places of the first shared shingle bound
    how much may follow. In a group of edited copies the edits are the rarest
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import rolling as R
@@ -114,9 +114,10 @@ def _pairs(spokes: DataFrame, percent: int) -> DataFrame:
     return ends.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
 
 
-def _open(members: DataFrame, comps: DataFrame, centre: Column) -> DataFrame:
-    """The members of buckets that hold several components, with their component and a centre."""
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their component and the bucket's weightiest member."""
     placed = members.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    centre = F.max(F.struct("weight", "rep", "n")).alias("hub")
     still = placed.groupBy("bucket").agg(centre, F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
     return stored(placed.join(still.drop("low", "high"), "bucket"), "open-buckets")
 
@@ -161,29 +162,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     )
     banded = classes.select("rep", "sig", "n", F.explode("bands").alias("bucket"))
 
-    def centre(draw: int) -> Column:
-        return F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(draw)).alias("h"), "rep", "n")).alias("hub")
-
-    hubs = banded.groupBy("bucket").agg(centre(0), F.min("rep").alias("low"), F.max("rep").alias("high"))
+    # the first in an order that all buckets share, so that those of a group choose alike
+    drawn = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("hub")
+    hubs = banded.groupBy("bucket").agg(drawn, F.count(F.lit(1)).alias("size"), F.min("rep").alias("low"), F.max("rep").alias("high"))
     members = stored(banded.join(hubs.filter("low < high").drop("low", "high"), "bucket"), "bucket-members")
     tested = stored(_pairs(members, percent), "pairs")
     sets = stored(_sets_of(texts, members.select(F.col("rep").alias("doc"), "sig").distinct(), size), "sets")
     links = stored(similar(tested, sets, percent), "links")
     comps = components(links)
-    members = members.select("bucket", "rep", "n")
+    # who shares the most buckets with the most others is closest to the middle of its group
+    weights = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    members = stored(members.select("bucket", "rep", "n").join(weights, "rep"), "weighted-members")
 
     def widened(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         fresh = stored(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         more = stored(similar(fresh, sets, percent), "links")
         return tested.union(fresh), links if more.isEmpty() else links.union(more)
 
-    placed = _open(members, comps, centre(1))
+    placed = _open(members, comps)
     hub_comp = comps.select(F.col("node"), F.col("comp").alias("hub_comp"))
     apart = placed.join(hub_comp, F.col("hub.rep") == F.col("node"), "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub.rep"))
     tested, now = widened(_pairs(apart, percent))
     if now is not links:
         links, comps = now, components(now)
-        placed = _open(members, comps, centre(2))
+        placed = _open(members, comps)
     _, now = widened(across(placed.select("rep", "n", "comp").distinct(), sets, percent))
     if now is not links:
         comps = components(now)
