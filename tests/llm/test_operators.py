@@ -194,6 +194,22 @@ def test_near_duplicates_odd_rows(odd):
     assert kept.columns == df.columns
 
 
+def test_near_duplicates_without_or_with_repeated_ids(spark):
+    """Rows that share an id, or have none, are not linked by that."""
+    a, b, c, d, e = (prose(400 + i, 100, 3000) for i in range(5))
+    rows = [(1, a), (2, b), (None, a + " x"), (None, b + " y"), (None, c), (7, d), (7, e), (8, d + " z"), (9, e + " z"), (9, e + " zz")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.text: (r.component_id, r.kept) for r in minhash_dedup.near_duplicates(df, size=4).select("text", "near.*").collect()}
+    assert found == {
+        a: (1, True), a + " x": (1, False), b: (2, True), b + " y": (2, False), c: (None, True),
+        d: (7, True), e: (7, True), d + " z": (7, False), e + " z": (7, False), e + " zz": (7, False),
+    }
+    assert sorted(r.text for r in minhash_dedup.deduplicated(df, size=4).collect()) == sorted([a, b, c, d, e])
+    # of a component without any id, or within one id, one text stays
+    same = spark.createDataFrame([(None, a), (None, a + " x"), (3, b), (3, b + " y"), (3, b)], "doc_id long, text string")
+    assert minhash_dedup.deduplicated(same, size=4).count() == 2
+
+
 def test_signatures_agree_as_often_as_sets():
     import numpy as np
 

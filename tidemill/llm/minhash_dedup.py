@@ -18,7 +18,9 @@
 
 The default bands miss a pair at the threshold with a probability below 1e-7.
 Null and empty texts have no shingles and are linked with nothing. A null id
-counts as larger than any other. Repeated rows are in one class.
+counts as larger than any other. Repeated rows are in one class. Classes are told
+by their sets and only named by ids, so rows that share an id, or have none, are
+compared like any others; the one kept of a component is the first by id and text hash.
 """
 
 from __future__ import annotations
@@ -100,54 +102,54 @@ def signed(texts: DataFrame, size: int) -> DataFrame:
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    left = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
-    right = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
+    left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
     return pairs.join(left, "b").join(right, "a").filter(common * 100 >= union * percent).select("a", "b").distinct()
 
 
 def _pairs(spokes: DataFrame, percent: int) -> DataFrame:
-    """Centre and member of every spoke, the smaller id first, if their sizes allow the threshold."""
+    """Centre and member of every spoke, the smaller number first, if their sizes allow the threshold."""
     a, b = F.least("n", "hub.n"), F.greatest("n", "hub.n")
-    ends = spokes.filter((a * 100 >= b * percent) & (F.col("rep") != F.col("hub.rep")))
-    return ends.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
+    ends = spokes.filter((a * 100 >= b * percent) & (F.col("node") != F.col("hub.node")))
+    return ends.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     """The members of buckets that hold several components, with their component and the bucket's weightiest member."""
-    placed = members.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    centre = F.max(F.struct("weight", "rep", "n")).alias("hub")
+    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    centre = F.max(F.struct("weight", "node", "n")).alias("hub")
     still = placed.groupBy("bucket").agg(centre, F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
     return stored(placed.join(still.drop("low", "high"), "bucket"), "open-buckets")
 
 
 def across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ``nodes`` (``rep, n, comp``) of different components that may reach the threshold; none that does is left out."""
-    grams = nodes.join(sets, nodes.rep == sets.doc).select("rep", "n", "comp", F.explode("shingles").alias("s"))
+    """Pairs of ``nodes`` (``node, n, comp``) of different components that may reach the threshold; none that does is left out."""
+    grams = nodes.join(sets, "node").select("node", "n", "comp", F.explode("shingles").alias("s"))
     shared = grams.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    sorted_ = grams.join(shared, "s").groupBy("rep", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("g"))
+    sorted_ = grams.join(shared, "s").groupBy("node", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("g"))
     # shingles of one set alone come first; they take up places and match nothing
     alone = F.col("n") - F.size("g")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     first = sorted_.withColumn("alone", alone).withColumn("g", F.slice("g", 1, F.greatest(prefix - F.col("alone"), F.lit(0)).cast("int")))
-    tokens = first.select("rep", "n", "comp", F.posexplode("g").alias("at", "g"), "alone").select("rep", "n", "comp", (F.col("at") + F.col("alone")).alias("at"), F.col("g.s").alias("s"))
-    x, y = (tokens.select("s", *[F.col(c).alias(c + end) for c in ("rep", "n", "comp", "at")]) for end in "xy")
+    tokens = first.select("node", "n", "comp", F.posexplode("g").alias("at", "g"), "alone").select("node", "n", "comp", (F.col("at") + F.col("alone")).alias("at"), F.col("g.s").alias("s"))
+    x, y = (tokens.select("s", *[F.col(c).alias(c + end) for c in ("node", "n", "comp", "at")]) for end in "xy")
     low, high = F.least("nx", "ny"), F.greatest("nx", "ny")
     follow = F.least(F.col("nx") - F.col("atx"), F.col("ny") - F.col("aty"))
     fits = (low * 100 >= high * percent) & (follow * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent)
     met = x.join(y, "s").filter((F.col("compx") < F.col("compy")) & fits)
-    return met.select(F.least("repx", "repy").alias("a"), F.greatest("repx", "repy").alias("b")).distinct()
+    return met.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
 
 def _sets_of(texts: DataFrame, members: DataFrame, size: int) -> DataFrame:
     def scan(batches):
         for pdf in batches:
-            for rows in R.slabs(zip(pdf["doc"], pdf["text"], strict=True)):
+            for rows in R.slabs(zip(pdf["node"], pdf["text"], strict=True)):
                 sets = shingle_sets([r[1] for r in rows], size)
-                yield pd.DataFrame({"doc": [r[0] for r in rows], "shingles": [s.view(np.int64) for s in sets]})
+                yield pd.DataFrame({"node": [r[0] for r in rows], "shingles": [s.view(np.int64) for s in sets]})
 
-    return texts.join(members, ["doc", "sig"]).dropDuplicates(["doc", "sig"]).select("doc", "text").mapInPandas(scan, "doc long, shingles array<long>")
+    return texts.join(members, ["doc", "sig"]).dropDuplicates(["doc", "sig"]).select("node", "text").mapInPandas(scan, "node long, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", result: str = "near") -> DataFrame:
@@ -155,24 +157,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     prepared(docs.sparkSession)
     texts = texts_of(docs, id_col, text_col)
     rows = stored(signed(texts, size), "signed")
+    # ids may be missing or repeated, so a class is told by its set alone
+    node = F.xxhash64("set_a", "set_b", "n").alias("node")
     classes = stored(
-        rows.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min(F.struct("doc", "sig")).alias("r"), F.min_by("bands", "doc").alias("bands"))
-        .select("set_a", "set_b", "n", F.col("r.doc").alias("rep"), F.col("r.sig").alias("sig"), "bands"),
+        rows.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min(F.struct("doc", "sig")).alias("first"), F.min_by("bands", "doc").alias("bands"))
+        .select(node, "n", "first", "bands"),
         "classes",
     )
-    banded = classes.select("rep", "sig", "n", F.explode("bands").alias("bucket"))
+    banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
 
     # the first in an order that all buckets share, so that those of a group choose alike
-    drawn = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("hub")
-    hubs = banded.groupBy("bucket").agg(drawn, F.count(F.lit(1)).alias("size"), F.min("rep").alias("low"), F.max("rep").alias("high"))
+    drawn = F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("hub")
+    hubs = banded.groupBy("bucket").agg(drawn, F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.max("node").alias("high"))
     members = stored(banded.join(hubs.filter("low < high").drop("low", "high"), "bucket"), "bucket-members")
     tested = stored(_pairs(members, percent), "pairs")
-    sets = stored(_sets_of(texts, members.select(F.col("rep").alias("doc"), "sig").distinct(), size), "sets")
+    compared = classes.select("node", "first.doc", "first.sig").join(members.select("node").distinct(), "node", "left_semi")
+    sets = stored(_sets_of(texts, compared, size), "sets")
     links = stored(similar(tested, sets, percent), "links")
     comps = components(links)
     # who shares the most buckets with the most others is closest to the middle of its group
-    weights = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    members = stored(members.select("bucket", "rep", "n").join(weights, "rep"), "weighted-members")
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = stored(members.select("bucket", "node", "n").join(weights, "node"), "weighted-members")
 
     def widened(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         fresh = stored(found.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -180,18 +185,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         return tested.union(fresh), links if more.isEmpty() else links.union(more)
 
     placed = _open(members, comps)
-    hub_comp = comps.select(F.col("node"), F.col("comp").alias("hub_comp"))
-    apart = placed.join(hub_comp, F.col("hub.rep") == F.col("node"), "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub.rep"))
+    hub_comp = comps.select(F.col("node").alias("hub_node"), F.col("comp").alias("hub_comp"))
+    apart = placed.join(hub_comp, F.col("hub.node") == F.col("hub_node"), "left").filter(F.col("comp") != F.coalesce("hub_comp", "hub.node"))
     tested, now = widened(_pairs(apart, percent))
     if now is not links:
         links, comps = now, components(now)
         placed = _open(members, comps)
-    _, now = widened(across(placed.select("rep", "n", "comp").distinct(), sets, percent))
+    _, now = widened(across(placed.select("node", "n", "comp").distinct(), sets, percent))
     if now is not links:
         comps = components(now)
-    by_class = classes.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("set_a", "set_b", "n", F.coalesce("comp", "rep").alias("component"))
-    sized = rows.select("doc", "sig", "n", "set_a", "set_b").dropDuplicates(["doc", "sig"])
-    placed = sized.join(by_class, ["set_a", "set_b", "n"], "left").select("doc", "sig", "n", F.coalesce("component", "doc").alias("component"))
+    # only now the ids: a component is named after its first document
+    linked = stored(classes.select("node", "first").join(comps, "node"), "linked")
+    tops = linked.groupBy("comp").agg(F.min("first").alias("top"))
+    tops = stored(linked.select("node", "comp").join(tops, "comp").select("node", "top"), "tops")
+    by_class = classes.select("node", "first").join(tops, "node", "left").select("node", F.coalesce("top", "first").alias("top"))
+    sized = rows.select("doc", "sig", "n", node).dropDuplicates(["doc", "sig"])
+    own = F.struct("doc", "sig")
+    placed = sized.join(by_class, "node", "left").withColumn("top", F.coalesce("top", own))
+    placed = placed.select("doc", "sig", "n", F.col("top.doc").alias("component"), (F.col("top") == own).alias("kept"))
     return with_classes(docs, placed, id_col, text_col, result)
 
 
@@ -211,7 +222,7 @@ def with_classes(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str,
     value = F.struct(
         F.col("n").alias("n_shingles"),
         F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"),
-        (F.col("doc") == F.col("component")).alias("kept"),
+        "kept",
     )
     right = placed.select(F.col("doc").alias(doc), F.col("sig").alias(sig), value.alias(out))
     return left.join(right, [doc, sig]).select(*besides(docs, result), F.col(out).alias(result))
