@@ -319,6 +319,24 @@ def test_template_text_is_not_content(spark):
     assert (out[20], out[21], out[22], out[23]) == ("", "plain words", "a bc", "kept\n\n1 < 2\n\nxA")
 
 
+def test_articles_are_not_set_aside(spark):
+    """Only whole classes and attributes of their own name set a container aside, and none that holds the article."""
+    pages = [
+        '<div style="overflow:hidden" title="Hidden gems" aria-hidden="false"><p>body</p></div>',
+        '<main class="content has-sidebar"><p>body</p></main>',
+        '<div id="page" class="no-sidebar"><p>body</p></div>',
+        '<article class="post share-enabled sidebar"><p>body</p></article>',
+        '<div class="sidebar"><article>body</article></div>',
+        '<form id="all"><main><p>body</p></main></form>',
+        "<title-bar>bo</title-bar><button-group>dy</button-group>",
+        "<div><p>body</p></div><div hidden>not this</div><div class='wide widget-2'>nor this</div><button>nor this</button>",
+        "<article>body<div class='comments'><article>not this</article></div></article><aside><article>nor this</article></aside>",
+    ]
+    df = spark.createDataFrame([(i, f"http://{i}.example/", f"<html><body>{p}</body></html>") for i, p in enumerate(pages)], "page_id long, url string, html string")
+    out = {r.page_id: "".join(r.main_text.split()) for r in html_template.extract(df).collect()}
+    assert out == {i: "body" for i in range(len(pages))}
+
+
 def test_pages_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_template.extract(df).count() == 0

@@ -41,17 +41,19 @@ MIN_PAGES = 4
 _RAW = "script|style|textarea|noscript|template|title|iframe|svg|select|button"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+#: An attribute with its value, so that no value is read as a name; or a string without a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+SIGNS = frozenset("class id role itemprop hidden".split())
 
 CONTAINERS = frozenset("html head body header nav main article section aside footer form div ul ol dl table dialog menu figure details fieldset".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre tr caption figcaption hr address summary legend tbody thead tfoot".split())
-#: Containers that hold no part of an article, by name and by the words of their class, id or role.
+#: Containers that hold no part of an article, by name and by a class, id or role, whole but for a number at its end.
 ASIDE = frozenset("head nav aside footer form dialog menu".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies "
@@ -59,75 +61,114 @@ ASIDE_WORDS = frozenset(
     "popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe "
     "subscription toolbar widget".split()
 )
-_WORD = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"[-_0-9]+$")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
 def signs_of(attrs: str) -> tuple[str, frozenset]:
     """A tag's class, id and role without digits, and their words."""
-    if not attrs or "=" not in attrs and "hidden" not in attrs:
+    if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
         return "", frozenset()
-    found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in _ATTRIBUTE.finditer(attrs)]
+    found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in _ATTRIBUTE.finditer(attrs) if m[1]]
+    found = [(n, v) for n, v in found if n in SIGNS]
     sign = ",".join(f"{n}={re.sub(r'[0-9]+', '', v)}" for n, v in found)
-    words = {w for n, v in found if n != "itemprop" for w in _WORD.findall(v)}
+    words = {_NUMBER.sub("", w) for n, v in found if n not in ("itemprop", "hidden") for w in v.split()}
     if any(n == "hidden" for n, _ in found):
         words.add("notice")
     return sign, frozenset(words)
 
 
+class Box:
+    """An open container: where it stands, its outermost article, and whether its name or its words set it aside."""
+
+    __slots__ = ("article", "by_name", "by_words", "name", "path", "up")
+
+    def __init__(self, name: str, path: str, up: Box | None, article: Box | None, by_name: bool, by_words: bool):
+        self.name, self.path, self.up, self.by_name, self.by_words = name, path, up, by_name, by_words
+        self.article = article
+
+    def around(self) -> Iterator[Box]:
+        """This container and those it stands in."""
+        box = self
+        while box is not None:
+            yield box
+            box = box.up
+
+    def aside(self) -> bool:
+        return any(b.by_name or b.by_words for b in self.around())
+
+
 class Page:
-    """The tokens of a page, and its texts by block with what encloses them."""
+    """The tokens of a page, and its texts by block with what encloses them.
+
+    An article is never set aside by the words of what holds it, and by its
+    names only if the page has another article outside of such containers.
+    """
 
     def __init__(self, source: str):
         self.tokens: Counter = Counter()
         self.parents: dict[str, str] = {}
-        self.texts: list[tuple[int, str, str, bool, bool]] = []  # block, text, token, within an article, set aside
-        self.stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, within an article, set aside
+        self.texts: list[tuple[int, str, str, Box]] = []  # block, text, token, container
+        self.stack: list[Box] = [Box("", "", None, None, False, False)]
+        self.articles: list[Box] = []  # those in no other
         self.block = 0
         for m in _TOKEN.finditer(source):
             if m["name"]:
                 self.tag(m["name"].lower(), bool(m["close"]), m["attrs"])
             elif m["text"]:
                 self.text(m["text"])
+        for box in self.articles:
+            for b in box.around():
+                b.by_words = False
+        if all(box.aside() for box in self.articles):
+            for box in self.articles:
+                for b in box.around():
+                    b.by_name = False
 
     def seen(self, token: str) -> None:
         self.tokens[token] += 1
-        self.parents[token] = self.stack[-1][1]
+        self.parents[token] = self.stack[-1].path
 
     def tag(self, name: str, close: bool, attrs: str) -> None:
         if name in BLOCKS:
             self.block += 1
         if close:
-            if name in CONTAINERS and any(s[0] == name for s in self.stack):
-                while self.stack.pop()[0] != name:
+            if name in CONTAINERS and any(s.name == name for s in self.stack):
+                while self.stack.pop().name != name:
                     pass
-            self.seen(f"{self.stack[-1][1]}</{name}")
+            self.seen(f"{self.stack[-1].path}</{name}")
             return
         sign, words = signs_of(attrs)
-        token = f"{self.stack[-1][1]}/{name}[{sign}]" if sign else f"{self.stack[-1][1]}/{name}"
+        up = self.stack[-1]
+        token = f"{up.path}/{name}[{sign}]" if sign else f"{up.path}/{name}"
         self.seen(token)
         if name in CONTAINERS and not attrs.endswith("/"):
-            _, _, article, aside = self.stack[-1]
-            aside = aside or name in ASIDE or name not in ("html", "body") and bool(words & ASIDE_WORDS) or name == "header" and not article
-            self.stack.append((name, token, article or name in ("article", "main") or "articlebody" in sign, aside))
+            is_article = name in ("article", "main") or "articlebody" in sign
+            by_name = name in ASIDE or name == "header" and up.article is None
+            by_words = name not in ("html", "body") and not is_article and bool(words & ASIDE_WORDS)
+            box = Box(name, token, up, up.article, by_name and not is_article, by_words)
+            if is_article and up.article is None:
+                box.article = box
+                self.articles.append(box)
+            self.stack.append(box)
         elif name == "br":
-            self.texts.append((self.block, " ", "", self.stack[-1][2], self.stack[-1][3]))
+            self.texts.append((self.block, " ", "", up))
 
     def text(self, raw: str) -> None:
-        _, path, article, aside = self.stack[-1]
+        box = self.stack[-1]
         token = ""
-        if not (article or aside) and raw.strip():
-            token = f"{path}#{' '.join(raw.split())}"
+        if box.article is None and not box.aside() and raw.strip():
+            token = f"{box.path}#{' '.join(raw.split())}"
             self.seen(token)
-        self.texts.append((self.block, raw, token, article, aside))
+        self.texts.append((self.block, raw, token, box))
 
     def main_text(self, template: set | frozenset) -> str:
         """The blocks of the slots that hold the article."""
-        kept = [t for t in self.texts if t[3] and not t[4]]
+        kept = [t for t in self.texts if t[3].article and not t[3].aside()]
         if not any(t[1].strip() for t in kept):
-            kept = [t for t in self.texts if not t[4] and token_number(t[2]) not in template]
+            kept = [t for t in self.texts if not t[3].aside() and token_number(t[2]) not in template]
         blocks: dict[int, list[str]] = {}
-        for block, raw, _, _, _ in kept:
+        for block, raw, _, _ in kept:
             blocks.setdefault(block, []).append(raw)
         # character references may span no tags, so each text is decoded whole
         joined = (" ".join("".join(entities.unescape(x) for x in b).split()) for b in blocks.values())
