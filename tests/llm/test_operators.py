@@ -319,6 +319,31 @@ def test_template_text_is_not_content(spark):
     assert (out[20], out[21], out[22], out[23]) == ("", "plain words", "a bc", "kept\n\n1 < 2\n\nxA")
 
 
+def test_template_within_the_article(spark):
+    """Texts that a site repeats go wherever they stand, though no name or class tells; copies of an article stay."""
+    block = "<div class='x7'><p>{}</p><p>{}</p></div>"
+    promo, note = block.format("Write to us today", "It costs nothing"), block.replace("x7", "y8").format("Some pages only", "as we say there")
+    rows, want = [], {}
+
+    def add(host, at, body, text):
+        rows.append((len(rows), f"http://{host}.example/{at}", f"<html><body><div><p>The Site</p></div>{body}</body></html>"))
+        want[len(rows) - 1] = text
+
+    for i in range(20):
+        text = prose(600 + i, 60)
+        add("all", i, f"<article><h1>T{i}</h1>{promo}<p>{text}</p>{note if i % 4 == 1 else ''}</article>", f"T{i}\n\n{text}")
+        # the body is in a div, only comments are articles
+        add("div", i, f"<div id='c'><p>{text}</p></div><article><p>me too {i}</p></article>", f"{text}\n\nme too {i}")
+        add("two", i, f"<div id='c'><p>{text}</p></div>{''.join(f'<article><p>see {i} {k} {prose(i, 50)}</p></article>' for k in (1, 2))}", f"{text}\n\nsee {i} 1 {prose(i, 50)}\n\nsee {i} 2 {prose(i, 50)}")
+        # a fourth of the pages are copies of one article
+        same = [prose(700 + k, 20) for k in range(4)] if i % 4 == 0 else [prose(800 + 4 * i + k, 20) for k in range(4)]
+        add("copies", i, f"<main>{''.join(f'<p>{x}</p>' for x in same)}</main>", "\n\n".join(same))
+    for i in range(5):
+        add("mirror", i, "<article><p>one and the same</p><p>page</p></article>", "one and the same\n\npage")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.main_text for r in html_template.extract(df).collect()} == want
+
+
 def test_articles_are_not_set_aside(spark):
     """Only whole classes and attributes of their own name set a container aside, and none that holds the article."""
     pages = [

@@ -5,13 +5,19 @@
    often each page has it. Vectors are never built: a digest over (page, count)
    pairs, added up with partial sums, is equal for equal vectors.
 2. Tokens of a host with equal vectors form an equivalence class. A class is
-   valid if half of the pages have it and it has ``MIN_CLASS`` tokens or more,
-   and it nests if its tokens stand in containers of one class.
-3. The nested valid classes are the host's template. Texts that belong to it are
-   the site's; what remains are the slots' contents.
-4. Of the slots, those of the article are extracted: containers that say they
-   are menus, notices, adverts, forms, comments and the like are left out. On a
-   page without ``article`` or ``main``, all other slots are taken.
+   valid if a twentieth of the pages have it, ``MIN_PAGES`` or half of them at
+   least, and it has ``MIN_CLASS`` tokens or more, and it nests if its tokens
+   stand in containers of one class.
+3. The nested valid classes are the host's template, wherever they stand. Texts
+   that belong to it are the site's; what remains are the slots' contents.
+4. Names and classes of containers label the slots. Slots of menus, notices,
+   adverts, forms, comments and the like are left out. If one ``article`` or
+   ``main`` holds at least as much of the rest as stands outside, it is taken
+   alone, else all of the rest.
+
+Copies of an article recur like a template. Classes that only some pages have
+are therefore left in a page of which they make up more than half, and an article
+of which nothing would remain is taken whole.
 
 A host may hold any share of the pages: only token counts are grouped by host.
 Pages of hosts too rare for a template are extracted by their containers alone.
@@ -23,7 +29,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,6 +43,8 @@ from tidemill.llm.common import col as named
 MIN_CLASS = 3
 #: A host with fewer pages has no template.
 MIN_PAGES = 4
+#: A class is on one in so many pages of its host at least, which also bounds a host's template.
+ONE_IN = 20
 
 _RAW = "script|style|textarea|noscript|template|title|iframe|svg|select|button"
 _TOKEN = re.compile(
@@ -111,6 +119,7 @@ class Page:
         self.texts: list[tuple[int, str, str, Box]] = []  # block, text, token, container
         self.stack: list[Box] = [Box("", "", None, None, False, False)]
         self.articles: list[Box] = []  # those in no other
+        self.text_tokens: dict[str, Box] = {}
         self.block = 0
         for m in _TOKEN.finditer(source):
             if m["name"]:
@@ -157,24 +166,36 @@ class Page:
     def text(self, raw: str) -> None:
         box = self.stack[-1]
         token = ""
-        if box.article is None and not box.aside() and raw.strip():
+        if raw.strip():
             token = f"{box.path}#{' '.join(raw.split())}"
             self.seen(token)
+            self.text_tokens[token] = box
         self.texts.append((self.block, raw, token, box))
 
-    def main_text(self, template: set | frozenset) -> str:
-        """The blocks of the slots that hold the article."""
-        kept = [t for t in self.texts if t[3].article and not t[3].aside()]
-        if not any(t[1].strip() for t in kept):
-            kept = [t for t in self.texts if not t[3].aside() and token_number(t[2]) not in template]
+    def main_text(self, everywhere: set | frozenset, elsewhere: set | frozenset) -> str:
+        """The blocks of the slots that hold the article; the template's texts are those of all pages and those of some."""
+        slots = [(t, token_number(t[2])) for t in self.texts if not t[3].aside()]
+        rest = [(t, n) for t, n in slots if n not in everywhere]
+        if not size_of(t for t, _ in rest):
+            rest = [(t, n) for t, n in slots if t[3].article]
+        within = [(t, n) for t, n in rest if t[3].article]
+        if len({id(t[3].article) for t, _ in within if t[1].strip()}) == 1 and 2 * size_of(t for t, _ in within) >= size_of(t for t, _ in rest):
+            rest = within
+        own = [(t, n) for t, n in rest if n not in elsewhere]
+        if 2 * size_of(t for t, _ in own) >= size_of(t for t, _ in rest):
+            rest = own
         blocks: dict[int, list[str]] = {}
-        for block, raw, _, _ in kept:
+        for (block, raw, _, _), _ in rest:
             blocks.setdefault(block, []).append(raw)
         # character references may span no tags, so each text is decoded whole
         joined = (" ".join("".join(entities.unescape(x) for x in b).split()) for b in blocks.values())
         return "\n\n".join(b for b in joined if b)
 
 
+def size_of(texts: Iterable[tuple]) -> int:
+    return sum(len(raw.strip()) for _, raw, _, _ in texts)
+
+
 def token_number(token: str) -> int:
     """A 64-bit number for a token; 0 for none."""
     if not token:
@@ -187,35 +208,37 @@ def host_of(url: str = "url"):
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """``host, page, token, parent, n`` for pages given as ``host, page, html``."""
+    """``host, page, token, parent, n, slot`` for pages given as ``host, page, html``; a slot is a text that is not set aside."""
 
     def scan(batches) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for host, page, source in zip(pdf["host"], pdf["page"], pdf["html"], strict=True):
                 p = Page(source)
-                rows += [(host, page, token_number(t), token_number(p.parents[t]), n) for t, n in p.tokens.items()]
-            yield pd.DataFrame(rows, columns=["host", "page", "token", "parent", "n"])
+                texts = p.text_tokens
+                rows += [(host, page, token_number(t), token_number(p.parents[t]), n, t in texts and not texts[t].aside()) for t, n in p.tokens.items()]
+            yield pd.DataFrame(rows, columns=["host", "page", "token", "parent", "n", "slot"])
 
-    return pages.mapInPandas(scan, "host string, page long, token long, parent long, n long")
+    return pages.mapInPandas(scan, "host string, page long, token long, parent long, n long, slot boolean")
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, token, class, parent_class``: the nested valid classes of every host."""
+    """``host, token, class, parent_class, slot, everywhere``: the nested valid classes of every host."""
     hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES)
     vectors = occurrences(pages).groupBy("host", "token", "parent").agg(
-        F.count(F.lit(1)).alias("seen"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("page", "n")).alias("vector")
+        F.count(F.lit(1)).alias("seen"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.max("slot").alias("slot")
     )
-    frequent = stored(vectors.join(hosts, "host").filter("seen * 2 >= pages"), "frequent-tokens")
+    often = f"seen * 2 >= pages or seen >= {MIN_PAGES} and seen * {ONE_IN} >= pages"
+    frequent = stored(vectors.filter("seen > 1").join(hosts, "host").filter(often), "frequent-tokens")
     keys = ["host", "seen", "total", "vector"]
     classes = frequent.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.min("token").alias("class")).filter(F.col("size") >= MIN_CLASS)
-    members = frequent.join(classes, keys).select("host", "token", "parent", "class")
+    members = frequent.join(classes, keys).select("host", "token", "parent", "class", "slot", (F.col("seen") == F.col("pages")).alias("everywhere"))
     enclosing = members.select("host", F.col("token").alias("parent"), F.col("class").alias("parent_class"))
     # a class nests if its tokens stand in containers of its own class and of one other at most
     placed = members.join(enclosing, ["host", "parent"], "left")
     others = F.when(F.col("parent_class") != F.col("class"), F.col("parent_class"))
     nests = placed.groupBy("host", "class").agg(F.min(others).alias("low"), F.max(others).alias("high")).filter("low is null or low = high")
-    return members.join(nests.select("host", "class", F.col("low").alias("parent_class")), ["host", "class"]).select("host", "token", "class", "parent_class")
+    return members.join(nests.select("host", "class", F.col("low").alias("parent_class")), ["host", "class"]).select("host", "token", "class", "parent_class", "slot", "everywhere")
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", result: str = "main_text") -> DataFrame:
@@ -225,10 +248,13 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", resu
     source = F.coalesce(named(html_col).cast("string"), F.lit(""))
     plain = pages.select(host_of(url_col).alias("host"), F.xxhash64(named(url_col), source).alias("page"), source.alias("html"))
     # one row per host; written first, so that its size decides how it is joined
-    by_host = stored(templates(plain).groupBy("host").agg(F.collect_set("token").alias("tokens")), "templates")
+    tokens = F.struct(*[F.collect_set(F.when(c, F.col("token"))).alias(n) for n, c in (("everywhere", F.col("everywhere")), ("elsewhere", ~F.col("everywhere")))])
+    by_host = stored(templates(plain).filter("slot").groupBy("host").agg(tokens.alias("tokens")), "templates")
 
-    def read(sources: pd.Series, tokens: pd.Series) -> pd.Series:
-        return pd.Series([Page(s).main_text(frozenset(() if t is None else t)) for s, t in zip(sources, tokens, strict=True)], dtype=object)
+    def read(sources: pd.Series, everywhere: pd.Series, elsewhere: pd.Series) -> pd.Series:
+        known = [[frozenset(() if t is None else t) for t in tokens] for tokens in (everywhere, elsewhere)]
+        return pd.Series([Page(s).main_text(*t) for s, *t in zip(sources, *known, strict=True)], dtype=object)
 
     joined = pages.withColumn(host, host_of(url_col)).join(by_host.select(F.col("host").alias(host), F.col("tokens").alias(found)), host, "left")
-    return joined.withColumn(out, F.pandas_udf(read, "string")(source, F.col(found))).select(*besides(pages, result), F.col(out).alias(result))
+    text = F.pandas_udf(read, "string")(source, F.col(found)["everywhere"], F.col(found)["elsewhere"])
+    return joined.withColumn(out, text).select(*besides(pages, result), F.col(out).alias(result))
