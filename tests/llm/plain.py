@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from itertools import permutations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALPHANUMERIC = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -133,3 +135,74 @@ def shares(sizes: dict, weights=(3, 1, 2), share=1.5, most=2):
             target[s] = most * sizes[s]
             fixed.add(s)
     return target
+
+
+def looped(words, doc):
+    """The words of every tenth document, repeated with a period from some place on."""
+    h = zlib.crc32(str(doc).encode())
+    n, g = len(words), h // 10
+    if doc is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs(words, least=12):
+    """(start, length, period) of every run: each period tried, the smallest kept."""
+    out, n = [], len(words)
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            part = words[i : i + length]
+            if j > i and length >= max(least, 2 * q) and not any(part[d:] == part[: length - d] for d in range(1, q)):
+                out.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periods(rows):
+    """(id, runs, longest run's start, length, period, exponent, digests) of every row."""
+    out = []
+    for d, t in rows:
+        words = looped(WORD.findall(t or ""), d)
+        found = runs(words)
+        gone = {i for a, n, q in found for i in range(a + q, a + n)}
+        top = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+        milli = 1000 * top[1] // top[2] if found else None
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((d, len(found), *top, milli, sha("".join(f"{a},{n},{q}\n" for a, n, q in found)), sha(kept)))
+    return out
+
+
+def audit(rows, labels):
+    """One tuple per part, order and step; ``rows`` are (id, text, part), ``labels`` id to (good, toxic)."""
+    least = {}
+    far = 1 << 63
+    for d, t, _ in rows:
+        least[t or ""] = min(least.get(t or "", far), far if d is None else d)
+    parts = defaultdict(list)
+    for d, t, part in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        copy = (far if d is None else d) > least[t]
+        fails = (len(w) < 50, 100 * len(set(w)) < 65 * len(w), 100 * len(re.findall("[A-Z]", t)) > 5 * len(t), bool(re.search("[#$%&*|]", t)), copy)
+        parts[part or ""].append(({"ABCDE"[i] for i, f in enumerate(fails) if f}, *labels.get(d, (False, False))))
+    out = []
+    for part, docs in parts.items():
+        steps, total = [], Counter()
+        for order in permutations("ABCDE"):
+            left = docs
+            for i, f in enumerate(order):
+                gone = [x for x in left if f in x[0]]
+                left = [x for x in left if f not in x[0]]
+                failing = sum(f in x[0] for x in docs)
+                total[f] += len(gone)
+                alone = sum(x[0] == {f} for x in docs)
+                steps.append((part, "".join(order), i + 1, f, len(left), len(gone), failing - len(gone), alone, sum(x[1] for x in gone), sum(x[2] for x in gone)))
+        out += [(*s, total[s[3]]) for s in steps]
+    return out

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import (
+    bpe_transducer,
     chat_format,
     decontaminate,
+    filter_audit,
     html_template,
     license_scan,
     minhash_dedup,
     mixing,
     nbsvm,
+    periodic_runs,
     phrase_dedup,
     suffix_dedup,
     weak_rules,
@@ -92,6 +97,60 @@ def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", nbsvm.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe_transducer.encode(Tables(spark, sf_dir).documents.select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    out = bpe_transducer.decode(coded, path)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded.bytes", 256).alias("decoded_sha256"),
+        (F.col("decoded.text") == F.coalesce("text", F.lit(""))).alias("same_text"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return filter_audit.audit(t.documents.select("doc_id", "text", "source"), t.labels)
+
+
+def looped(text: pd.Series, hashed: pd.Series) -> pd.Series:
+    """Every tenth text with its words from some place on repeated with a period, both given by ``hashed``."""
+    out = []
+    for raw, h in zip(text, hashed, strict=True):
+        words = (raw or b"").split()
+        n = len(words)
+        if h % 10 or not n:
+            out.append(raw)
+            continue
+        g = int(h) // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        out.append(b" ".join([*words[:a], *[words[a + i % p] for i in range(n - a)]]))
+    return pd.Series(out, dtype=object)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select("doc_id", F.col("text").cast("binary").alias("text"))
+    hashed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))  # a text without an id stays as it is
+    out = periodic_runs.find_runs(docs.withColumn("text", F.pandas_udf(looped, "binary")("text", hashed)))
+    runs = F.col("periods.runs")
+    ranked = F.transform(runs, lambda r: F.struct((-r.length).alias("shorter"), r.start.alias("start"), r.period.alias("period"), r.length.alias("length")))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    out = out.select("doc_id", "periods", F.array_min(ranked).alias("longest"), F.array_join(lines, "").alias("listed"))
+    return out.select(
+        "doc_id",
+        F.size("periods.runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("longest.length * 1000 div longest.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("periods.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -105,6 +164,9 @@ QUERIES = {
         op8_minhash_dedup,
         op9_decontaminate,
         op10_nbsvm,
+        op11_byte_bpe,
+        op12_filter_audit,
+        op13_periodic_runs,
     )
 }
 

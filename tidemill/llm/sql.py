@@ -82,9 +82,45 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items x USING (doc_id)
 """
 
+FILTER_AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+    [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text), regexp_matches(text, '[#$%&*|]'),
+     coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+s AS (SELECT part, good, toxic, fails, list_sum(list_transform(fails, lambda x, i: CASE WHEN x THEN 1 << (i - 1) ELSE 0 END)) AS mask FROM f),
+c AS (SELECT part, CAST(mask AS INTEGER) AS mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM s GROUP BY ALL),
+x AS (SELECT unnest(range(5)) AS f),
+o AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS fs FROM x a JOIN x b ON a.f <> b.f JOIN x c ON c.f NOT IN (a.f, b.f)
+  JOIN x d ON d.f NOT IN (a.f, b.f, c.f) JOIN x e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+k AS (SELECT fs, unnest(range(1, 6)) AS step FROM o),
+b AS (
+  SELECT array_to_string(list_transform(fs, lambda f: chr(CAST(65 + f AS INTEGER))), '') AS filter_order, step, fs[step] AS f, 1 << fs[step] AS bit,
+    coalesce(list_sum(list_transform(fs[1:step - 1], lambda f: 1 << f)), 0) AS earlier
+  FROM k),
+m AS (
+  SELECT part, filter_order, step, chr(CAST(65 + f AS INTEGER)) AS filter,
+    coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & earlier > 0 AND mask & bit > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM (SELECT part, mask, n, good, toxic, CAST(earlier AS INTEGER) AS earlier, CAST(bit AS INTEGER) AS bit, filter_order, step, f FROM c, b) GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM m
+"""
+
 SQL = {
     "op1_phrase_dedup": PHRASE_DEDUP,
     "op5_license_scan": LICENSE_SCAN,
     "op6_chat_format": CHAT_FORMAT,
     "op9_decontaminate": DECONTAMINATE,
+    "op12_filter_audit": FILTER_AUDIT,
 }
