@@ -6,10 +6,11 @@ are array expressions on that row: no explode, no shuffle, and no hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.once import evaluated_once
+from tidemill.operators.interval_join import newest_window
 
 # The scoring tables. A pair or device that is not listed counts 1.0.
 RELEVANCE = {
@@ -112,6 +113,36 @@ def score_bids(opportunities: DataFrame) -> DataFrame:
     )
 
 
+def lookup_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """The fixed values as tables: relevance by content and category, bonus by device."""
+    fit = spark.createDataFrame([(a, b, m) for (a, b), m in RELEVANCE.items()], "content_category string, category string, relevance double")
+    devices = spark.createDataFrame(list(DEVICE_BONUS.items()), "device_type string, device_bonus double")
+    return fit, devices
+
+
+def daily_windows(days: DataFrame) -> DataFrame:
+    """The bonuses by hour on every ``day``, as windows from ``first`` to ``after`` in microseconds."""
+    hours = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(x).alias("time_bonus")) for a, b, x in TIME_BONUS])
+    start = F.col("day").cast("timestamp")
+    moment = lambda h: F.unix_micros(start + F.make_dt_interval(hours=F.col(h)))
+    return days.select("day", F.inline(hours)).select(moment("a").alias("first"), moment("b").alias("after"), "time_bonus")
+
+
+def score_from_tables(opportunities: DataFrame, relevance: DataFrame, devices: DataFrame, windows: DataFrame) -> DataFrame:
+    """One row per valid bid with its factors and score, all factors from tables; 1.0 where a table has no row.
+
+    Of windows that hold a message's time the one that begins last counts.
+    """
+    valid = opportunities.filter(F.exists("bids", _valid))
+    timed = evaluated_once(valid, {"_at": F.unix_micros(F.try_to_timestamp("timestamp"))})
+    bonus = newest_window(timed, windows, ["message_id"], "_at", ["time_bonus"])
+    bids = timed.withColumn("_bid", F.explode(F.filter("bids", _valid))).select("message_id", "opportunity_id", "content_category", "device_type", "_bid.*")
+    known = bids.join(bonus, "message_id", "left").join(devices, "device_type", "left").join(relevance, ["content_category", "category"], "left")
+    factors = {c: F.coalesce(c, F.lit(1.0)) for c in ("relevance", "time_bonus", "device_bonus")}
+    score = F.col("bid_amount") * F.col("relevance") * F.col("time_bonus") * F.col("device_bonus")
+    return known.withColumns(factors).select("opportunity_id", "advertiser_id", "bid_amount", *factors, score.alias("score"))
+
+
 def pick_winners(opportunities: DataFrame) -> DataFrame:
     """The result record of every opportunity with a valid bid.
 

@@ -14,7 +14,7 @@ class ExpectationFailed(AssertionError):
     """A rule that must hold was violated."""
 
 
-def _holds(rule: str | Column) -> Column:
+def holds(rule: str | Column) -> Column:
     """A rule as true or false; an unknown (null) outcome is a violation."""
     cond = F.expr(rule) if isinstance(rule, str) else rule
     return F.coalesce(cond, F.lit(False))
@@ -27,7 +27,7 @@ def expect(df: DataFrame, rules: dict[str, str | Column]) -> DataFrame:
     """
     counts = df.agg(
         F.count("*").alias("rows"),
-        *[F.count(F.when(~_holds(r), 1)).alias(f"failed_{i}") for i, r in enumerate(rules.values())],
+        *[F.count(F.when(~holds(r), 1)).alias(f"failed_{i}") for i, r in enumerate(rules.values())],
     )
     lines = F.array(
         *[
@@ -47,7 +47,7 @@ def expect_or_drop(df: DataFrame, rules: dict[str, str | Column]) -> tuple[DataF
     """Drop: the rows that satisfy every rule, and the report on all rows."""
     kept = df
     for rule in rules.values():
-        kept = kept.filter(_holds(rule))
+        kept = kept.filter(holds(rule))
     return kept, expect(df, rules)
 
 

@@ -45,6 +45,23 @@ WINNERS = f"""
     WHERE place = 1
 """
 
+RUSHED = """
+    SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-02 07:00:00' + TO_SECONDS(event_id % 3600) ELSE ts END AS ts) FROM events
+"""
+WINDOWS = f"""
+    SELECT d + TO_HOURS(a) AS first, d + TO_HOURS(b) AS after, bonus
+    FROM (SELECT DISTINCT DATE_TRUNC('day', ts)::TIMESTAMP AS d FROM ({RUSHED})),
+         (VALUES (6, 9, 1.2::DOUBLE), (12, 14, 1.15::DOUBLE), (19, 23, 1.25::DOUBLE)) h(a, b, bonus)
+    UNION ALL VALUES (NULL, TIMESTAMP '2024-01-02', 1.02::DOUBLE), (TIMESTAMP '2024-01-05', NULL, 1.05::DOUBLE)
+"""
+# the windows that hold a message's second, one by one; the one that begins last counts
+BONUS = f"""
+    SELECT event_id, bonus FROM (
+        SELECT event_id, bonus, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY first DESC NULLS LAST, after NULLS LAST, bonus) AS place
+        FROM ({RUSHED}) JOIN ({WINDOWS}) ON COALESCE(DATE_TRUNC('second', ts) >= first, TRUE) AND COALESCE(DATE_TRUNC('second', ts) < after, TRUE))
+    WHERE place = 1
+"""
+
 _BID = """'{"advertiser_id":"' || advertiser || '"' ||
     CASE WHEN (event_id + i) % 19 <> 0 THEN ',"bid_amount":' || CAST((100 + (event_id * 37 + i * 101) % 900) / 100 AS VARCHAR) ELSE '' END ||
     ',"category":"' || category || '"}'"""
@@ -133,6 +150,10 @@ SQL = {
         FROM (VALUES (4::BIGINT), (16), (32)) v(n)""",
     "auction_scores": f"""
         SELECT opportunity_id, advertiser_id, bid_amount, relevance, time_bonus, device_bonus, score FROM ({SCORES})""",
+    "auction_windows": f"""
+        SELECT opportunity_id, advertiser_id, bid_amount, relevance, time_bonus, device_bonus,
+               bid_amount * relevance * time_bonus * device_bonus AS score
+        FROM (SELECT * REPLACE (COALESCE(bonus, 1.0::DOUBLE) AS time_bonus) FROM ({SCORES}) LEFT JOIN ({BONUS}) USING (event_id))""",
     "auction_winners": f"SELECT * EXCLUDE (event_id, ts) FROM ({WINNERS})",
     "auction_quarantine": BROKEN_OPPORTUNITIES,
     "auction_wins": f"SELECT winning_advertiser_id, COUNT(*) AS wins FROM ({WINNERS}) GROUP BY 1",

@@ -113,6 +113,15 @@ def _rule(name: str, source: str, cond: str) -> str:
                COUNT(*) FILTER (WHERE NOT COALESCE({cond}, FALSE)) AS failed FROM ({source})"""
 
 
+def _observed(dataset: str, source: str, rules: list[tuple[str, str, str]], kept: str, outcome: str) -> str:
+    counts = " UNION ALL ".join(
+        f"""SELECT '{rule}' AS rule, '{action}' AS action, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {cond}) AS passed,
+                   COUNT(*) - COUNT(*) FILTER (WHERE {cond}) AS failed FROM ({source})"""
+        for rule, action, cond in rules
+    )
+    return f"SELECT *, '{dataset}' AS dataset, '{outcome}' AS outcome, {kept} AS rows_in_table FROM ({counts})"
+
+
 def _edge(dataset: str, name: str, rows: str) -> str:
     return f"SELECT '{dataset}' AS dataset, '{name}' AS input, COUNT(*) AS input_rows FROM ({rows})"
 
@@ -185,6 +194,19 @@ SQL = {
     ]),
     "expect_or_drop": f"""
         SELECT * FROM ({CLEANED_H}) WHERE "Ticker" <> 'nan' AND "Shares_Held" IS NOT NULL""",
+    "observed_rules": " UNION ALL ".join([
+        _observed("lineitem", "FROM lineitem", [
+            ("known_return", "warn", "l_returnflag <> 'X'"), ("small_discount", "warn", "l_discount <= 0.08"),
+            ("enough_pieces", "drop", "l_quantity >= 5"), ("recent", "drop", "l_shipdate >= DATE '1994-01-01'"),
+            ("has_order", "fail", "l_orderkey IS NOT NULL"),
+        ], "(SELECT COUNT(*) FROM lineitem WHERE l_quantity >= 5 AND l_shipdate >= DATE '1994-01-01')", "written"),
+        _observed("orders", "FROM orders", [
+            ("has_status", "fail", "o_orderstatus IS NOT NULL"), ("affordable", "fail", "o_totalprice < 300000"),
+        ], "NULL::BIGINT", "withheld"),
+        _observed("holdings", CLEANED_H, [
+            ("valid_ticker", "drop", """("Ticker" IS NOT NULL AND "Ticker" <> 'nan')"""), ("has_shares", "drop", '"Shares_Held" IS NOT NULL'),
+        ], f"""(SELECT COUNT(*) FROM ({CLEANED_H}) WHERE "Ticker" <> 'nan' AND "Shares_Held" IS NOT NULL)""", "written"),
+    ]),
     "gold_checks": " UNION ALL ".join([
         *[_rule(c, PORTFOLIO, f'"{c}" IS NOT NULL') for c in ("Shares_Held", "Cost_Basis", "Market_Value")],
         _rule("known_holding", PORTFOLIO, f'"Ticker" IN (SELECT "Ticker" FROM ({SILVER_H}))'),

@@ -19,7 +19,7 @@ from tidemill.functions.text import (
     money_text,
     safe_name,
 )
-from tidemill.operators import auction, quality, recommend, scoring
+from tidemill.operators import auction, observed, quality, recommend, scoring
 from tidemill.plans import customer, derived, medallion, relational
 from tidemill.plans.datasets import Project
 from tidemill.session import prepare, stored, work_path
@@ -357,6 +357,35 @@ def source_freshness(t: Tables) -> DataFrame:
     return quality.freshness(t.events, "ts", datetime(2024, 2, 1), warn_hours=12, error_hours=48)
 
 
+def observed_rules(t: Tables) -> DataFrame:
+    """Three tables written under rules: what each rule saw, and what became of the table."""
+    line_rules = [
+        observed.Rule("known_return", "l_returnflag <> 'X'"),
+        observed.Rule("small_discount", "l_discount <= 0.08"),
+        observed.Rule("enough_pieces", "l_quantity >= 5", "drop"),
+        observed.Rule("recent", "l_shipdate >= '1994-01-01'", "drop"),
+        observed.Rule("has_order", "l_orderkey IS NOT NULL", "fail"),
+    ]
+    order_rules = [observed.Rule("has_status", "o_orderstatus IS NOT NULL", "fail"), observed.Rule("affordable", "o_totalprice < 300000", "fail")]
+    holding_rules = [observed.Rule(name, rule, "drop") for name, rule in medallion.HOLDING_RULES.items()]
+    inputs = {
+        "lineitem": (t.lineitem, line_rules),
+        "orders": (t.orders, order_rules),
+        "holdings": (medallion.cleaned_holdings(_bronze_holdings(t)), holding_rules),
+    }
+    reports = None
+    for name, (df, rules) in inputs.items():
+        written = observed.write_observed(df, work_path(t.spark, f"observed-{name}"), rules)
+        report = written.report(t.spark).withColumns({"dataset": F.lit(name), "outcome": F.lit("withheld" if written.broken else "written")})
+        if written.broken:
+            report = report.withColumn("rows_in_table", F.lit(None).cast("long"))
+        else:
+            report = report.withColumn("rows_in_table", written.table(t.spark).agg(F.count(F.lit(1))).scalar())
+        reports = report if reports is None else reports.unionByName(report)
+    return reports
+
+
+job(observed_rules)
 job(expect_report)
 job(expect_or_drop)
 job(gold_checks)
@@ -513,6 +542,30 @@ def keyed_upsert(t: Tables) -> DataFrame:
     return first_per_key(t.spark.read.parquet(path), ["opportunity_id"], [F.desc("processed_at")])
 
 
+def auction_windows(t: Tables) -> DataFrame:
+    """Bids scored from tables; a third of the messages come within one hour.
+
+    The windows: the bonuses by hour on every day with an event, one open at its
+    start and one open at its end.
+    """
+    rush = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-02 07:00:00")) + F.col("event_id") % 3600)
+    events = t.events.withColumn("ts", F.when(F.col("event_id") % 3 == 0, rush.cast("timestamp_ntz")).otherwise(F.col("ts")))
+    good, _ = auction.parse_opportunities(derived.opportunity_messages(events))
+    relevance, devices = auction.lookup_tables(t.spark)
+    days = events.select(F.to_date("ts").alias("day")).distinct()
+    edge = lambda day: F.unix_micros(F.lit(f"{day} 00:00:00").cast("timestamp"))
+    none = F.lit(None).cast("long")
+    open_ended = t.events.groupBy().agg(F.lit(1)).select(
+        F.inline(F.array(
+            F.struct(none.alias("first"), edge("2024-01-02").alias("after"), F.lit(1.02).alias("time_bonus")),
+            F.struct(edge("2024-01-05").alias("first"), none.alias("after"), F.lit(1.05).alias("time_bonus")),
+        ))
+    )
+    windows = stored(auction.daily_windows(days).unionByName(open_ended), "windows")
+    return auction.score_from_tables(good, stored(relevance, "relevance"), stored(devices, "devices"), windows)
+
+
+job(auction_windows)
 job(lambda t: auction.score_bids(_opportunities(t)), "auction_scores")
 job(lambda t: _winners(t).drop("timestamp"), "auction_winners")
 job(lambda t: auction.parse_opportunities(derived.opportunity_messages(t.events))[1], "auction_quarantine")
