@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.ordered import numbered
 from tidemill.tables import Tables
 
 # Names that the derived rows carry.
@@ -169,7 +170,7 @@ def sensor_messages(events: DataFrame, replays: bool = False) -> DataFrame:
             k.alias("reading_id"),
             student.alias("student"),
             sensor.alias("sensor_id"),
-            ((180 + k % 171) / 10).alias("temperature_c"),
+            ((1800 + k % 1711) / 100).alias("temperature_c"),
             ((300 + k % 601) / 10).alias("humidity_pct"),
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         )
@@ -183,6 +184,25 @@ def sensor_messages(events: DataFrame, replays: bool = False) -> DataFrame:
     return out.select(F.concat_ws("-", student, sensor).alias("key"), value.alias("value"))
 
 
+def numbered_messages(t: Tables) -> DataFrame:
+    """Every event as a message of its user, numbered from 1, and the ``part`` it is sent in.
+
+    Every 50th is lost (part 0), some come in a second part only (2), and every
+    40th is sent again in a third (3).
+    """
+    k = F.col("event_id")
+    placed = numbered(t.events.select("user_id", "event_id", "ts"), "user_id", "event_id")
+    begins = placed.groupBy("user_id").agg(F.min("position").alias("begin"))
+    first = F.when(k % 50 == 7, 0).when(k % 10 == 3, 2).otherwise(1)
+    parts = F.when(k % 40 == 0, F.array(first, F.lit(3))).otherwise(F.array(first))
+    return placed.join(begins, "user_id").select(
+        F.concat(F.lit("u_"), _text(F.col("user_id"))).alias("key"),
+        (F.col("position") - F.col("begin") + 1).alias("number"),
+        F.col("ts").cast("timestamp").alias("at"),
+        F.explode(parts).alias("part"),
+    )
+
+
 def scoring_input(t: Tables) -> DataFrame:
     """Age and income per customer."""
     k = F.col("c_custkey")

@@ -129,10 +129,10 @@ INDEXED = f"""
 
 READINGS = """
     SELECT event_id AS reading_id, 's' || (user_id % 3) AS student, 'sensor-0' || (1 + user_id % 6) AS sensor_id,
-           (180 + event_id % 171) / 10 AS temperature_c, (300 + event_id % 601) / 10 AS humidity_pct, ts AS "at"
+           (1800 + event_id % 1711) / 100 AS temperature_c, (300 + event_id % 601) / 10 AS humidity_pct, ts AS "at"
     FROM events WHERE event_id % 101 <> 0
 """
-MEAN = "CAST(SUM(CAST(temperature_c AS DECIMAL(18,1))) AS DOUBLE) / COUNT(*)"
+MEAN = "CAST(SUM(CAST(temperature_c AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*)"
 
 
 def _mean_rounded(digits: int) -> str:
@@ -223,13 +223,32 @@ SQL = {
                '","temperature_c":' || CAST(temperature_c AS VARCHAR) || ',"humidity_pct":' || CAST(humidity_pct AS VARCHAR) ||
                ',"timestamp":"' || STRFTIME(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}' AS value
         FROM (SELECT event_id AS reading_id, 's' || (user_id % 3) AS student, 'sensor-0' || (1 + user_id % 6) AS sensor_id,
-                     (180 + event_id % 171) / 10 AS temperature_c, (300 + event_id % 601) / 10 AS humidity_pct, ts
+                     (1800 + event_id % 1711) / 100 AS temperature_c, (300 + event_id % 601) / 10 AS humidity_pct, ts
               FROM events WHERE event_id % 101 = 0)""",
     "stream_tag_counts": f"""
         SELECT COUNT(*) FILTER (WHERE student = 's1') AS messages, COUNT(*) FILTER (WHERE student <> 's1') AS skipped
         FROM ({READINGS})""",
     "stream_running_mean": f"""
         SELECT sensor_id, COUNT(*) AS readings, {MEAN} AS avg_temperature FROM ({READINGS}) GROUP BY 1""",
+    "stream_restart": f"""
+        SELECT sensor_id, COUNT(*) AS readings, {MEAN} AS avg_temperature, 8::BIGINT AS batches, 1::BIGINT AS brought_twice
+        FROM ({READINGS}) GROUP BY 1""",
+    "stream_batches": """
+        SELECT COUNT(*) AS messages, CAST(CEIL(COUNT(*) / 10) AS BIGINT) AS batches, LEAST(COUNT(*), 10) AS largest,
+               COUNT(*) // 10 AS full_batches FROM events WHERE event_id % 101 = 0""",
+    "stream_gaps": """
+        WITH e AS (
+            SELECT 'u_' || user_id AS key, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS n,
+                   event_id % 50 = 7 AS lost, event_id % 10 = 3 AS second FROM events),
+        h AS (
+            SELECT key, MAX(n) FILTER (NOT lost) AS highest, MAX(n) FILTER (NOT lost AND NOT second) AS at_first,
+                   COUNT(*) FILTER (NOT lost AND event_id % 40 = 0) AS copies FROM e GROUP BY 1),
+        m AS (SELECT key, n, n - ROW_NUMBER() OVER (PARTITION BY key ORDER BY n) AS island FROM e JOIN h USING (key) WHERE lost AND n < highest),
+        g AS (SELECT key, MIN(n) AS a, MAX(n) AS b FROM m GROUP BY key, island)
+        SELECT key, highest, COALESCE((SELECT SUM(b - a + 1) FROM g WHERE g.key = h.key), 0)::BIGINT AS missing,
+               COALESCE((SELECT STRING_AGG(a || '-' || b, ',' ORDER BY a) FROM g WHERE g.key = h.key), '') AS gaps,
+               (SELECT COUNT(*) FROM e WHERE e.key = h.key AND second AND NOT lost AND n < at_first) AS late, copies, FALSE AS closed
+        FROM h WHERE highest IS NOT NULL""",
     "stream_session_summary": f"""
         SELECT sensor_id, COUNT(*) AS readings, {_mean_rounded(3)} AS avg_temperature
         FROM ({READINGS}) WHERE student = 's1' GROUP BY 1""",

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.latest import first_per_key
 from tidemill.functions.money import mean, total
+from tidemill.functions.ordered import numbered
 from tidemill.functions.text import (
     MONEY_SIGNS,
     US_DATE,
@@ -24,7 +25,7 @@ from tidemill.plans import customer, derived, medallion, relational
 from tidemill.plans.datasets import Project
 from tidemill.session import prepare, stored, work_path
 from tidemill.sources import files, managed, reports, versions
-from tidemill.streaming import sensors
+from tidemill.streaming import gaps, sensors
 from tidemill.tables import Tables
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -764,6 +765,56 @@ def stream_running_mean(t: Tables) -> DataFrame:
     return sensors.newest(t.spark, f"{path}/state", ["sensor_id"])
 
 
+def stream_restart(t: Tables) -> DataFrame:
+    """Running means over eight files by two runs: the first dies in its fourth batch, after writing it."""
+    path = work_path(t.spark, "restart")
+    numbers = t.events.repartitionByRange(8, "event_id")
+    derived.sensor_messages(numbers).write.parquet(f"{path}/in")
+
+    def run(start, sink) -> None:
+        messages = sensors.folder_source(t.spark, f"{path}/in", files_per_trigger=1)
+        start(sensors.running_mean(sensors.readings(messages)), f"{path}/checkpoint", "update", sink)
+
+    append = sensors.append_sink(f"{path}/state")
+    run(sensors.run_interrupted, sensors.interrupt_after(append, 3, written=True))
+    run(sensors.run_batches, append)
+    state = t.spark.read.parquet(f"{path}/state")
+    batches = state.agg(F.count_distinct(sensors.BATCH)).scalar()
+    twice = state.groupBy(sensors.BATCH, "sensor_id").agg(F.count("*").alias("n")).filter("n > 1").agg(F.count_distinct(sensors.BATCH)).scalar()
+    return sensors.newest(t.spark, f"{path}/state", ["sensor_id"]).withColumns({"batches": batches, "brought_twice": twice})
+
+
+def stream_batches(t: Tables) -> DataFrame:
+    """Unreadable messages in files of ten, one a batch, as a listener counts them."""
+    path = work_path(t.spark, "batches")
+    placed = numbered(sensors.unreadable(derived.sensor_messages(t.events)).withColumn("id", F.regexp_extract("value", r'"reading_id":(\d+)', 1).cast("long")), "id")
+    files_of_ten = placed.withColumn("file", F.floor(F.col("position") / 10)).repartition("file").select("key", "value", "file")
+    files_of_ten.write.partitionBy("file").parquet(f"{path}/in")
+    with sensors.batch_log(t.spark) as log:
+        messages = sensors.folder_source(t.spark, f"{path}/in/*", files_per_trigger=1)
+        done = log.of(sensors.run_to_files(messages, f"{path}/out", f"{path}/checkpoint"))
+    counts = t.spark.createDataFrame([(b, n) for b, n in done.items()], "batch long, n long")  # one row a batch of the run
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("messages"), F.count("n").alias("batches"),
+        F.max("n").alias("largest"), F.count(F.when(F.col("n") == 10, 1)).alias("full_batches"),
+    )
+
+
+def stream_gaps(t: Tables) -> DataFrame:
+    """Numbered messages per user that come out of order, again, or not at all; each part is a run of its own."""
+    path = work_path(t.spark, "gaps")
+    sent = stored(derived.numbered_messages(t), "numbered")
+    with gaps.keyed_state(t.spark):
+        for part in (1, 2, 3):
+            sent.filter(F.col("part") == part).drop("part").repartition("number").write.mode("append").parquet(f"{path}/in")
+            came = t.spark.readStream.schema("key string, number long, at timestamp").parquet(f"{path}/in")
+            # no message counts as too late: its time may lie far behind the newest
+            found = gaps.gaps(came, idle=timedelta(days=400), watermark="400 days")
+            sensors.run_batches(found, f"{path}/checkpoint", "update", sensors.append_sink(f"{path}/state"))
+    ranges = F.transform("gaps", lambda g: F.concat_ws("-", g["first"], g["last"]))
+    return sensors.newest(t.spark, f"{path}/state", ["key"]).withColumn("gaps", F.array_join(ranges, ","))
+
+
 def stream_session_summary(t: Tables) -> DataFrame:
     """The running means of one tag, rounded and in sensor order."""
     path = work_path(t.spark, "session")
@@ -802,6 +853,7 @@ def auction_stream_retries(t: Tables) -> DataFrame:
 
 
 for build in (auction_stream, auction_stream_retries, stream_parsed, stream_unreadable, stream_tag_counts, stream_running_mean, stream_session_summary,
+              stream_restart, stream_batches, stream_gaps,
               stream_tumbling, stream_dedup, alert_messages):
     job(build)
 

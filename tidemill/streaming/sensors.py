@@ -7,11 +7,15 @@ start goes on from the checkpoint.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from contextlib import contextmanager
+from threading import Event
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemill.functions.latest import first_per_key
 from tidemill.functions.once import evaluated_once
@@ -87,6 +91,76 @@ def run_batches(df: DataFrame, checkpoint: str, mode: str, write: Callable[[Data
     return query
 
 
+class Interrupted(RuntimeError):
+    """A run that ends on purpose before its input does."""
+
+
+def interrupt_after(write: Callable[[DataFrame, int], None], batches: int, written: bool = False) -> Callable[[DataFrame, int], None]:
+    """A sink that takes ``batches`` batches and stops the query at the next one.
+
+    With ``written`` it stops after writing that batch, but before the query
+    has noted it as done: a restart brings the batch again.
+    """
+    taken = []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        if len(taken) < batches or written:
+            write(batch, batch_id)
+        if len(taken) == batches:
+            raise Interrupted(f"stopped at batch {batch_id}")
+        taken.append(batch_id)
+
+    return take
+
+
+def run_interrupted(df: DataFrame, checkpoint: str, mode: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Run into a sink of ``interrupt_after``; any other failure is raised."""
+    try:
+        run_batches(df, checkpoint, mode, write)
+    except StreamingQueryException as err:
+        if Interrupted.__name__ not in str(err):
+            raise
+
+
+class BatchLog(StreamingQueryListener):
+    """Batches that brought rows, per query: ``rows[query id]`` maps a batch to its number of rows."""
+
+    def __init__(self):
+        self.rows: dict[str, dict[int, int]] = defaultdict(dict)
+        self._ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.numInputRows:
+            self.rows[str(progress.id)][progress.batchId] = progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.id)].set()
+
+    def of(self, query: StreamingQuery, wait_s: float = 60) -> dict[int, int]:
+        """The batches of a query that has ended; events come a little later than the end."""
+        if not self._ended[query.id].wait(wait_s):
+            raise TimeoutError(f"no word of the end of query {query.id}")
+        return dict(self.rows[query.id])
+
+
+@contextmanager
+def batch_log(spark: SparkSession):
+    """Listen to the queries that are started inside."""
+    log = BatchLog()
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
 BATCH = "batch_id"
 
 
@@ -141,9 +215,12 @@ def tag_counts(rows: DataFrame, student: str | None) -> DataFrame:
 
 
 def _mean_temperature() -> Column:
-    """Readings have one decimal: added as whole tenths, the mean does not depend on their order."""
-    tenths = F.sum(F.rint(F.col("temperature_c") * 10).cast("long"))
-    return tenths / 10 / F.nullif(F.count("temperature_c"), F.lit(0))
+    """Added as decimals of nine places, so the mean does not depend on the order of the readings.
+
+    A reading that is no finite number below 10 to the 11th has no such decimal and is left out of the mean.
+    """
+    exact = F.col("temperature_c").try_cast("decimal(20,9)")
+    return F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))
 
 
 def running_mean(rows: DataFrame) -> DataFrame:
