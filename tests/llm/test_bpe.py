@@ -138,7 +138,11 @@ def test_odd_rows(spark, library):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").withColumn("decoded", F.lit(7)).withColumn("held", F.lit(0))
     coded = bpe.encode(docs, MULTI, public_tokenizers.PATTERN)
     assert sorted(coded.columns) == sorted(docs.columns)
-    for row in bpe.decode(coded, MULTI).collect():
+    both = bpe.round_trip(docs, MULTI, public_tokenizers.PATTERN, result="decoded")
+    key = lambda r: repr((r[0], r[1]))
+    pairs = zip(sorted(bpe.decode(coded, MULTI).collect(), key=key), sorted(both.collect(), key=key), strict=True)
+    for row, other in pairs:
+        assert (row.ids, row.decoded.text, row.decoded.bytes) == (other.decoded.ids, other.decoded.text, other.decoded.bytes)
         assert row.ids == library.encode_ordinary(row.text or "")
         assert (row.decoded.text, bytes(row.decoded.bytes)) == (row.text or "", (row.text or "").encode())
 

@@ -47,8 +47,8 @@ from tidemill.llm.common import besides, prepared
 from tidemill.llm.common import col as named
 
 #: Moves of the transducer, encoded matches and moves of the decoder that a worker keeps.
-MOST_MOVES = 600_000
-MOST_PIECES = 400_000
+MOST_MOVES = 300_000
+MOST_PIECES = 300_000
 #: Longer matches are not kept, only encoded.
 LONGEST_PIECE = 64
 #: Longer texts are split into matches block by block.
@@ -356,6 +356,14 @@ def _vocabulary(df: DataFrame, path: str):
     return hashlib.sha256(data).hexdigest(), df.sparkSession.sparkContext.broadcast(data)
 
 
+def _texts(texts: pd.Series, encoder: Encoder) -> list[np.ndarray]:
+    return [encoder.encode((raw or b"").decode("utf-8", "replace")) for raw in texts]
+
+
+def _read(ids: list[int], decoder: Decoder) -> tuple[bytes, str]:
+    return decoder.bytes_of(ids), decoder.feed(ids) + decoder.finish()
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", result: str = "ids") -> DataFrame:
     """``docs`` with ``result``, the tokens of each text (``array<int>``) by the rank file at ``path``."""
     prepared(docs.sparkSession)
@@ -364,8 +372,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", res
     @F.pandas_udf("array<int>")
     def encoded(texts: pd.Series) -> pd.Series:
         with _no_collection():
-            encoder = _encoder(name, shared.value, pattern)
-            return pd.Series([encoder.encode((raw or b"").decode("utf-8", "replace")) for raw in texts], dtype=object)
+            return pd.Series(_texts(texts, _encoder(name, shared.value, pattern)), dtype=object)
 
     encoded = encoded.asNondeterministic()  # it isn't; but so Spark runs it once, and not once more for whatever reads the ids
     return docs.select(*besides(docs, result), encoded(named(text_col).cast("string").cast("binary")).alias(result))
@@ -379,10 +386,28 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", result: str = "de
     @F.pandas_udf(DECODED)
     def decoded(ids: pd.Series) -> pd.DataFrame:
         with _no_collection():
-            decoder, out = _decoder(name, shared.value), []
-            for some in ids:
-                some = [] if some is None else some.tolist()
-                out.append((decoder.bytes_of(some), decoder.feed(some) + decoder.finish()))
-            return pd.DataFrame(out, columns=["bytes", "text"])
+            decoder = _decoder(name, shared.value)
+            out = [_read([] if some is None else some.tolist(), decoder) for some in ids]
+        return pd.DataFrame(out, columns=["bytes", "text"])
 
     return tokens.select(*besides(tokens, result), decoded(named(ids_col)).alias(result))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", result: str = "coded") -> DataFrame:
+    """``docs`` with ``result``: each text's ``ids``, and the ``bytes`` and ``text`` read back from the ids.
+
+    The same as ``encode`` and ``decode`` one after the other, but one worker does both.
+    """
+    prepared(docs.sparkSession)
+    name, shared = _vocabulary(docs, path)
+
+    @F.pandas_udf("struct<ids:array<int>,bytes:binary,text:string>")
+    def coded(texts: pd.Series) -> pd.DataFrame:
+        with _no_collection():
+            ids = _texts(texts, _encoder(name, shared.value, pattern))
+            decoder = _decoder(name, shared.value)
+            out = [(some, *_read(some.tolist(), decoder)) for some in ids]
+        return pd.DataFrame(out, columns=["ids", "bytes", "text"])
+
+    coded = coded.asNondeterministic()  # as above
+    return docs.select(*besides(docs, result), coded(named(text_col).cast("string").cast("binary")).alias(result))

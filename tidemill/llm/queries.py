@@ -99,14 +99,13 @@ def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe_transducer.encode(Tables(spark, sf_dir).documents.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    out = bpe_transducer.decode(coded, path)
+    out = bpe_transducer.round_trip(Tables(spark, sf_dir).documents.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return out.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded.bytes", 256).alias("decoded_sha256"),
-        (F.col("decoded.text") == F.coalesce("text", F.lit(""))).alias("same_text"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("coded.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("coded.bytes", 256).alias("decoded_sha256"),
+        (F.col("coded.text") == F.coalesce("text", F.lit(""))).alias("same_text"),
     )
 
 
