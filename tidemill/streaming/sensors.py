@@ -123,7 +123,7 @@ def run_interrupted(df: DataFrame, checkpoint: str, mode: str, write: Callable[[
 
 
 class BatchLog(StreamingQueryListener):
-    """Batches that brought rows, per query: ``rows[query id]`` maps a batch to its number of rows."""
+    """Batches that brought rows, per run of a query: ``rows[run id]`` maps a batch to its number of rows."""
 
     def __init__(self):
         self.rows: dict[str, dict[int, int]] = defaultdict(dict)
@@ -135,19 +135,19 @@ class BatchLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         if progress.numInputRows:
-            self.rows[str(progress.id)][progress.batchId] = progress.numInputRows
+            self.rows[str(progress.runId)][progress.batchId] = progress.numInputRows
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self._ended[str(event.id)].set()
+        self._ended[str(event.runId)].set()
 
     def of(self, query: StreamingQuery, wait_s: float = 60) -> dict[int, int]:
-        """The batches of a query that has ended; events come a little later than the end."""
-        if not self._ended[query.id].wait(wait_s):
+        """The batches of a run that has ended; events come a little later than the end."""
+        if not self._ended[str(query.runId)].wait(wait_s):
             raise TimeoutError(f"no word of the end of query {query.id}")
-        return dict(self.rows[query.id])
+        return dict(self.rows[str(query.runId)])
 
 
 @contextmanager
