@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import numpy as np
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.latest import first_per_key, top_per_key
 from tidemill.functions.ordered import last_known, numbered
 from tidemill.functions.vectors import dot, sigmoid
+from tidemill.session import stored
 
 # What an event is worth. Every other kind counts 1.
 EVENT_WEIGHTS = {"purchase": 3, "click": 2}
@@ -221,50 +224,98 @@ def training_pairs(train: DataFrame, negatives: DataFrame) -> DataFrame:
     return positives.unionByName(negatives.select("user_idx", "item_idx", F.lit(0.0).alias("label")))
 
 
-def dot_topk(users: DataFrame, items: DataFrame, k: int = TOP, user_rows: int = 8192,
-             item_rows: int = 32768) -> DataFrame:
-    """The ``k`` items with the highest dot product for every user, over all pairs.
-
-    ``users(user_id, vec)`` and ``items(item_id, vec)`` are cut into hashed
-    blocks of about ``user_rows`` and ``item_rows`` rows. Every pair of blocks
-    is one bounded task: matrix products that keep ``k`` rows per user. What is
-    shuffled is blocks and partial winners, never scored pairs. Equal scores
-    go to the smaller item id.
+def _blocks_by_norm(items: DataFrame, item_rows: int) -> DataFrame:
+    """Items with ``norm`` and their block ``ib``: blocks of ``item_rows`` rows, the largest norms first."""
+    norm = F.sqrt(dot("vec", "vec"))
+    held = items.select("item_id", "vec", F.when(F.isnan(norm), F.lit(math.inf)).otherwise(norm).alias("norm"))
+    if items.count() <= item_rows:
+        return held.withColumn("ib", F.lit(0))
+    placed = numbered(held.withColumn("_less", -F.col("norm")), "_less", "item_id")
+    return placed.withColumn("ib", F.floor(F.col("position") / item_rows).cast("int")).drop("_less", "position")
+
+
+def _block_pair(u: pd.DataFrame, v: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` best items of a block for each of some users."""
+    if u.empty or v.empty:
+        return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
+    ids, item_ids = u["user_id"].to_numpy(), v["item_id"].to_numpy()
+    right_side = np.stack(v["vec"].to_numpy()).astype("float64").T
+    parts = []
+    for at in range(0, len(u), 256):  # bounds the score matrix
+        left_side = np.stack(u["vec"].iloc[at : at + 256].to_numpy()).astype("float64")
+        scores = np.round(left_side @ right_side, 9)
+        keep = min(k, scores.shape[1])
+        floor = np.partition(scores, -keep, axis=1)[:, -keep]
+        row, col = np.nonzero(scores >= floor[:, None])
+        picked = pd.DataFrame({"user_id": ids[at + row], "item_id": item_ids[col], "score": scores[row, col]})
+        parts.append(picked.sort_values(["user_id", "score", "item_id"], ascending=[True, False, True]).groupby("user_id", sort=False).head(k))
+    return pd.concat(parts)
+
+
+@dataclass
+class TopItems:
+    """``best``: ``user_id, item_id, score, place``. ``pairs`` of users and items there are, ``scored`` of them were scored."""
+
+    best: DataFrame
+    pairs: int
+    scored: int
+
+
+def bounded_topk(users: DataFrame, items: DataFrame, k: int = TOP, user_rows: int = 8192, item_rows: int = 32768) -> TopItems:
+    """The ``k`` items with the highest dot product for every user, without scoring every pair.
+
+    No score is above the product of the two norms. Items are cut into blocks by
+    norm, the largest first; users into hashed blocks. The first round scores the first
+    block, later ones twice as many blocks each. Before a round every user drops the
+    blocks whose largest norm cannot reach the user's k-th score so far; users with no
+    block left are done. What can tie is not dropped.
+
+    A pair of blocks is one bounded task: matrix products that keep ``k`` rows per
+    user. What is shuffled is blocks and partial winners, never scored pairs. Equal
+    scores go to the smaller item id.
     """
-    user_blocks = max(1, -(-users.count() // user_rows))
-    item_blocks = max(1, -(-items.count() // item_rows))
-
-    def spread(df: DataFrame, key: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_blocks)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
-        )
-
-    left = spread(users, "user_id", "ub", user_blocks, "ib", item_blocks)
-    right = spread(items, "item_id", "ib", item_blocks, "ub", user_blocks)
-
-    def block_pair(u: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        if u.empty or v.empty:
-            return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
-        ids, item_ids = u["user_id"].to_numpy(), v["item_id"].to_numpy()
-        right_side = np.stack(v["vec"].to_numpy()).astype("float64").T
-        parts = []
-        for at in range(0, len(u), 256):  # bounds the score matrix
-            left_side = np.stack(u["vec"].iloc[at : at + 256].to_numpy()).astype("float64")
-            scores = np.round(left_side @ right_side, 9)
-            keep = min(k, scores.shape[1])
-            floor = np.partition(scores, -keep, axis=1)[:, -keep]
-            row, col = np.nonzero(scores >= floor[:, None])
-            picked = pd.DataFrame(
-                {"user_id": ids[at + row], "item_id": item_ids[col], "score": scores[row, col]}
-            ).sort_values(["user_id", "score", "item_id"], ascending=[True, False, True])
-            parts.append(picked.groupby("user_id", sort=False).head(k))
-        return pd.concat(parts)
-
-    partial = (
-        left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib"))
-        .applyInPandas(block_pair, "user_id long, item_id long, score double")
-    )
-    return top_per_key(partial, ["user_id"], [F.desc("score"), F.asc("item_id")], k, "place")
+    n_users, n_items = users.count(), items.count()
+    user_blocks = max(1, -(-n_users // user_rows))
+    placed = _blocks_by_norm(items, item_rows)
+    if n_items > item_rows:
+        placed = stored(placed, "items-by-norm")
+    bounds = placed.groupBy("ib").agg(F.max("norm").alias("most"), F.count(F.lit(1)).alias("n"))
+    n_blocks = -(-n_items // item_rows)
+    own = F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int")
+    norm = F.sqrt(dot("vec", "vec"))
+    left = users.select("user_id", "vec", own.alias("ub"), F.when(F.isnan(norm), F.lit(math.inf)).otherwise(norm).alias("norm"))
+    best, scored, at = None, n_users * min(n_items, item_rows), 0
+    while at < n_blocks:
+        upto = min(n_blocks, max(1, 2 * at))
+        wanted = left.withColumn("ib", F.explode(F.sequence(F.lit(at), F.lit(upto - 1))))
+        if best is not None:
+            reached = best.filter(F.col("place") == k).select("user_id", F.col("score").alias("reached"))
+            bound = F.col("norm") * F.col("most") * (1 + 1e-12) + 1e-9  # scores are rounded to nine places
+            known = wanted.join(reached, "user_id", "left").join(bounds, "ib")
+            wanted = stored(known.filter(F.col("reached").isNull() | (bound >= F.col("reached"))), "users-by-block")
+            scored += wanted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+        others = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
+        right = placed.filter(F.col("ib").between(at, upto - 1)).withColumn("ub", others)
+        if best is not None:
+            right = right.join(wanted.select("ub", "ib").distinct(), ["ub", "ib"], "left_semi")
+        found = (
+            wanted.select("ub", "ib", "user_id", "vec").groupBy("ub", "ib").cogroup(right.select("ub", "ib", "item_id", "vec").groupBy("ub", "ib"))
+            .applyInPandas(lambda u, v: _block_pair(u, v, k), "user_id long, item_id long, score double")
+        )
+        if best is not None:
+            found = found.unionByName(best.drop("place"))
+        best = top_per_key(found, ["user_id"], [F.desc("score"), F.asc("item_id")], k, "place")
+        at = upto
+        if at < n_blocks:
+            best = stored(best, "best-so-far")
+    if best is None:
+        best = users.sparkSession.createDataFrame([], "user_id long, item_id long, score double, place long")
+    return TopItems(best, n_users * n_items, scored)
+
+
+def dot_topk(users: DataFrame, items: DataFrame, k: int = TOP, user_rows: int = 8192, item_rows: int = 32768) -> DataFrame:
+    """The ``k`` items with the highest dot product for every user, over all pairs (see ``bounded_topk``)."""
+    return bounded_topk(users, items, k, user_rows, item_rows).best
 
 
 RUN_SCHEMA = "run_id string, model string, params map<string,string>, metric string, value double, logged_at timestamp"

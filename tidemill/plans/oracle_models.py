@@ -204,6 +204,14 @@ SQL = {
                        ROUND(LIST_DOT_PRODUCT(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 9) AS score
                 FROM embeddings u CROSS JOIN embeddings i))
         WHERE place <= 10""",
+    "bounded_topk": """
+        SELECT user_id, item_id, score, place FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS place FROM (
+                SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+                       ROUND(LIST_DOT_PRODUCT(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) * POW(2.0, i.vec_id % 5 - 1), 9) AS score
+                FROM embeddings u CROSS JOIN embeddings i))
+        WHERE place <= 10""",
+    "bounded_topk_share": "SELECT COUNT(*) * COUNT(*) AS pairs, TRUE AS some_skipped, TRUE AS all_counted FROM embeddings",
     "pair_scores": """
         SELECT u.vec_id AS user_id, i.vec_id AS item_id,
                ROUND(1 / (1 + EXP(-(2.0::DOUBLE * LIST_DOT_PRODUCT(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[]))

@@ -640,6 +640,25 @@ def dot_product_topk(t: Tables) -> DataFrame:
     return recommend.dot_topk(users, items)
 
 
+def _scaled(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The vectors as users, and as items of different lengths: half, once, twice, four or eight times."""
+    users = t.embeddings.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vec"))
+    by = F.pow(F.lit(2.0), F.col("vec_id") % 5 - 1)
+    return users, t.embeddings.select(F.col("vec_id").alias("item_id"), F.transform("embedding", lambda x: x * by).alias("vec"))
+
+
+def bounded_topk(t: Tables) -> DataFrame:
+    """The best items of different lengths, in many small blocks."""
+    return recommend.bounded_topk(*_scaled(t), user_rows=100, item_rows=40).best
+
+
+def bounded_topk_share(t: Tables) -> DataFrame:
+    """How many pairs there are, and whether some of them were never scored."""
+    out = recommend.bounded_topk(*_scaled(t), user_rows=100, item_rows=40)
+    pairs = t.embeddings.agg((F.count(F.lit(1)) * F.count(F.lit(1))).alias("pairs"))
+    return pairs.withColumn("some_skipped", F.lit(out.scored < out.pairs)).withColumn("all_counted", F.col("pairs") == F.lit(out.pairs))
+
+
 def pair_scores(t: Tables) -> DataFrame:
     """Every vector scored against the one that follows it."""
     users = t.embeddings.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vec"))
@@ -715,6 +734,8 @@ job(negative_samples)
 job(negative_checks)
 job(training_pairs)
 job(dot_product_topk)
+job(bounded_topk)
+job(bounded_topk_share)
 job(pair_scores)
 job(lambda t: _als(t)[0], "als_top_items")
 job(als_hit_rate)
