@@ -113,10 +113,10 @@ def test_made_up_vocabularies(seed):
 def test_tokens_are_emitted_within_the_longest_token(merges):
     transducer = bpe.Transducer(merges)
     longest = max(map(len, merges.ranks))
-    state = 0
+    state = transducer.start
     for byte in bytes(random.Random(2).choice(b"etaoin") for _ in range(3_000)):
-        state, _ = transducer.moves.get(state << 8 | byte) or transducer.move(state, byte)
-        waiting = transducer.states[state][-1][2]
+        state, _ = state.get(byte) or transducer.move(state, byte)
+        waiting = state[bpe.WAYS][-1][2]
         assert sum(len(merges.tokens[t]) for t in waiting) <= 2 * longest
 
 

@@ -47,13 +47,14 @@ from tidemill.llm.common import besides, prepared
 from tidemill.llm.common import col as named
 
 #: Moves of the transducer, encoded matches and moves of the decoder that a worker keeps.
-MOST_MOVES = 300_000
-MOST_PIECES = 300_000
+MOST_MOVES = 500_000
+MOST_PIECES = 500_000
 #: Longer matches are not kept, only encoded.
 LONGEST_PIECE = 64
 #: Longer texts are split into matches block by block.
 LONG_TEXT = 1 << 20
 NEVER = 1 << 62
+WAYS = -1
 REPLACEMENT = b"\xef\xbf\xbd"
 DECODED = "struct<bytes:binary,text:string>"
 
@@ -138,8 +139,9 @@ class Merges:
 class Transducer:
     """Reads bytes, emits tokens; its states and moves are made when they are needed.
 
-    A state is a tuple of ways: (node of the trie, token before it, tokens that
-    wait). The last way is the one at the root, the encoding of what was read.
+    A state is a mapping of bytes to moves (the next state, the tokens emitted); at
+    ``WAYS`` it holds its ways: (node of the trie, token before it, tokens that wait).
+    The last way is the one at the root, the encoding of what was read.
     """
 
     def __init__(self, merges: Merges):
@@ -157,37 +159,44 @@ class Transducer:
                     self.token_at.append(-1)
                 node = self.child[key]
             self.token_at[node] = rank
-        self.goes_on = np.zeros(len(self.token_at), bool)
-        self.goes_on[list(inner)] = True
+        self.goes_on = bytearray(len(self.token_at))
+        for node in inner:
+            self.goes_on[node] = 1
         self.forget()
 
     def forget(self) -> None:
-        start = ((0, -1, ()),)
-        self.states, self.numbers, self.moves = [start], {start: 0}, {}
-
-    def move(self, state: int, byte: int) -> tuple[int, tuple]:
-        """Make the move from ``state`` by ``byte``: the next state, and the tokens emitted."""
+        for state in getattr(self, "states", {}).values():
+            state.clear()  # states lead to each other; so they are freed at once
+        ways = ((0, -1, ()),)
+        self.start, self.moves = {WAYS: ways}, 0
+        self.states = {ways: self.start}
+
+    def move(self, state: dict, byte: int) -> tuple[dict, tuple]:
+        """Make the move from ``state`` by ``byte``."""
         ways, ended = [], None
-        for node, before, waiting in self.states[state]:
-            to = self.child.get(node << 8 | byte)
+        child, goes_on, token_at = self.child, self.goes_on, self.token_at
+        for node, before, waiting in state[WAYS]:
+            to = child.get(node << 8 | byte)
             if to is None:
                 continue
-            if self.goes_on[to]:
+            if goes_on[to]:
                 ways.append((to, before, waiting))
-            token = self.token_at[to]
+            token = token_at[to]
             if ended is None and token >= 0 and self.merges.may_follow(before, token):
-                ended = (0, token, (*waiting, token))
-        ways.append(ended)  # every byte is a token, so some way ends here
-        agreed = 0
-        shortest = min(len(w[2]) for w in ways)
-        while agreed < shortest and len({w[2][agreed] for w in ways}) == 1:
-            agreed += 1
+                ended = (0, token, (*waiting, token))  # every byte is a token, so some way ends here
+        agreed = len(ended[2])
+        for _, _, waiting in ways:
+            agreed = min(agreed, len(waiting))
+            while waiting[:agreed] != ended[2][:agreed]:
+                agreed -= 1
         emitted = ended[2][:agreed]
-        to = tuple((node, before, waiting[agreed:]) for node, before, waiting in ways)
-        if to not in self.numbers:
-            self.numbers[to] = len(self.states)
-            self.states.append(to)
-        made = self.moves[state << 8 | byte] = (self.numbers[to], emitted)
+        ways.append(ended)
+        to = tuple([(node, before, waiting[agreed:]) for node, before, waiting in ways] if agreed else ways)
+        following = self.states.get(to)
+        if following is None:
+            following = self.states[to] = {WAYS: to}
+        made = state[byte] = (following, emitted)
+        self.moves += 1
         return made
 
     def run(self, piece: bytes) -> list[int]:
@@ -195,14 +204,14 @@ class Transducer:
         whole = self.merges.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.moves) > MOST_MOVES:
+        if self.moves > MOST_MOVES:
             self.forget()
-        moves, state, out = self.moves, 0, []
+        state, out = self.start, []
         for byte in piece:
-            state, emitted = moves.get(state << 8 | byte) or self.move(state, byte)
+            state, emitted = state.get(byte) or self.move(state, byte)
             if emitted:
                 out += emitted
-        out += self.states[state][-1][2]
+        out += state[WAYS][-1][2]
         return out
 
 
@@ -314,7 +323,7 @@ class Decoder:
 
 @contextmanager
 def _no_collection():
-    """Tables of a million tuples without cycles: looking for cycles in them costs a third of the time."""
+    """Nothing here leaves cycles behind, and looking for some in a million tuples costs a third of the time."""
     was = gc.isenabled()
     gc.disable()
     try:
