@@ -2,12 +2,15 @@
 
 Texts are laid end to end in one array and worked on without a Python loop
 per word. The hash of a stretch is a difference of prefix sums, scaled back
-to its start, so any window of any length costs one subtraction.
+to its start, so any window of any length costs one subtraction. Sums modulo 2**64
+cancel on strings that are built by doubling, from a thousand letters on, so words
+that are long enough for that are hashed from their bytes one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +19,8 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=U64)
+#: Longer words (in bytes) are hashed one by one.
+LONG_WORD = 64
 #: Texts are handled in slabs of about so many bytes; a longer text is a slab of its own.
 SLAB_BYTES = 1 << 20
 
@@ -143,7 +148,10 @@ def words_of(texts: list[bytes], word_bytes: np.ndarray = NOT_SPACE, lower: bool
         end = np.append(end, len(data))
     text_starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
     prefix = Prefix(_BYTE_VALUES[data])
-    return Words(data, np.searchsorted(start, text_starts), start, end, prefix.stretch(start, end), text_starts, prefix)
+    hashes = prefix.stretch(start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        hashes[i] = int.from_bytes(blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return Words(data, np.searchsorted(start, text_starts), start, end, hashes, text_starts, prefix)
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:
