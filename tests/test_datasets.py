@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemill.operators import quality, scoring
-from tidemill.plans.datasets import Project
+from tidemill.plans.datasets import Project, merge_rows
 from tidemill.session import shared_folder, work_path
 
 
@@ -154,3 +155,110 @@ def test_work_lies_in_the_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         assert shared_folder(spark) == named
+
+
+# --- side by side ------------------------------------------------------------------
+
+def test_side_by_side_builds_in_order_of_need(spark):
+    p = Project(spark)
+    p.source("raw", spark.range(10))
+
+    @p.dataset("table")
+    def top(p):
+        return p.ref("left").join(p.ref("right"), "id")
+
+    @p.dataset("table")
+    def left(p):
+        return p.ref("raw").filter("id > 2")
+
+    @p.dataset("ephemeral")
+    def right(p):
+        return p.ref("left").filter("id < 6")
+
+    out = p.run_side_by_side("top", threads=2)
+    assert {n: o.state for n, o in out.items()} == {"top": "built", "left": "built", "right": "built"}
+    assert rows(out["top"].rows) == [(3,), (4,), (5,)]
+    assert rows(p.lineage()) == [("left", "raw"), ("right", "left"), ("top", "left"), ("top", "right")]
+    assert p.run()["top"] is out["top"].rows  # what is built stays built
+
+
+def test_side_by_side_runs_at_the_same_time(spark):
+    """Two datasets that wait for each other's start both end."""
+    p, both = Project(spark), Barrier(2, timeout=60)
+
+    @p.dataset("view")
+    def one(p):
+        both.wait()
+        return spark.range(1)
+
+    @p.dataset("view")
+    def two(p):
+        both.wait()
+        return spark.range(2)
+
+    assert {o.state for o in p.run_side_by_side().values()} == {"built"}
+
+
+def test_a_failure_stops_only_what_needs_it(spark):
+    p = Project(spark)
+
+    @p.dataset("table")
+    def fine(p):
+        return spark.range(3)
+
+    @p.dataset("table")
+    def broken(p):
+        return p.ref("fine").select(F.raise_error(F.lit("no good")).alias("x"))
+
+    @p.dataset("table")
+    def reader(p):
+        return p.ref("broken")
+
+    @p.dataset("table")
+    def reader_of_reader(p):
+        return p.ref("fine").join(p.ref("reader"))
+
+    @p.dataset("view")
+    def beside(p):
+        return p.ref("fine").filter("id > 0")
+
+    out = p.run_side_by_side(threads=3)
+    assert {n: (o.state, o.reason if o.state == "skipped" else None) for n, o in out.items()} == {
+        "fine": ("built", None), "beside": ("built", None), "broken": ("failed", None), "reader": ("skipped", "broken"), "reader_of_reader": ("skipped", "reader"),
+    }
+    assert "no good" in out["broken"].reason and out["beside"].rows.count() == 2
+
+
+def test_side_by_side_cycles_and_unknown_names(spark):
+    p = Project(spark)
+
+    @p.dataset()
+    def a(p):
+        return p.ref("b")
+
+    @p.dataset()
+    def b(p):
+        return p.ref("a")
+
+    @p.dataset()
+    def c(p):
+        return p.ref("nothing")
+
+    with pytest.raises(ValueError, match="cycle among a, b"):
+        p.run_side_by_side("a")
+    with pytest.raises(KeyError, match="nothing"):
+        p.run_side_by_side("nothing")
+    assert p.run_side_by_side("c")["c"].state == "failed"
+
+
+def test_merge_by_key_appends_what_changed(spark):
+    """Late, changed and null-valued rows are added; equal ones are not; null keys are keys."""
+    path = work_path(spark, "merge")
+    schema = "k int, v double, s string"
+    first = spark.createDataFrame([(1, 1.0, "a"), (2, None, "b"), (None, 3.0, None)], schema)
+    merge_rows(first, path, ["k"])
+    out = merge_rows(spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b"), (None, 3.0, "x"), (4, None, None)], schema), path, ["k"])
+    assert rows(out) == rows(spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b"), (None, 3.0, "x"), (4, None, None)], schema))
+    stored = spark.read.parquet(path)
+    assert rows(stored.filter("_run = 1").drop("_run")) == rows(spark.createDataFrame([(2, 2.0, "b"), (None, 3.0, "x"), (4, None, None)], schema))
+    assert rows(merge_rows(first, path, ["k"])) == rows(spark.createDataFrame([(1, 1.0, "a"), (2, None, "b"), (None, 3.0, None), (4, None, None)], schema))

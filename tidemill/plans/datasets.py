@@ -8,6 +8,9 @@ its lineage is recorded on the way.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from dataclasses import dataclass
+from threading import Lock, get_ident, local
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,19 @@ from tidemill.session import work_path
 KINDS = ("view", "table", "incremental", "ephemeral")
 
 
+class _Waits(Exception):
+    """A dataset asked for an input that is not built yet."""
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What became of a dataset: ``built``, ``failed`` (with the error) or ``skipped`` (with the input that is missing)."""
+
+    state: str
+    rows: DataFrame | None = None
+    reason: str | None = None
+
+
 class Project:
     """Datasets and sources of one run.
 
@@ -36,7 +52,8 @@ class Project:
         self.sources: dict[str, DataFrame] = {}
         self.built: dict[str, DataFrame] = {}
         self.edges: list[tuple[str, str]] = []
-        self._open: list[str] = []
+        self._thread = local()
+        self._lock = Lock()
 
     def source(self, name: str, df: DataFrame) -> None:
         self.sources[name] = df
@@ -54,14 +71,24 @@ class Project:
 
         return register
 
+    @property
+    def _open(self) -> list[str]:
+        """The datasets that this thread is building, the innermost last."""
+        if not hasattr(self._thread, "open"):
+            self._thread.open = []
+        return self._thread.open
+
     def ref(self, name: str) -> DataFrame:
         """An input by name; builds it first if needed and notes who asked."""
         if self._open:
             edge = (self._open[-1], name)
-            if edge not in self.edges:
-                self.edges.append(edge)
+            with self._lock:
+                if edge not in self.edges:
+                    self.edges.append(edge)
         if name in self.sources:
             return self.sources[name]
+        if getattr(self._thread, "side_by_side", False) and name in self.models and name not in self.built:
+            raise _Waits(name)
         if name in self._open:
             raise ValueError("cycle: " + " -> ".join([*self._open, name]))
         if name not in self.built:
@@ -79,6 +106,68 @@ class Project:
         """Build the named datasets (all by default) and whatever they need."""
         return {name: self.ref(name) for name in names or self.models}
 
+    def run_side_by_side(self, *names: str, threads: int = 4) -> dict[str, Outcome]:
+        """Build datasets that don't need each other at the same time, each driver thread in a scheduler pool of its own.
+
+        A dataset that asks for one that is not built yet is set aside and called
+        again when that is there, so its function should do no more than build a
+        DataFrame. A dataset that fails stops only what needs it. With
+        ``spark.scheduler.mode`` FAIR the pools share the executors.
+        """
+        done: dict[str, Outcome] = {n: Outcome("built", df) for n, df in self.built.items()}
+        waiting: dict[str, list[str]] = {}
+        running: dict[Future, str] = {}
+        context = self.spark.sparkContext
+
+        def build(name: str) -> DataFrame:
+            self._thread.side_by_side = True
+            context.setLocalProperty("spark.scheduler.pool", f"datasets-{get_ident()}")
+            fn, kind, cursor, key = self.models[name]
+            self._open.append(name)
+            try:
+                return self._store(name, fn(self), kind, cursor, key)
+            finally:
+                self._open.pop()
+
+        with ThreadPoolExecutor(threads) as pool:
+
+            def start(name: str) -> None:
+                running[pool.submit(build, name)] = name
+
+            def settle(name: str, outcome: Outcome) -> None:
+                done[name] = outcome
+                for reader in waiting.pop(name, []):
+                    if outcome.state == "built":
+                        start(reader)
+                    else:
+                        settle(reader, Outcome("skipped", reason=name))
+
+            asked = set()
+            for name in names or self.models:
+                if name not in self.models:
+                    raise KeyError(f"no dataset or source named {name}")
+                if name not in done:
+                    asked.add(name)
+                    start(name)
+            while running:
+                for ended in wait(running, return_when=FIRST_COMPLETED).done:
+                    name, error = running.pop(ended), ended.exception()
+                    if error is None:
+                        self.built[name] = ended.result()
+                        settle(name, Outcome("built", self.built[name]))
+                    elif not isinstance(error, _Waits):
+                        settle(name, Outcome("failed", reason=f"{type(error).__name__}: {error}"))
+                    elif (needed := error.args[0]) in done:
+                        start(name) if done[needed].state == "built" else settle(name, Outcome("skipped", reason=needed))
+                    else:
+                        waiting.setdefault(needed, []).append(name)
+                        if needed not in asked:
+                            asked.add(needed)
+                            start(needed)
+        if waiting:
+            raise ValueError("cycle among " + ", ".join(sorted(n for readers in waiting.values() for n in readers)))
+        return done
+
     def lineage(self) -> DataFrame:
         return self.spark.createDataFrame(self.edges, "dataset string, input string")
 
@@ -116,7 +205,8 @@ def merge_rows(df: DataFrame, path: str, key: list[str]) -> DataFrame:
     Late rows and rows with nulls count like any other. What is stored is never
     rewritten: each run appends under its number, and the newest row of a key
     stands. Within a run the keys should be unique; of repeated ones the first
-    in the order of the other columns is taken.
+    in the order of the other columns is taken. What is stored meets the run as
+    key and digest, the newest per key picked before the shuffle.
     """
     spark, rest = df.sparkSession, [c for c in df.columns if c not in key]
     once = first_per_key(df, key, [F.col(c) for c in rest])
@@ -125,9 +215,12 @@ def merge_rows(df: DataFrame, path: str, key: list[str]) -> DataFrame:
     if held is None:
         once.withColumn(RUN, F.lit(0).cast("long")).write.parquet(path)
     else:
-        last = first_per_key(held, key, [F.desc(RUN)])
+        digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in rest]), {"ignoreNullFields": "false"}), 256) if rest else F.lit("")
+        last = held.groupBy(*key).agg(F.max_by(digest, RUN).alias("_last")).select(*[F.col(c).alias(f"_k_{c}") for c in key], "_last")
+        same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
         run = held.agg(F.max(RUN)).first()[0]
-        fresh = once.exceptAll(last.drop(RUN)).withColumn(RUN, F.lit(0 if run is None else run + 1).cast("long"))
+        changed = once.withColumn("_now", digest).join(last, same, "left").filter(F.col("_last").isNull() | (F.col("_last") != F.col("_now")))
+        fresh = changed.select(*once.columns).withColumn(RUN, F.lit(0 if run is None else run + 1).cast("long"))
         fresh.write.mode("append").parquet(path)
     return first_per_key(_stored_rows(spark, stored_schema, path), key, [F.desc(RUN)]).drop(RUN)
 

@@ -237,6 +237,32 @@ SQL = {
         _edge("gold_portfolio", "silver_holdings", SILVER_H), _edge("gold_portfolio", "silver_prices", SILVER_P),
         _edge("gold_sector_allocation", "gold_portfolio", PORTFOLIO),
     ]),
+    "parallel_project": " UNION ALL ".join([
+        *[f"SELECT '{name}' AS dataset, 'built' AS state, COUNT(*) AS rows FROM ({rows})" for name, rows in (
+            ("bronze_holdings", HOLDINGS), ("bronze_prices", PRICES), ("silver_holdings", SILVER_H), ("silver_prices", SILVER_P),
+            ("gold_portfolio", PORTFOLIO), ("gold_sector_allocation", SECTORS))],
+        "SELECT 'broken_prices', 'failed', NULL", "SELECT 'broken_portfolio', 'skipped', NULL",
+    ]),
+    "keyed_delete": """
+        WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
+             changed AS (SELECT * REPLACE (CASE WHEN o_orderpriority = '1-URGENT' THEN 'CRITICAL' ELSE o_orderpriority END AS o_orderpriority) FROM o)
+        SELECT *, 0::BIGINT AS version FROM o UNION ALL SELECT *, 1 FROM changed
+        UNION ALL SELECT *, 2 FROM changed WHERE o_orderstatus <> 'P'""",
+    "keyed_compaction": """
+        SELECT o_orderkey, o_orderstatus, o_totalprice,
+               CASE WHEN o_orderstatus = 'P' THEN 'BACK' WHEN o_orderpriority = '1-URGENT' THEN 'CRITICAL' ELSE o_orderpriority END AS o_orderpriority
+        FROM orders WHERE o_orderstatus <> 'P' OR o_totalprice > 200000""",
+    "append_widened": """
+        SELECT o_orderkey, o_custkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority,
+               'column o_custkey is string, table has bigint' AS refused FROM orders""",
+    "bucketed_join": f"""
+        SELECT o_orderpriority, COUNT(*) AS lines, {_sum('l_extendedprice')} AS revenue FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
+    "pruned_fact": f"""
+        SELECT n_name, COUNT(*) AS orders, {_sum('o_totalprice')} AS revenue
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE r_name = 'ASIA' GROUP BY 1""",
+    "segment_median_sketch": """
+        SELECT c_mktsegment, COUNT(*) AS orders, TRUE AS within_error FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
     "incremental_orders": "SELECT * FROM orders",
     "incremental_merge": "SELECT * FROM orders",
 }

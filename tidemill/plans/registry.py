@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions import sketch
 from tidemill.functions.latest import first_per_key
 from tidemill.functions.money import mean, total
 from tidemill.functions.ordered import numbered
@@ -24,7 +25,7 @@ from tidemill.operators import auction, observed, quality, recommend, scoring
 from tidemill.plans import customer, derived, medallion, relational
 from tidemill.plans.datasets import Project
 from tidemill.session import prepare, stored, work_path
-from tidemill.sources import files, managed, reports, versions
+from tidemill.sources import colocated, evolving, files, keyed, managed, reports, versions
 from tidemill.streaming import gaps, sensors
 from tidemill.tables import Tables
 
@@ -316,6 +317,81 @@ job(lambda t: medallion.top_gainers(_portfolio(t)), "top_gainers")
 job(layer_funnel)
 
 
+# --- tables that change --------------------------------------------------------------------------
+
+def _order_state(t: Tables, name: str) -> tuple[keyed.KeyedTable, DataFrame]:
+    """Orders by key in three versions: all, urgent ones changed, pending ones taken away."""
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    table = keyed.KeyedTable(t.spark, work_path(t.spark, name), ("o_orderkey",), rows.schema)
+    table.put(rows, 0)
+    table.put(rows.filter("o_orderpriority = '1-URGENT'").withColumn("o_orderpriority", F.lit("CRITICAL")), 1)
+    table.remove(rows.filter("o_orderstatus = 'P'"), 2)
+    return table, rows
+
+
+def keyed_delete(t: Tables) -> DataFrame:
+    """Rows of three versions of a table whose rows change and go."""
+    table, _ = _order_state(t, "orders-by-key")
+    states = [table.rows(v).withColumn("version", F.lit(v).cast("long")) for v in range(3)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+def keyed_compaction(t: Tables) -> DataFrame:
+    """The same table compacted and rid of its history, then changed: some rows come back."""
+    table, rows = _order_state(t, "orders-compacted")
+    table.compact()
+    table.forget()
+    table.put(rows.filter("o_orderstatus = 'P' AND o_totalprice > 200000").withColumn("o_orderpriority", F.lit("BACK")), 3)
+    return table.rows()
+
+
+def append_widened(t: Tables) -> DataFrame:
+    """Two appends of different shapes as one table, and what was said to a third that doesn't fit."""
+    path = work_path(t.spark, "widened")
+    old = t.orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"), F.to_date("o_orderdate").alias("o_orderdate"))
+    evolving.append(old, path)
+    new = t.orders.filter("o_orderkey % 2 = 1").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "o_orderpriority")
+    evolving.append(new, path)
+    try:
+        evolving.append(new.withColumn("o_custkey", F.col("o_custkey").cast("string")), path)
+        refused = "nothing"
+    except managed.SchemaMismatch as err:
+        refused = str(err)
+    return evolving.read(t.spark, path).withColumn("refused", F.lit(refused))
+
+
+def bucketed_join(t: Tables) -> DataFrame:
+    """Orders and their lines joined bucket by bucket."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = colocated.bucketed(t.orders.select("o_orderkey", "o_orderpriority"), "orders", "o_orderkey", buckets)
+    lines = colocated.bucketed(t.lineitem.select("l_orderkey", "l_extendedprice"), "lines", "l_orderkey", buckets)
+    joined = orders.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), total("l_extendedprice").alias("revenue"))
+
+
+def pruned_fact(t: Tables) -> DataFrame:
+    """Orders in folders by nation, read where the nations of one region are."""
+    fact = t.orders.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_totalprice", "c_nationkey")
+    asia = t.nation.join(t.region.filter("r_name = 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name")
+    joined = colocated.foldered(fact, "orders-by-nation", "c_nationkey").join(asia, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.groupBy("n_name").agg(F.count(F.lit(1)).alias("orders"), total("o_totalprice").alias("revenue"))
+
+
+def segment_median_sketch(t: Tables) -> DataFrame:
+    """Median order value per segment from sketches of every year, and whether its rank is within twice the stated error."""
+    k = 400
+    spent = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("c_mktsegment", "o_totalprice", F.year("o_orderdate").alias("year"))
+    parts = stored(sketch.sketches(spent, ["c_mktsegment", "year"], "o_totalprice", k), "sketches")
+    medians = sketch.merged(parts, ["c_mktsegment"]).select("c_mktsegment", sketch.count().alias("orders"), sketch.quantile(0.5).alias("median"))
+    below = F.count(F.when(F.col("o_totalprice") <= F.col("median"), 1))
+    ranked = spent.join(stored(medians, "medians"), "c_mktsegment").groupBy("c_mktsegment", "orders").agg((below / F.count(F.lit(1))).alias("rank"))
+    return ranked.select("c_mktsegment", "orders", (F.abs(F.col("rank") - 0.5) <= 2 * sketch.rank_error(k) + 1 / F.col("orders")).alias("within_error"))
+
+
+for build in (keyed_delete, keyed_compaction, append_widened, bucketed_join, pruned_fact, segment_median_sketch):
+    job(build)
+
+
 # --- data quality ----------------------------------------------------------------------------
 
 def expect_report(t: Tables) -> DataFrame:
@@ -476,6 +552,28 @@ def incremental_merge(t: Tables) -> DataFrame:
     return out
 
 
+def parallel_project(t: Tables) -> DataFrame:
+    """The portfolio with a dataset that fails and one that needs it: what became of each, and its rows."""
+    project = portfolio_project(t)
+
+    @project.dataset("table")
+    def broken_prices(p):
+        return p.ref("silver_prices").withColumn("Close", F.raise_error(F.lit("no such price")))
+
+    @project.dataset("table")
+    def broken_portfolio(p):
+        return medallion.gold_portfolio(p.ref("silver_holdings"), p.ref("broken_prices"))
+
+    lines = None
+    for name, outcome in sorted(project.run_side_by_side().items()):
+        one = t.spark.range(1) if outcome.rows is None else outcome.rows
+        counted = one.agg((F.lit(None).cast("long") if outcome.rows is None else F.count(F.lit(1))).alias("rows"))
+        line = counted.select(F.lit(name).alias("dataset"), F.lit(outcome.state).alias("state"), "rows")
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
+job(parallel_project)
 job(lineage_edges)
 job(incremental_orders)
 job(incremental_merge)

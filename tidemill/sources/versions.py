@@ -71,16 +71,19 @@ def history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def diff_counts(spark: SparkSession, path: str, key: list[str], old: int, new: int, column: str) -> DataFrame:
-    """How often each value of a column occurs in two versions."""
-    sides = [
-        as_of(spark, path, key, v).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).withColumn("old", F.lit(v == old))
-        for v in (old, new)
-    ]
-    return (
-        sides[0].unionByName(sides[1])
-        .groupBy("value")
-        .agg(
-            F.sum(F.when(F.col("old"), F.col("n")).otherwise(0)).alias("old_rows"),
-            F.sum(F.when(~F.col("old"), F.col("n")).otherwise(0)).alias("new_rows"),
-        )
+    """How often each value of a column occurs in two versions, from one scan.
+
+    Per key the newest value up to each version is kept, with partial results
+    before the shuffle; only the key, the column and the version are read.
+    """
+    rows = spark.read.parquet(path).filter(F.col(VERSION) <= max(old, new))
+
+    def newest(version: int) -> Column:
+        place = F.when(F.col(VERSION) <= version, F.col(VERSION))
+        return F.struct(F.max_by(column, place).alias("value"), F.max(place).isNotNull().alias("there"), F.lit(version == old).alias("old"))
+
+    sides = rows.groupBy(*key).agg(F.array(newest(old), newest(new)).alias("_sides")).select(F.inline("_sides")).filter("there")
+    return sides.groupBy("value").agg(
+        F.count(F.when(F.col("old"), 1)).alias("old_rows"),
+        F.count(F.when(~F.col("old"), 1)).alias("new_rows"),
     )
