@@ -47,6 +47,19 @@ def suffix_cut(texts: list[bytes], size=400):
     return [covered(len(t), [i for i in range(len(t) - size + 1) if seen[t[i : i + size]] > 1], size) for t in texts]
 
 
+def long_repeats(text: bytes, gone: list[bool], min_words=50, min_bytes=400):
+    """``gone`` without the runs that have too few words and bytes."""
+    out, i = [False] * len(text), 0
+    while i < len(text):
+        j = i
+        while j < len(text) and gone[j]:
+            j += 1
+        if j - i >= min_bytes or len(text[i:j].split()) >= min_words:
+            out[i:j] = [True] * (j - i)
+        i = max(j, i + 1)
+    return out
+
+
 def suffix_dedup(rows, size=400):
     texts = [(t or "").encode() for _, t in rows]
     out = []

@@ -46,12 +46,28 @@ def test_repeated_strings_go(stages):
     before, after = stages["suffix dedup"]
     rows = pairs(before)
     left = {}
-    for (d, t), gone in zip(rows, plain.suffix_cut([t.encode() for _, t in rows]), strict=True):
+    for (d, t), gone in zip(rows, plain.suffix_cut([t.encode() for _, t in rows], 240), strict=True):
+        gone = plain.long_repeats(t.encode(), gone)
         left[d] = bytes(b for b, g in zip(t.encode(), gone, strict=True) if not g).decode("utf-8", "ignore")
     assert dict(pairs(after)) == left
     assert all(r.n_chars == len(r.text) for r in after.collect())
 
 
+def test_passages_of_over_fifty_words_go(spark):
+    """Whatever their length in bytes; shorter ones stay, and so do documents without any."""
+    own = lambda d, n: " ".join(f"{'abcdefgh'[i % 8]}{d}x{i}" for i in range(n))
+    short, long = " ".join(f"p{i}" for i in range(100, 151)), " ".join(f"q{i}" for i in range(100, 140))
+    wide = "漢字" * 80
+    texts = [f"{own(1, 30)} {short} {own(2, 9)}", f"{own(3, 9)} {short} {own(4, 9)}", f"{own(5, 9)} {long} {own(6, 9)}", f"{own(7, 9)} {long}", own(8, 90)]
+    texts += [f"{own(9, 9)} {wide}", f"{own(10, 9)} {wide} {own(11, 9)}"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    left = dict(pairs(corpus_pipeline.repeated_strings(spark, docs, SMALL)))
+    assert len(short.encode()) < 260
+    assert "p120" not in left[0] + left[1] and left[0].startswith(own(1, 30)) and left[1].endswith(own(4, 9))
+    assert [left[i] for i in (2, 3, 4)] == [texts[i] for i in (2, 3, 4)]
+    assert "漢" not in left[5] + left[6]
+
+
 def test_contaminated_go(stages, tables):
     before, after = stages["decontamination"]
     bench = [(r.item_id, r.text) for r in tables.benchmark.collect()]

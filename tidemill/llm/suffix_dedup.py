@@ -185,15 +185,26 @@ def remove_repeated(docs: DataFrame, size: int = 400, gram: int | None = None, i
     return with_spans(docs, spans, F.pandas_udf(_kept_bytes, RESULT), id_col, text_col, result)
 
 
-def _left_text(text: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([k.decode("utf-8", "ignore") for k in _kept_bytes(text, spans)["kept"]], dtype=object)
+def _long_enough(raw: bytes, spans, min_words: int, min_bytes: int) -> list[dict]:
+    """The merged spans that have so many words, or so many bytes."""
+    a, b = merged(spans)
+    return [{"a": x, "b": y} for x, y in zip(a.tolist(), b.tolist(), strict=True) if y - x >= min_bytes or len(raw[x:y].split()) >= min_words]
 
 
-def without_repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """``docs`` with the repeated strings cut out of the text, and ``length_col``, if present, set anew."""
+def without_repeats(docs: DataFrame, size: int = 400, min_words: int = 0, min_bytes: int = 400, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated strings cut out of the text, and ``length_col``, if present, set anew.
+
+    A repeated stretch stays if it has fewer than ``min_words`` words and fewer than
+    ``min_bytes`` bytes; the latter is for scripts that set no spaces.
+    """
     prepared(docs.sparkSession)
     (left,) = unused(docs, "left_text")
+
+    def left_text(text: pd.Series, spans: pd.Series) -> pd.Series:
+        long = pd.Series([_long_enough(raw or b"", cuts, min_words, min_bytes) for raw, cuts in zip(text, spans, strict=True)], dtype=object)
+        return pd.Series([k.decode("utf-8", "ignore") for k in _kept_bytes(text, long)["kept"]], dtype=object)
+
     spans = repeated_spans(texts_of(docs, id_col, text_col), size)
-    out = with_spans(docs, spans, F.pandas_udf(_left_text, "string"), id_col, text_col, left)
+    out = with_spans(docs, spans, F.pandas_udf(left_text, "string"), id_col, text_col, left)
     changed = {text_col: F.col(left), length_col: F.length(left).cast("long")}
     return out.select(*[changed[c].alias(c) if c in changed else named(c) for c in docs.columns])
