@@ -5,7 +5,8 @@
 1. documents that the quality classifier scores under ``KEEP_SCORE`` go;
 2. of each group of near-duplicates (five-word shingles, similarity 0.8) the
    document with the smallest id stays;
-3. byte strings of 400 that occur elsewhere are cut out of the texts;
+3. passages of ``PASSAGE_WORDS`` words or 400 bytes that occur elsewhere are cut
+   out of the texts;
 4. documents contaminated by the benchmark go;
 5. sources are mixed to their target weights.
 
@@ -26,6 +27,9 @@ from tidemill.llm.common import prepared, stored
 from tidemill.tables import Tables
 
 KEEP_SCORE = 0.3
+#: Passages of so many words go. They are found as strings of ``PASSAGE_BYTES``: with spaces, words of four
+#: letters take 250, and strings must be shorter than the passages that hold them.
+PASSAGE_WORDS, PASSAGE_BYTES = 50, 240
 ORACLE_SQL = None
 
 
@@ -40,8 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings that occur elsewhere; characters cut in two go."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the passages that occur elsewhere; characters cut in two go."""
+    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES, PASSAGE_WORDS)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
