@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.money import total
+from tidemill.session import stored
 
 
 class ExpectationFailed(AssertionError):
@@ -86,6 +87,38 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column:
     return keys.join(parent.select(F.col(parent_column).alias("value")), "value", "left_anti")
 
 
+#: Bits of a bitmap of ``bitmap_construct_agg``, and the bytes they take.
+_BITS, _BITMAP_BYTES = 32_768, 4_096
+
+
+def key_bitmaps(keys: DataFrame, column: str) -> DataFrame:
+    """The distinct whole numbers of a column as bitmaps: ``bucket`` and ``bits``, merged from each task's own.
+
+    Their size follows the keys: 4 KB for every range of 32,768 numbers that holds any.
+    """
+    key = F.col(column).cast("long")
+    return keys.filter(key.isNotNull()).groupBy(F.bitmap_bucket_number(key).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bits"))
+
+
+def orphans_by_bitmap(df: DataFrame, column: str, parent: DataFrame, parent_column: str, most_bytes: int = 64 << 20) -> DataFrame:
+    """As ``relationships``, for whole-number keys, without shuffling the child.
+
+    The parent's keys are sent to all tasks as bitmaps and every child row is looked
+    up where it stands; only orphans are counted and shuffled. Bitmaps are exact, so no
+    key has to be checked again. If they take more than ``most_bytes``, as
+    with few keys scattered over a wide range, the child is counted by key instead.
+    """
+    maps = stored(key_bitmaps(parent, parent_column), "key-bitmaps")
+    if maps.count() * _BITMAP_BYTES > most_bytes:
+        return relationships(df, column, parent, parent_column)
+    key = F.col(column).cast("long")
+    place = F.bitmap_bit_position(key)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    there = F.col("bits").isNotNull() & (byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0)
+    looked_up = df.filter(key.isNotNull()).join(F.broadcast(maps), F.bitmap_bucket_number(key) == F.col("bucket"), "left")  # most_bytes at most
+    return looked_up.filter(~there).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
 def singular(violations: DataFrame) -> DataFrame:
     """Any query that must return no rows; raises with a few of them if it does."""
     seen = violations.limit(5).collect()

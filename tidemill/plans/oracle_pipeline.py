@@ -224,6 +224,9 @@ SQL = {
     "dq_relationships": f"""
         SELECT "Ticker" AS value, COUNT(*) AS n FROM ({SILVER_H})
         WHERE "Ticker" NOT IN (SELECT "Symbol" FROM ({SILVER_P})) GROUP BY 1""",
+    "dq_orphans": """
+        SELECT l_orderkey AS value, COUNT(*) AS n FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY 1""",
     "dq_weight_sum": f"""
         SELECT * FROM (SELECT SUM(CAST("Weight_Pct" AS DECIMAL(18,2)))::DOUBLE AS total,
                               ABS(SUM(CAST("Weight_Pct" AS DECIMAL(18,2)))::DOUBLE - 100.0::DOUBLE) AS drift FROM ({PORTFOLIO}))

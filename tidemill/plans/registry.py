@@ -430,6 +430,12 @@ def dq_relationships(t: Tables) -> DataFrame:
     return quality.relationships(holdings, "Ticker", prices, "Symbol")
 
 
+def dq_orphans(t: Tables) -> DataFrame:
+    """Lines whose order is not among those delivered or open; the lines are not shuffled."""
+    orders = t.orders.filter("o_orderstatus <> 'P'")
+    return quality.orphans_by_bitmap(t.lineitem, "l_orderkey", orders, "o_orderkey")
+
+
 def source_freshness(t: Tables) -> DataFrame:
     return quality.freshness(t.events, "ts", datetime(2024, 2, 1), warn_hours=12, error_hours=48)
 
@@ -471,6 +477,7 @@ job(lambda t: quality.unique(t.lineitem, ["l_orderkey", "l_linenumber"]), "dq_un
 job(lambda t: quality.not_null(_bronze_holdings(t).drop("_ingested_at"), "Ticker"), "dq_not_null")
 job(lambda t: quality.accepted_values(t.orders, "o_orderstatus", ["F", "O"]), "dq_accepted_values")
 job(dq_relationships)
+job(dq_orphans)
 job(lambda t: quality.total_off_target(_portfolio(t), "Weight_Pct", 100, 0.5), "dq_weight_sum")
 job(source_freshness)
 
@@ -877,11 +884,18 @@ def stream_tag_counts(t: Tables) -> DataFrame:
     return sensors.newest(t.spark, f"{path}/state", ["stream"]).select("messages", "skipped")
 
 
+def _sensor_means(t: Tables, rows: DataFrame, name: str, mode: str) -> DataFrame:
+    """Running means through a stream into a table by sensor; the table is compacted after the run."""
+    path = work_path(t.spark, name)
+    means = sensors.running_mean(rows)
+    table = keyed.KeyedTable(t.spark, f"{path}/state", ("sensor_id",), means.schema)
+    sensors.run_batches(means, f"{path}/checkpoint", mode, sensors.table_sink(table))
+    table.compact()
+    return table.rows()
+
+
 def stream_running_mean(t: Tables) -> DataFrame:
-    path = work_path(t.spark, "running_mean")
-    means = sensors.running_mean(sensors.readings(_sensor_stream(t)))
-    sensors.run_batches(means, f"{path}/checkpoint", "update", sensors.append_sink(f"{path}/state"))
-    return sensors.newest(t.spark, f"{path}/state", ["sensor_id"])
+    return _sensor_means(t, sensors.readings(_sensor_stream(t)), "running_mean", "update")
 
 
 def stream_restart(t: Tables) -> DataFrame:
@@ -936,14 +950,8 @@ def stream_gaps(t: Tables) -> DataFrame:
 
 def stream_session_summary(t: Tables) -> DataFrame:
     """The running means of one tag, rounded and in sensor order."""
-    path = work_path(t.spark, "session")
-    means = sensors.running_mean(sensors.for_tag(sensors.readings(_sensor_stream(t)), "s1"))
-    sensors.run_batches(means, f"{path}/checkpoint", "complete", sensors.append_sink(f"{path}/state"))
-    return (
-        sensors.newest(t.spark, f"{path}/state", ["sensor_id"])
-        .select("sensor_id", "readings", F.round("avg_temperature", 3).alias("avg_temperature"))
-        .orderBy("sensor_id")
-    )
+    means = _sensor_means(t, sensors.for_tag(sensors.readings(_sensor_stream(t)), "s1"), "session", "complete")
+    return means.select("sensor_id", "readings", F.round("avg_temperature", 3).alias("avg_temperature")).orderBy("sensor_id")
 
 
 def stream_tumbling(t: Tables) -> DataFrame:

@@ -56,6 +56,10 @@ class KeyedTable:
         kept = held.join(changed, same, "left_anti")
         return kept.unionByName(changed.filter(~F.col(GONE)).drop(GONE))
 
+    def upto(self) -> int:
+        """The version of the newest base; -1 if there is none."""
+        return max(self._bases(), default=-1)
+
     def compact(self, upto: int | None = None) -> int:
         """Write the state at ``upto`` (the newest version by default) as a base."""
         versions = self._numbers("changes", VERSION)
@@ -66,9 +70,7 @@ class KeyedTable:
 
     def forget(self) -> None:
         """Remove the changes and bases that the newest base stands for. Versions before it can't be read any more."""
-        newest = max(self._bases(), default=None)
-        if newest is None:
-            return
+        newest = self.upto()
         for kind, name, numbers in (("changes", VERSION, self._numbers("changes", VERSION)), ("base", UPTO, self._bases())):
             for n in numbers:
                 if n < newest or (n == newest and kind == "changes"):
@@ -76,7 +78,7 @@ class KeyedTable:
                     fs.delete(place, True)
 
     def _write(self, rows: DataFrame, version: int) -> None:
-        if version <= max(self._bases(), default=-1):
+        if version <= self.upto():
             raise ValueError(f"version {version} is part of a base")
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/{VERSION}={version}")
 

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemill.functions.latest import first_per_key
 from tidemill.functions.once import evaluated_once
+from tidemill.sources.keyed import KeyedTable
 
 READING_SCHEMA = (
     "reading_id long, student string, sensor_id string, temperature_c double, humidity_pct double, timestamp string"
@@ -173,6 +174,20 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def table_sink(table: KeyedTable) -> Callable[[DataFrame, int], None]:
+    """Put every micro-batch into a table by key, which can be compacted between runs.
+
+    The batch number is the version: a batch that comes again replaces itself, or
+    is left out if a base already holds it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id > table.upto():
+            table.put(batch, batch_id)
+
+    return write
+
+
 def newest(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
     """The newest row per key of an appended stream; a batch that came twice changes nothing."""
     rows = spark.read.parquet(path)
