@@ -189,6 +189,9 @@ SQL = {
     "als_checks": f"""
         SELECT COUNT(DISTINCT user_id) AS users, LEAST(10, COUNT(DISTINCT item_id)) AS least, LEAST(10, COUNT(DISTINCT item_id)) AS most,
                0::BIGINT AS repeated, 0::BIGINT AS unscored, 0::BIGINT AS unknown_items, TRUE AS hits_are_joined_pairs FROM ({TRAIN})""",
+    "als_factors": f"""
+        SELECT 'user' AS side, COUNT(DISTINCT user_id) AS rows, 20::BIGINT AS factors FROM ({TRAIN})
+        UNION ALL SELECT 'item', COUNT(DISTINCT item_id), 20 FROM ({TRAIN})""",
     "run_log_checks": """
         SELECT * FROM (VALUES ('run-1', 'popular', 'algorithm=popularity', 'hit_rate', TRUE),
             ('run-2', 'als', 'algorithm=ALS-implicit,maxIter=10,rank=20,regParam=0.1', 'hit_rate', TRUE))

@@ -779,6 +779,15 @@ def _als(t: Tables) -> tuple[DataFrame, DataFrame]:
     return recommend.top_items(recommend.fit_als(stored(train, "train")), users, items), held
 
 
+def als_factors(t: Tables) -> DataFrame:
+    """The training alone: how many users and items got factors, and of what length."""
+    train, _, _ = _indexed_train(t)
+    model = recommend.fit_als(stored(train, "train"))
+    sides = [m.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("features")).cast("long").alias("factors")).withColumn("side", F.lit(s))
+             for s, m in (("user", model.userFactors), ("item", model.itemFactors))]
+    return sides[0].unionByName(sides[1])
+
+
 def als_checks(t: Tables) -> DataFrame:
     """What has to hold of recommendations, whatever the factors."""
     recs, held = _als(t)
@@ -844,6 +853,7 @@ job(bounded_topk_share)
 job(pair_scores)
 job(lambda t: _als(t)[0], "als_top_items")
 job(als_hit_rate)
+job(als_factors)
 job(als_checks)
 job(run_log)
 job(run_log_checks)
