@@ -475,8 +475,26 @@ def test_parts_become_placeholders():
     assert out["formatted"] == "<|im_start|>user\nsee <|image|><|audio|><\\|image|><|document|><|im_end|>\n"
     assert [(a["part"], a["kind"], a["ref"], a["tokens"]) for a in out["attachments"]] == [(1, "image", "s3://a.png", 512), (2, "audio", "b.wav", 250), (4, "document", None, 512)]
     assert out["expanded"] == 512 + 250 + 512 and out["loss"] == []
-    with pytest.raises(ValueError, match="unknown content part"):
-        chat_format.formatted_turn("user", [{"kind": "video"}])
+
+
+@pytest.mark.parametrize("kind", ["video", None, "", "attachment", "unknown", "text "])
+def test_other_parts_are_recorded(kind):
+    out = chat_format.formatted_turn("assistant", [{"kind": "text", "text": "a"}, {"kind": kind, "ref": "x"}, {"kind": "text", "text": None}])
+    assert out["formatted"] == "<|im_start|>assistant\na<|unknown|><|im_end|>\n"
+    assert out["attachments"] == [{"part": 1, "kind": kind, "ref": "x", "tokens": 0}] and out["expanded"] == 0 and len(out["loss"]) == 1
+
+
+def test_attachments_read_back(spark):
+    parts = [("text", "see ", None, None), ("image", None, "a.png", 2), ("video", None, "b.mp4", 9), ("text", "<|image|>", None, None)]
+    schema = "conv_id long, turn long, role string, text string, parts " + chat_format.PART.replace("struct", "array<struct", 1) + ">"
+    df = chat_format.format_turns(spark.createDataFrame([(1, 0, "user", "", parts), (1, 1, "assistant", "", parts), (2, 0, "user", "", None)], schema))
+    told = {(r.conv_id, r.turn): r.chat for r in df.collect()}
+    assert [(a["part"], a["kind"], a["ref"], a["tokens"]) for a in told[1, 0].attachments] == [(1, "image", "a.png", 512), (2, "video", "b.mp4", 0)]
+    assert told[1, 1].expanded == 512 and told[2, 0].attachments == []
+    out = {r.conv_id: r for r in chat_format.digests(df).collect()}
+    read = "see <|image|><|unknown|><|image|>"
+    assert out[1].turns_sha256 == plain.sha(f"user\n{read}\nassistant\n{read}\n") and out[2].turns_sha256 == plain.sha("user\n\n")
+    assert out[1].loss_sha256 == plain.sha("see <|image|>") and out[1].loss_chars == len("see <|image|>")
 
 
 def test_chat_odd_rows(spark):

@@ -70,7 +70,12 @@ class Flatten:
         self.length += len(piece)
 
     def visit(self, at: int, part) -> None:
-        getattr(self, f"visit_{part['kind']}", self.visit_unknown)(at, part)
+        if part["kind"] == "text":
+            self.visit_text(at, part)
+        elif part["kind"] in TOKENS:
+            self.visit_attachment(at, part)
+        else:
+            self.visit_unknown(at, part)
 
     def visit_text(self, at: int, part) -> None:
         piece = escaped(part["text"] or "")
@@ -83,10 +88,9 @@ class Flatten:
         self.attachments.append({"part": at, "kind": kind, "ref": part["ref"], "tokens": TOKENS[kind] * max(1, int(part["units"] or 1))})
         self.put(f"<|{kind}|>")
 
-    visit_image = visit_audio = visit_document = visit_attachment
-
     def visit_unknown(self, at: int, part) -> None:
-        raise ValueError(f"unknown content part: {part['kind']!r}")
+        self.attachments.append({"part": at, "kind": part["kind"], "ref": part.get("ref"), "tokens": 0})
+        self.put("<|unknown|>")
 
 
 def formatted_turn(role: str | None, parts, loss_role: str = "assistant") -> dict:
