@@ -246,6 +246,7 @@ SQL = {
             ("gold_portfolio", PORTFOLIO), ("gold_sector_allocation", SECTORS))],
         "SELECT 'broken_prices', 'failed', NULL", "SELECT 'broken_portfolio', 'skipped', NULL",
     ]),
+    "catalog_tables": "SELECT 'region' AS table_name, COUNT(*) AS rows FROM region UNION ALL SELECT 'nation', COUNT(*) FROM nation",
     "keyed_delete": """
         WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
              changed AS (SELECT * REPLACE (CASE WHEN o_orderpriority = '1-URGENT' THEN 'CRITICAL' ELSE o_orderpriority END AS o_orderpriority) FROM o)

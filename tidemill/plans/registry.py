@@ -388,7 +388,23 @@ def segment_median_sketch(t: Tables) -> DataFrame:
     return ranked.select("c_mktsegment", "orders", (F.abs(F.col("rank") - 0.5) <= 2 * sketch.rank_error(k) + 1 / F.col("orders")).alias("within_error"))
 
 
-for build in (keyed_delete, keyed_compaction, append_widened, bucketed_join, pruned_fact, segment_median_sketch):
+def catalog_tables(t: Tables) -> DataFrame:
+    """Three tables are made in a database of their own and one is dropped: the others, with their rows."""
+    path = work_path(t.spark, "catalog")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    for name in ("region", "nation", "supplier"):
+        managed.create_or_replace(getattr(t, name), f"{database}.{name}", path=f"{path}/{name}")
+    managed.drop(t.spark, f"{database}.supplier")
+    listed = managed.tables_in(t.spark, database).select(F.col("tableName").alias("table_name"))
+    sizes = None
+    for name in ("region", "nation"):
+        one = t.spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(name))
+        sizes = one if sizes is None else sizes.unionByName(one)
+    return listed.join(sizes, "table_name", "left")
+
+
+for build in (catalog_tables, keyed_delete, keyed_compaction, append_widened, bucketed_join, pruned_fact, segment_median_sketch):
     job(build)
 
 
