@@ -3,8 +3,9 @@
 1. The texts of a source, in the order of their ids, are packed into blocks of
    ``block`` words; a block may hold several texts and a text several blocks.
 2. Sources get targets by weight, at most ``epochs`` times their size; what is
-   over is shared again among the others. A source's target gives its number of
-   slots: every block in full rounds, and a part of them in a last round.
+   over is shared again among the others. A source's target, in whole words, gives its
+   slots: every block in full rounds, then a part of them in a last round, the last
+   slot cut to the words still owed. So what is taken meets the target to the word.
 3. The mix has shards of ``shard_slots`` slots. Each shard draws its counts per
    source from a multinomial distribution, seeded by the shard. What a source
    drew beyond its slots is handed on to sources that drew less, so counts vary
@@ -36,8 +37,10 @@ from tidemill.llm.common import NO_ID, identity, prepared, stored
 from tidemill.llm.common import col as named
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Totals per source are kept on the driver up to so many sources.
-MOST_SOURCES = 100_000
+#: Totals per source are kept on the driver up to so many sources (about 200 bytes each).
+MOST_SOURCES = 1_000_000
+#: Up to so many rows (of some 60 bytes) the source table is sent to all tasks.
+FEW_SOURCES = 100_000
 
 
 @dataclass
@@ -49,6 +52,7 @@ class Source:
     before: int = 0  # words of the sources before it
     blocks: int = 0
     slots: int = 0
+    upto: int = 0  # words of the last slot's block that it takes
 
 
 def share_out(sources: list[Source], words: float, epochs: float) -> None:
@@ -64,10 +68,11 @@ def share_out(sources: list[Source], words: float, epochs: float) -> None:
         for s in over:
             s.target = float(epochs * s.total)
             left -= s.target
-        free = [s for s in free if not any(s is o for o in over)]
+        done = set(map(id, over))
+        free = [s for s in free if id(s) not in done]
 
 
-def plan(totals: list[tuple[str | None, int]], weights: list[float], share: float, epochs: int, block: int) -> list[Source]:
+def plan(totals: list[tuple[str | None, int]], weights: list[float], share: float, epochs: int, block: int, seed: int) -> list[Source]:
     """Sources in code point order, null last, with targets, blocks and slots."""
     order = sorted(totals, key=lambda t: (t[0] is None, t[0] or ""))
     sources = [Source(n, t, weights[i % len(weights)]) for i, (n, t) in enumerate(order)]
@@ -76,29 +81,54 @@ def plan(totals: list[tuple[str | None, int]], weights: list[float], share: floa
     for s in sources:
         s.before, s.blocks = before, -(-s.total // block)
         before += s.total
-        if s.total:
-            full = int(s.target // s.total)
-            s.slots = min(full * s.blocks + round((s.target - full * s.total) / block), epochs * s.blocks)
+    _count_slots(sources, epochs, block, seed)
     return sources
 
 
-def permuted(at: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """A pseudorandom permutation of ``range(size)`` at places ``at``, for each ``key``; all arrays alike long."""
+def _count_slots(sources: list[Source], epochs: int, block: int, seed: int) -> None:
+    """Set the slots of every source, and how far its last slot goes."""
+    some = [i for i, s in enumerate(sources) if s.total]
+    total = np.array([sources[i].total for i in some], np.int64)
+    words = np.minimum(np.rint([sources[i].target for i in some]).astype(np.int64), epochs * total)
+    blocks, rounds = -(-total // block), words // np.maximum(total, 1)
+    left, lacking = words - rounds * total, -total % block  # the last block lacks some words
+    place = permuted(blocks - 1, blocks, round_key(np.array(some, np.int64), rounds, seed), inverse=True)
+    slots = -(-left // block)
+    passed = place < slots  # the short block stands among them
+    slots = np.where(passed, -(-(left + lacking) // block), slots)
+    given = slots * block - np.where(passed, lacking, 0)
+    last = np.where(place == slots - 1, block - lacking, block)
+    for i, full, n, per, upto in zip(some, rounds.tolist(), slots.tolist(), blocks.tolist(), (last - (given - left)).tolist(), strict=True):
+        sources[i].slots, sources[i].upto = full * per + n, upto if n else block
+
+
+def round_key(sid: np.ndarray, turn: np.ndarray, seed: int) -> np.ndarray:
+    """The key of a source's permutation in a round."""
+    return R.mixed(sid.astype(R.U64) * R.U64(0x1000003) + turn.astype(R.U64) + R.mixed(np.array([seed], R.U64))[0])
+
+
+def permuted(at: np.ndarray, size: np.ndarray, key: np.ndarray, inverse: bool = False) -> np.ndarray:
+    """A pseudorandom permutation of ``range(size)`` at places ``at``, for each ``key``; all arrays alike long.
+
+    Or its ``inverse``: the place at which ``at`` stands.
+    """
     half = np.maximum(1, (np.ceil(np.log2(np.maximum(size, 2))) / 2 + 0.5).astype(np.int64)).astype(R.U64)
     mask = (R.U64(1) << half) - R.U64(1)
     out = at.astype(R.U64)
     todo = np.arange(len(at))
     while len(todo):  # a value outside the range is permuted again: the cycle leads back into it
         left, right = out[todo] >> half[todo], out[todo] & mask[todo]
-        for r in range(4):
-            left, right = right, left ^ (R.mixed(R.mixed(right + R.U64(r << 56)) ^ key[todo]) & mask[todo])
+        for r in reversed(range(4)) if inverse else range(4):
+            turn = lambda x: R.mixed(R.mixed(x + R.U64(r << 56)) ^ key[todo]) & mask[todo]  # noqa: B023, E731
+            left, right = (right ^ turn(left), left) if inverse else (right, left ^ turn(right))
         out[todo] = (left << half[todo]) | right
         todo = todo[out[todo] >= size[todo].astype(R.U64)]
     return out.astype(np.int64)
 
 
-def slots_of(spark, sources: list[Source], shard_slots: int, seed: int) -> DataFrame:
-    """``shard, slot, sid, block``: which block of which source stands where."""
+def slots_of(spark, sources: list[Source], shard_slots: int, seed: int, block: int) -> DataFrame:
+    """``shard, slot, sid, block, upto``: which block of which source stands where, and how much of it."""
+    ends = np.array([s.upto for s in sources], np.int64)
     quota = np.array([s.slots for s in sources], np.int64)
     blocks = np.array([s.blocks for s in sources], np.int64)
     total = int(quota.sum())
@@ -133,10 +163,15 @@ def slots_of(spark, sources: list[Source], shard_slots: int, seed: int) -> DataF
             j[extra] = counts[to] + handed - (under_end[to] - under[to])
             sid[extra] = to
             size = blocks[sid]
-            key = R.mixed(sid.astype(R.U64) * R.U64(0x1000003) + (j // size).astype(R.U64) + R.mixed(np.array([seed], R.U64))[0])
-            yield pd.DataFrame({"shard": np.repeat(pdf["shard"].to_numpy(), n), "slot": inner + np.repeat(pdf["at"].to_numpy(), n), "sid": sid, "block": permuted(j % size, size, key)})
+            yield pd.DataFrame({
+                "shard": np.repeat(pdf["shard"].to_numpy(), n),
+                "slot": inner + np.repeat(pdf["at"].to_numpy(), n),
+                "sid": sid,
+                "block": permuted(j % size, size, round_key(sid, j // size, seed)),
+                "upto": np.where(j == quota[sid] - 1, ends[sid], block),
+            })
 
-    return placed_draws(drawn).mapInPandas(place, "shard long, slot long, sid long, block long")
+    return placed_draws(drawn).mapInPandas(place, "shard long, slot long, sid long, block long, upto long")
 
 
 def placed_draws(drawn: DataFrame, run: int = 4096) -> DataFrame:
@@ -175,11 +210,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     totals = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    sources = plan([(r.source, r.n) for r in totals], list(weights), share, epochs, block)
+    sources = plan([(r.source, r.n) for r in totals], list(weights), share, epochs, block, seed)
     table = spark.createDataFrame(
         [(s.name, i, s.total, s.target, s.before) for i, s in enumerate(sources)], "source string, sid long, source_size long, target double, before long"
     ).withColumnRenamed("source", "name")
-    known = sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name"))).drop("name")  # MOST_SOURCES rows at most
+    table = F.broadcast(table) if len(sources) <= FEW_SOURCES else table
+    known = sized.join(table, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     rows = running_total(range_blocks(known, "sid", "doc", "sig"), BLOCK, ["sid", "doc", "sig"], {"end": F.col("size")})
     rows = stored(rows.withColumn("start", F.col("end") - F.col("size") - F.col("before")).drop(BLOCK, "end", "before"), "rows")
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
@@ -189,8 +225,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         "b": F.least((F.col("block") + 1) * block - F.col("start"), F.col("size")),
     }).drop("size")
     if not sum(s.slots for s in sources):
-        empty = cut.withColumns({"shard": F.lit(0).cast("long"), "slot": F.lit(0).cast("long")}).limit(0)
-        return Mix(rows, empty)
-    slots = slots_of(spark, sources, shard_slots, seed)
+        none = F.lit(0).cast("long")
+        return Mix(rows, cut.withColumns({"shard": none, "slot": none, "upto": none}).limit(0))
+    slots = slots_of(spark, sources, shard_slots, seed, block)
     # the size of slots is estimated from the draws they are spread from, thousands of times too low
-    return Mix(rows, slots.hint("merge").join(cut, ["sid", "block"]))
+    pieces = slots.hint("merge").join(cut, ["sid", "block"])
+    owed = F.col("upto") - (F.col("start") + F.col("a") - F.col("block") * block)  # of the words from ``a`` on
+    return Mix(rows, pieces.withColumn("b", F.least("b", F.col("a") + owed)).filter("b > a"))
