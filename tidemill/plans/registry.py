@@ -396,7 +396,7 @@ def catalog_tables(t: Tables) -> DataFrame:
     for name in ("region", "nation", "supplier"):
         managed.create_or_replace(getattr(t, name), f"{database}.{name}", path=f"{path}/{name}")
     managed.drop(t.spark, f"{database}.supplier")
-    listed = managed.tables_in(t.spark, database).select(F.col("tableName").alias("table_name"))
+    listed = managed.tables_in(t.spark, database).filter("NOT isTemporary").select(F.col("tableName").alias("table_name"))
     sizes = None
     for name in ("region", "nation"):
         one = t.spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(name))
