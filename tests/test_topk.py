@@ -58,3 +58,20 @@ def test_all_users_done_early(spark):
     top = recommend.bounded_topk(*frames(spark, u, v), k=2, item_rows=4)
     assert got(top) == plain(u, v, 2) and top.scored == 5 * 4
     assert rows(recommend.dot_topk(*frames(spark, u, v), k=2).select("user_id", "item_id")) == [(i, j) for i in range(5) for j in (0, 1)]
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_small_blocks_share_tasks(spark, equal, monkeypatch):
+    """Sixty blocks in six strips and three groups of users: right, and handed out as strips, not block by block."""
+    rng = np.random.default_rng(8)
+    u, v = rng.normal(size=(30, 4)), rng.normal(size=(300, 4))
+    if equal:
+        v = np.repeat(v[:10], 30, axis=0)  # copies tie within strips and across them
+    sent = []
+    numbering = recommend.numbered
+    monkeypatch.setattr(recommend, "numbered", lambda *a: sent.append(1) or numbering(*a))
+    top = recommend.bounded_topk(*frames(spark, u, v), k=7, user_rows=5, item_rows=5, task_users=10, task_items=50)
+    assert got(top) == plain(u, v, 7) and top.scored < top.pairs and sent == [1]
+    # at the sizes of the jobs the same blocks are one strip, which needs no order and one round
+    one = recommend.bounded_topk(*frames(spark, u, v), k=7, user_rows=5, item_rows=5)
+    assert got(one) == plain(u, v, 7) and one.scored < one.pairs and sent == [1]

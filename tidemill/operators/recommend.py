@@ -8,6 +8,8 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ OTHER_WEIGHT = 1
 RANK, ITERATIONS, REGULARISATION, SEED = 20, 10, 0.1, 42
 TOP = 10
 BLOCK_PAIRS = 500_000
+# Users and items that small blocks share a task up to, and the scores a task holds at a time.
+TASK_USERS, TASK_ITEMS, TILE = 8192, 8192, 1 << 20
 
 
 def feature_table(events: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
@@ -224,32 +228,93 @@ def training_pairs(train: DataFrame, negatives: DataFrame) -> DataFrame:
     return positives.unionByName(negatives.select("user_idx", "item_idx", F.lit(0.0).alias("label")))
 
 
-def _blocks_by_norm(items: DataFrame, item_rows: int) -> DataFrame:
-    """Items with ``norm`` and their block ``ib``: blocks of ``item_rows`` rows, the largest norms first."""
+def _strips_by_norm(items: DataFrame, n_items: int, strip_rows: int) -> DataFrame:
+    """Items with ``norm`` and their ``strip``: strips of ``strip_rows`` rows, the largest norms first."""
     norm = F.sqrt(dot("vec", "vec"))
     held = items.select("item_id", "vec", F.when(F.isnan(norm), F.lit(math.inf)).otherwise(norm).alias("norm"))
-    if items.count() <= item_rows:
-        return held.withColumn("ib", F.lit(0))
+    if n_items <= strip_rows:
+        return held.withColumn("strip", F.lit(0))
     placed = numbered(held.withColumn("_less", -F.col("norm")), "_less", "item_id")
-    return placed.withColumn("ib", F.floor(F.col("position") / item_rows).cast("int")).drop("_less", "position")
-
-
-def _block_pair(u: pd.DataFrame, v: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` best items of a block for each of some users."""
-    if u.empty or v.empty:
-        return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
-    ids, item_ids = u["user_id"].to_numpy(), v["item_id"].to_numpy()
-    right_side = np.stack(v["vec"].to_numpy()).astype("float64").T
-    parts = []
-    for at in range(0, len(u), 256):  # bounds the score matrix
-        left_side = np.stack(u["vec"].iloc[at : at + 256].to_numpy()).astype("float64")
-        scores = np.round(left_side @ right_side, 9)
-        keep = min(k, scores.shape[1])
-        floor = np.partition(scores, -keep, axis=1)[:, -keep]
-        row, col = np.nonzero(scores >= floor[:, None])
-        picked = pd.DataFrame({"user_id": ids[at + row], "item_id": item_ids[col], "score": scores[row, col]})
-        parts.append(picked.sort_values(["user_id", "score", "item_id"], ascending=[True, False, True]).groupby("user_id", sort=False).head(k))
-    return pd.concat(parts)
+    return stored(placed.withColumn("strip", F.floor(F.col("position") / strip_rows).cast("int")).drop("_less", "position"), "items-by-norm")
+
+
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows of a matrix."""
+    held = vectors.combine_chunks()
+    sizes = pc.unique(pc.list_value_length(held)).to_pylist()
+    if len(sizes) > 1 or sizes == [None]:
+        raise ValueError("all vectors must have the same length")
+    return held.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(len(held), *sizes)
+
+
+def _first_k(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of ``(row, less, rank, item)``, ``less`` the negative score, the ``k`` first of every row."""
+    row, less, rank, item = found
+    order = np.lexsort((rank, less, row))
+    row = row[order]
+    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, int)
+    within = np.arange(len(row)) - np.repeat(starts, np.diff(np.r_[starts, len(row)]))
+    return [x[order[within < k]] for x in found]
+
+
+def _strip_best(u: pa.Table, v: pa.Table, k: int, item_rows: int) -> pa.Table:
+    """The ``k`` best items of a strip for each of some users, and a row without ids that counts the scored pairs.
+
+    Blocks of ``item_rows`` are scored in order of norm; a user who reaches the k-th score so far with none
+    of what follows is done. Only tiles of ``TILE`` scores are held, and at most ``k`` items a user and tile.
+    """
+    u = u.filter(pc.is_valid(u["user_id"]))
+    names = ["user_id", "item_id", "score", "scored"]
+    row, less, item, scored = np.zeros(0, int), np.zeros(0), np.zeros(0, int), 0
+    if u.num_rows and v.num_rows:
+        v = v.take(pc.sort_indices(v, [("norm", "descending"), ("item_id", "ascending")]))
+        rank = np.empty(v.num_rows, int)  # among equal scores the smaller id comes first
+        rank[pc.sort_indices(v["item_id"]).to_numpy()] = np.arange(v.num_rows)
+        left, right = _matrix(u["vec"]), _matrix(v["vec"])
+        norms, most = u["norm"].to_numpy(), v["norm"].to_numpy()
+        reached = u["reached"].to_numpy() if "reached" in u.column_names else np.full(len(left), np.nan)
+        floor = np.where(np.isnan(reached), -np.inf, reached)
+        top = np.full((len(left), k), -np.inf)  # the k best scores met here
+        live, held, size = np.arange(len(left)), [], 0
+        wide = min(item_rows, TILE // 256)
+        for at in range(0, len(right), wide):
+            with np.errstate(invalid="ignore"):  # no bound is known where a length is infinite
+                live = live[~(norms[live] * most[at] * (1 + 1e-12) + 2e-9 < floor[live])]
+            if not len(live):
+                break
+            block = right[at : at + wide]
+            scored += len(live) * len(block)
+            for some in range(0, len(live), high := max(1, TILE // len(block))):
+                rows = live[some : some + high]
+                scores = left[rows] @ block.T
+                unknown = np.isnan(scores)
+                scores[unknown] = -np.inf
+                near = scores >= (floor[rows] * (1 - 1e-12 * np.sign(floor[rows])) - 2e-9)[:, None]
+                hit = near.any(axis=1)
+                if not hit.any():
+                    continue
+                scores, near, rows = scores[hit], near[hit], rows[hit]
+                cut = min(k, scores.shape[1])
+                both = np.concatenate([top[rows], np.partition(scores, -cut, axis=1)[:, -cut:]], axis=1)
+                top[rows] = both = np.partition(both, -k, axis=1)[:, -k:]
+                floor[rows] = np.maximum(floor[rows], both[:, 0])
+                near &= scores >= (floor[rows] * (1 - 1e-12 * np.sign(floor[rows])) - 2e-9)[:, None]
+                near &= ~unknown[hit]
+                r, c = np.nonzero(near)
+                new = [rows[r], -np.round(scores[r, c], 9), rank[at + c], at + c]
+                held.append(_first_k(new, k) if len(r) > k * len(rows) else new)
+                size += len(held[-1][0])
+                if size > 2 * k * len(left) + TILE:
+                    held = [_first_k([np.concatenate(x) for x in zip(*held, strict=True)], k)]
+                    size = len(held[0][0])
+        if held:
+            row, less, _, item = _first_k([np.concatenate(x) for x in zip(*held, strict=True)], k)
+    return pa.table([
+        pa.concat_arrays([u["user_id"].combine_chunks().take(row), pa.nulls(1, pa.int64())]),
+        pa.concat_arrays([v["item_id"].combine_chunks().take(item), pa.nulls(1, pa.int64())]),
+        pa.concat_arrays([pa.array(0.0 - less), pa.nulls(1, pa.float64())]),
+        pa.concat_arrays([pa.nulls(len(row), pa.int64()), pa.array([scored], pa.int64())]),
+    ], names)
 
 
 @dataclass
@@ -261,52 +326,61 @@ class TopItems:
     scored: int
 
 
-def bounded_topk(users: DataFrame, items: DataFrame, k: int = TOP, user_rows: int = 8192, item_rows: int = 32768) -> TopItems:
+def bounded_topk(users: DataFrame, items: DataFrame, k: int = TOP, user_rows: int = 8192, item_rows: int = 32768,
+                 task_users: int = TASK_USERS, task_items: int = TASK_ITEMS) -> TopItems:
     """The ``k`` items with the highest dot product for every user, without scoring every pair.
 
     No score is above the product of the two norms. Items are cut into blocks by
-    norm, the largest first; users into hashed blocks. The first round scores the first
-    block, later ones twice as many blocks each. Before a round every user drops the
-    blocks whose largest norm cannot reach the user's k-th score so far; users with no
-    block left are done. What can tie is not dropped.
-
-    A pair of blocks is one bounded task: matrix products that keep ``k`` rows per
-    user. What is shuffled is blocks and partial winners, never scored pairs. Equal
-    scores go to the smaller item id.
+    norm, the largest first; a block is not scored for a user whose k-th score so far
+    it cannot reach. What can tie is scored.
+
+    Small blocks share a task, so that the copies of a vector that are shuffled depend
+    on the size of tasks, not of blocks: a task takes a strip of blocks (``task_items`` rows
+    or one block) and hashed users (``task_users`` or ``user_rows``). The first round takes the
+    first strip, later ones twice as many strips each. Before a round every user drops the
+    strips whose largest norm cannot reach the user's k-th score so far; within
+    a strip the task does so block by block.
+
+    A task is bounded: matrix products that keep ``k`` rows per user. What is shuffled
+    is strips and partial winners, never scored pairs. Equal scores go to the smaller item id.
     """
     n_users, n_items = users.count(), items.count()
-    user_blocks = max(1, -(-n_users // user_rows))
-    placed = _blocks_by_norm(items, item_rows)
-    if n_items > item_rows:
-        placed = stored(placed, "items-by-norm")
-    bounds = placed.groupBy("ib").agg(F.max("norm").alias("most"), F.count(F.lit(1)).alias("n"))
-    n_blocks = -(-n_items // item_rows)
-    own = F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int")
+    strip_rows = max(1, task_items // item_rows) * item_rows
+    groups = max(1, -(-n_users // max(user_rows, task_users)))
+    placed = _strips_by_norm(items, n_items, strip_rows)
+    n_strips = -(-n_items // strip_rows)
+    if n_strips > 1:
+        bounds = stored(placed.groupBy("strip").agg(F.max("norm").alias("most")), "strips")
+    own = F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int")
     norm = F.sqrt(dot("vec", "vec"))
     left = users.select("user_id", "vec", own.alias("ub"), F.when(F.isnan(norm), F.lit(math.inf)).otherwise(norm).alias("norm"))
-    best, scored, at = None, n_users * min(n_items, item_rows), 0
-    while at < n_blocks:
-        upto = min(n_blocks, max(1, 2 * at))
-        wanted = left.withColumn("ib", F.explode(F.sequence(F.lit(at), F.lit(upto - 1))))
-        if best is not None:
-            reached = best.filter(F.col("place") == k).select("user_id", F.col("score").alias("reached"))
+    best, scored, at = None, 0, 0
+    while at < n_strips:
+        upto = min(n_strips, max(1, 2 * at))
+        others = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+        right = placed.filter(F.col("strip").between(at, upto - 1)).withColumn("ub", others)
+        if best is None:
+            wanted = left.withColumn("strip", F.lit(0))
+        else:
+            last = F.when(F.isnan("score"), F.lit(math.inf)).otherwise(F.col("score"))
+            reached = best.filter(F.col("place") == k).select("user_id", last.alias("reached"))
             bound = F.col("norm") * F.col("most") * (1 + 1e-12) + 1e-9  # scores are rounded to nine places
-            known = wanted.join(reached, "user_id", "left").join(bounds, "ib")
-            wanted = stored(known.filter(F.col("reached").isNull() | (bound >= F.col("reached"))), "users-by-block")
-            scored += wanted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-        others = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
-        right = placed.filter(F.col("ib").between(at, upto - 1)).withColumn("ub", others)
-        if best is not None:
-            right = right.join(wanted.select("ub", "ib").distinct(), ["ub", "ib"], "left_semi")
-        found = (
-            wanted.select("ub", "ib", "user_id", "vec").groupBy("ub", "ib").cogroup(right.select("ub", "ib", "item_id", "vec").groupBy("ub", "ib"))
-            .applyInPandas(lambda u, v: _block_pair(u, v, k), "user_id long, item_id long, score double")
+            ahead = F.broadcast(bounds.filter(F.col("strip").between(at, upto - 1)))  # one row a strip
+            known = left.join(reached, "user_id", "left")
+            wanted = known.join(ahead, F.col("reached").isNull() | (bound >= F.col("reached"))).drop("most")
+            right = right.join(wanted.select("ub", "strip").distinct(), ["ub", "strip"], "left_semi")
+        found = stored(
+            wanted.groupBy("ub", "strip").cogroup(right.groupBy("ub", "strip"))
+            .applyInArrow(lambda u, v: _strip_best(u, v, k, item_rows), "user_id long, item_id long, score double, scored long"),
+            "best-of-strips",
         )
+        scored += found.agg(F.coalesce(F.sum("scored"), F.lit(0)).alias("n")).first().n
+        found = found.filter(F.col("user_id").isNotNull()).drop("scored")
         if best is not None:
             found = found.unionByName(best.drop("place"))
         best = top_per_key(found, ["user_id"], [F.desc("score"), F.asc("item_id")], k, "place")
         at = upto
-        if at < n_blocks:
+        if at < n_strips:
             best = stored(best, "best-so-far")
     if best is None:
         best = users.sparkSession.createDataFrame([], "user_id long, item_id long, score double, place long")
