@@ -69,6 +69,34 @@ def test_batch_log(spark, path):
     assert again == {2: 2}  # the same query, its next run
 
 
+@pytest.mark.parametrize("messages", [0, 10, 45])
+def test_batches_of_queries_side_by_side(spark, path, messages, monkeypatch):
+    """Files of ten are dealt to queries that run at the same time; no listener is called for every batch."""
+    events = spark.range(101 * messages).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id")
+    events.write.parquet(f"{path}/events.parquet")
+    started, start = [], sensors.start_to_files
+
+    def counted(*args):
+        started.append(start(*args))
+        return started[-1]
+
+    monkeypatch.setattr(sensors, "start_to_files", counted)
+    got = rows(JOBS["stream_batches"](spark, path))
+    files = -(-messages // 10)
+    assert got == [(messages, files, min(10, messages) or None, messages // 10)] and len(started) == files
+    assert not any(q.isActive for q in started)
+
+
+def test_batch_log_is_whole_and_cheap(spark, path):
+    """More batches than a query keeps reports of by itself."""
+    spark.range(120).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(f"{path}/in")
+    came = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    kept = spark.conf.get(sensors.KEPT_REPORTS)
+    with sensors.batch_log(spark) as log:
+        done = log.of(sensors.run_to_files(came, f"{path}/out", f"{path}/cp"))
+    assert done == dict.fromkeys(range(120), 1) and spark.conf.get(sensors.KEPT_REPORTS) == kept
+
+
 def test_readings_with_many_decimals(spark):
     values = [21.37, 21.372, -0.001, 20.0, None, float("nan"), 1e300]
     got = sensors.running_mean(spark.createDataFrame([("a", v) for v in values], "sensor_id string, temperature_c double")).first()

@@ -879,6 +879,8 @@ job(promotion_decision)
 # --- sensor stream ------------------------------------------------------------------------------------------
 
 ALERT_ABOVE = 33.0
+# Queries that share the files of a stream.
+STREAM_LANES = 16
 
 
 def _sensor_stream(t: Tables, replays: bool = False) -> DataFrame:
@@ -944,15 +946,19 @@ def stream_restart(t: Tables) -> DataFrame:
 
 
 def stream_batches(t: Tables) -> DataFrame:
-    """Unreadable messages in files of ten, one a batch, as a listener counts them."""
+    """Unreadable messages in files of ten, one a batch, as the reports on batches count them; the files are dealt to queries that run side by side."""
     path = work_path(t.spark, "batches")
     placed = numbered(sensors.unreadable(derived.sensor_messages(t.events)).withColumn("id", F.regexp_extract("value", r'"reading_id":(\d+)', 1).cast("long")), "id")
-    files_of_ten = placed.withColumn("file", F.floor(F.col("position") / 10)).repartition("file").select("key", "value", "file")
-    files_of_ten.write.partitionBy("file").parquet(f"{path}/in")
+    lane = F.pmod(F.floor(F.col("position") / 10), F.lit(STREAM_LANES)).cast("int")
+    # in a lane only the last file can be short, so cutting every ten rows leaves the files whole
+    sent = placed.withColumn("lane", lane).repartition(STREAM_LANES, "lane").sortWithinPartitions("lane", "position").select("key", "value", "lane")
+    sent.write.option("maxRecordsPerFile", 10).partitionBy("lane").parquet(f"{path}/in")
+    lanes = range(min(STREAM_LANES, -(-placed.count() // 10)))  # those that have files
     with sensors.batch_log(t.spark) as log:
-        messages = sensors.folder_source(t.spark, f"{path}/in/*", files_per_trigger=1)
-        done = log.of(sensors.run_to_files(messages, f"{path}/out", f"{path}/checkpoint"))
-    counts = t.spark.createDataFrame([(b, n) for b, n in done.items()], "batch long, n long")  # one row a batch of the run
+        sources = [sensors.folder_source(t.spark, f"{path}/in/lane={i}", files_per_trigger=1) for i in lanes]
+        runs = [sensors.start_to_files(m, f"{path}/out/lane={i}", f"{path}/checkpoint/{i}") for i, m in zip(lanes, sources, strict=True)]
+        done = [n for run in sensors.ended(runs) for n in log.of(run).values()]
+    counts = t.spark.createDataFrame([(n,) for n in done], "n long")  # one row a batch of the runs
     return counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("messages"), F.count("n").alias("batches"),
         F.max("n").alias("largest"), F.count(F.when(F.col("n") == 10, 1)).alias("full_batches"),
