@@ -46,9 +46,10 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import besides, prepared
 from tidemill.llm.common import col as named
 
-#: Moves of the transducer, encoded matches and moves of the decoder that a worker keeps.
-MOST_MOVES = 500_000
-MOST_PIECES = 500_000
+#: Moves (of the transducer, and of the decoder) and encoded matches that a worker keeps. A match met again after it
+#: was dropped costs about ten times as much as one that is kept, so there is more room for matches.
+MOST_MOVES = 400_000
+MOST_PIECES = 800_000
 #: Longer matches are not kept, only encoded.
 LONGEST_PIECE = 64
 #: Longer texts are split into matches block by block.
@@ -84,7 +85,7 @@ class Merges:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self._replayed: dict[int, tuple | None] = {}
-        self._may_follow: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}  # by the token before << 32 | the token
 
     def replay(self, token: int) -> tuple | None:
         """The ranks merged on the way to ``token``, and its first and last part before each of them.
@@ -111,15 +112,14 @@ class Merges:
         Both are merged side by side, the lowest rank first. They can't be
         neighbours if a merge across their border would come before all others.
         """
-        right = self.replay(token)
-        if right is None or before < 0:
-            return right is not None
-        pair = (before, token)
-        if pair not in self._may_follow:
-            if len(self._may_follow) >= MOST_MOVES:
-                self._may_follow.clear()
-            self._may_follow[pair] = self._apart(self.replay(before), right)
-        return self._may_follow[pair]
+        pair = before << 32 | token
+        may = self.known.get(pair)
+        if may is None:
+            if len(self.known) >= MOST_MOVES:
+                self.known.clear()
+            right = self.replay(token)
+            may = self.known[pair] = right is not None and (before < 0 or self._apart(self.replay(before), right))
+        return may
 
     def _apart(self, left: tuple, right: tuple) -> bool:
         i = j = 0
@@ -140,28 +140,27 @@ class Transducer:
     """Reads bytes, emits tokens; its states and moves are made when they are needed.
 
     A state is a mapping of bytes to moves (the next state, the tokens emitted); at
-    ``WAYS`` it holds its ways: (node of the trie, token before it, tokens that wait).
+    ``WAYS`` it holds its ways: (node of the trie << 8, token before it, tokens that wait).
     The last way is the one at the root, the encoding of what was read.
     """
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.child: dict[int, int] = {}
-        self.token_at = [-1]
+        child: dict[int, int] = {}
+        token_at = [-1]
         inner = set()
         for token, rank in merges.ranks.items():
             node = 0
             for byte in token:
                 inner.add(node)
                 key = node << 8 | byte
-                if key not in self.child:
-                    self.child[key] = len(self.token_at)
-                    self.token_at.append(-1)
-                node = self.child[key]
-            self.token_at[node] = rank
-        self.goes_on = bytearray(len(self.token_at))
-        for node in inner:
-            self.goes_on[node] = 1
+                if key not in child:
+                    child[key] = len(token_at)
+                    token_at.append(-1)
+                node = child[key]
+            token_at[node] = rank
+        #: Where a byte leads from a node: the next node << 8, the token it is, if any, and whether the trie goes on there.
+        self.steps = {key: (node << 8, token_at[node], node in inner) for key, node in child.items()}
         self.forget()
 
     def forget(self) -> None:
@@ -173,24 +172,29 @@ class Transducer:
 
     def move(self, state: dict, byte: int) -> tuple[dict, tuple]:
         """Make the move from ``state`` by ``byte``."""
-        ways, ended = [], None
-        child, goes_on, token_at = self.child, self.goes_on, self.token_at
+        ways, last, ended = [], -1, ()
+        steps, merges = self.steps, self.merges
+        known = merges.known
         for node, before, waiting in state[WAYS]:
-            to = child.get(node << 8 | byte)
-            if to is None:
+            step = steps.get(node | byte)
+            if step is None:
                 continue
-            if goes_on[to]:
+            to, token, goes_on = step
+            if goes_on:
                 ways.append((to, before, waiting))
-            token = token_at[to]
-            if ended is None and token >= 0 and self.merges.may_follow(before, token):
-                ended = (0, token, (*waiting, token))  # every byte is a token, so some way ends here
-        agreed = len(ended[2])
+            if last < 0 <= token:  # every byte is a token, so some way ends here
+                may = known.get(before << 32 | token)
+                if merges.may_follow(before, token) if may is None else may:
+                    last, ended = token, (*waiting, token)
+        agreed = len(ended)
         for _, _, waiting in ways:
             agreed = min(agreed, len(waiting))
-            while waiting[:agreed] != ended[2][:agreed]:
+            while waiting[:agreed] != ended[:agreed]:
                 agreed -= 1
-        emitted = ended[2][:agreed]
-        ways.append(ended)
+            if not agreed:
+                break
+        emitted = ended[:agreed]
+        ways.append((0, last, ended))
         to = tuple([(node, before, waiting[agreed:]) for node, before, waiting in ways] if agreed else ways)
         following = self.states.get(to)
         if following is None:
@@ -207,27 +211,47 @@ class Transducer:
         if self.moves > MOST_MOVES:
             self.forget()
         state, out = self.start, []
-        for byte in piece:
+        for byte in piece[:-1]:
             state, emitted = state.get(byte) or self.move(state, byte)
             if emitted:
                 out += emitted
-        out += state[WAYS][-1][2]
+        out += self.end(state, piece[-1]) if piece else ()
         return out
 
+    def end(self, state: dict, byte: int) -> tuple:
+        """What is still to be emitted if ``byte`` is the last. Only the way at the root counts, so no move is made."""
+        made = state.get(byte)
+        if made is not None:
+            return made[1] + made[0][WAYS][-1][2]
+        for node, before, waiting in state[WAYS]:
+            step = self.steps.get(node | byte)
+            if step is not None and step[1] >= 0 and self.merges.may_follow(before, step[1]):
+                return (*waiting, step[1])
+        raise ValueError(f"byte {byte} is not in the vocabulary")
+
 
 class Encoder(dict):
-    """Texts to tokens. As a mapping, it keeps the tokens of matches met before, as 32-bit numbers end to end."""
+    """Texts to tokens. As a mapping, it keeps the tokens of matches met lately, as 32-bit numbers end to end.
+
+    When it has half of what may be kept, it starts anew, but takes over from
+    ``older``, the half before, whatever is met again.
+    """
 
     def __init__(self, transducer: Transducer, pattern: str):
         super().__init__()
         self.transducer, self.pattern = transducer, regex.compile(pattern)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        tokens = array("i", self.transducer.run(piece.encode("utf-8", "replace"))).tobytes()
-        if len(piece) <= LONGEST_PIECE:
-            if len(self) >= MOST_PIECES:
-                self.clear()
-            self[piece] = tokens
+        tokens = self.older.get(piece)
+        if tokens is None:
+            tokens = array("i", self.transducer.run(piece.encode("utf-8", "replace"))).tobytes()
+            if len(piece) > LONGEST_PIECE:
+                return tokens
+        if len(self) >= MOST_PIECES // 2:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = tokens
         return tokens
 
     def encode(self, text: str) -> np.ndarray:
@@ -284,34 +308,62 @@ class Utf8Machine:
 
 
 class Decoder:
-    """Tokens to text, piece by piece; ``moves`` are kept per state and token."""
+    """Tokens to text, piece by piece; ``moves`` are kept per state and token.
+
+    Tokens that neither begin nor end within a character lead from no open
+    character to none, so between characters they are read side by side.
+    """
 
     def __init__(self, tokens: dict[int, bytes]):
         self.tokens, self.machine, self.moves = tokens, Utf8Machine(), {}
-        self.whole: dict[int, str | None] = {}  # the text of tokens that neither begin nor end within a character
+        most = max(tokens, default=-1)
+        self.sorted = np.array(sorted(tokens), np.int64) if most >= 4 * len(tokens) + 1024 else None  # ids far apart are searched for
+        self.unknown = most + 1 if self.sorted is None else len(tokens)
+        self.bytes = np.full(self.unknown + 1, REPLACEMENT, object)
+        for at, i in enumerate(sorted(tokens)):
+            self.bytes[i if self.sorted is None else at] = tokens[i]
+        self.texts = np.full(self.unknown + 1, None, object)
+        self.single = np.ones(self.unknown + 1, bool)  # tokens to be read by themselves: those others and those not met so far
         self.held = b""
 
-    def bytes_of(self, ids: list[int]) -> bytes:
-        return b"".join([self.tokens.get(i, REPLACEMENT) for i in ids])
-
-    def feed(self, ids: list[int]) -> str:
+    def places(self, ids) -> np.ndarray:
+        """Where the tables have ``ids``."""
+        ids = np.asarray(ids)
+        if ids.dtype.kind not in "iu":
+            ids = np.array([int(i) if i in self.tokens else -1 for i in ids.tolist()], np.int64)
+        if self.sorted is not None:
+            at = np.minimum(np.searchsorted(self.sorted, ids), self.unknown - 1)
+            return np.where(self.sorted[at] == ids, at, self.unknown)
+        if len(ids) and (ids.min() < 0 or ids.max() >= self.unknown):
+            return np.where((ids >= 0) & (ids < self.unknown), ids, self.unknown)
+        return ids
+
+    def bytes_of(self, ids) -> bytes:
+        return b"".join(self.bytes.take(self.places(ids)).tolist())
+
+    def feed(self, ids) -> str:
         """The characters that are complete after ``ids``."""
-        out, whole, missing = [], self.whole, object()
-        for i in ids:
-            text = None if self.held else whole.get(i, missing)
-            if text is None or text is missing:
-                text = self._step(i)
-            out.append(text)
+        at = self.places(ids)
+        out, read = self.texts.take(at).tolist(), 0
+        alone = np.flatnonzero(self.single[at]).tolist()
+        for first in [0, *alone] if self.held else alone:
+            if first < read:
+                continue
+            for read in range(first, len(out)):  # as far as the end of an open character
+                out[read] = self._step(int(at[read]))
+                if not self.held:
+                    break
+            read += 1
         return "".join(out)
 
-    def _step(self, i: int) -> str:
-        move = self.moves.get((self.held, i))
+    def _step(self, at: int) -> str:
+        move = self.moves.get((self.held, at))
         if move is None:
             if len(self.moves) >= MOST_MOVES:
                 self.moves.clear()
-            move = self.moves[self.held, i] = self.machine.read(self.held, self.tokens.get(i, REPLACEMENT))
-            if not self.held and i in self.tokens:
-                self.whole[i] = None if move[0] else move[1]
+            move = self.moves[self.held, at] = self.machine.read(self.held, self.bytes[at])
+            if not self.held and not move[0]:
+                self.texts[at], self.single[at] = move[1], False
         self.held = move[0]
         return move[1]
 
@@ -369,7 +421,7 @@ def _texts(texts: pd.Series, encoder: Encoder) -> list[np.ndarray]:
     return [encoder.encode((raw or b"").decode("utf-8", "replace")) for raw in texts]
 
 
-def _read(ids: list[int], decoder: Decoder) -> tuple[bytes, str]:
+def _read(ids, decoder: Decoder) -> tuple[bytes, str]:
     return decoder.bytes_of(ids), decoder.feed(ids) + decoder.finish()
 
 
@@ -396,7 +448,7 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", result: str = "de
     def decoded(ids: pd.Series) -> pd.DataFrame:
         with _no_collection():
             decoder = _decoder(name, shared.value)
-            out = [_read([] if some is None else some.tolist(), decoder) for some in ids]
+            out = [_read([] if some is None else some, decoder) for some in ids]
         return pd.DataFrame(out, columns=["bytes", "text"])
 
     return tokens.select(*besides(tokens, result), decoded(named(ids_col)).alias(result))
@@ -415,7 +467,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
         with _no_collection():
             ids = _texts(texts, _encoder(name, shared.value, pattern))
             decoder = _decoder(name, shared.value)
-            out = [(some, *_read(some.tolist(), decoder)) for some in ids]
+            out = [(some, *_read(some, decoder)) for some in ids]
         return pd.DataFrame(out, columns=["ids", "bytes", "text"])
 
     coded = coded.asNondeterministic()  # as above
