@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemill.plans import derived
+from tidemill.plans import derived, registry
 from tidemill.plans.registry import JOBS
 from tidemill.session import work_path
 from tidemill.streaming import gaps, sensors
@@ -87,6 +87,82 @@ def test_batches_of_queries_side_by_side(spark, path, messages, monkeypatch):
     assert not any(q.isActive for q in started)
 
 
+def test_long_streams_are_dealt_to_more_queries(spark, path, monkeypatch):
+    """A query takes a bounded number of files, so its logs stay short; as many run at once as before."""
+    events = spark.range(101 * 45).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id")
+    events.write.parquet(f"{path}/events.parquet")
+    monkeypatch.setattr(registry, "STREAM_LANES", 2)
+    monkeypatch.setattr(registry, "LANE_FILES", 2, raising=False)
+    started, active, chosen, start = [], [], [], sensors.start_to_files
+
+    def counted(*args):
+        active.append(sum(q.isActive for q in started))
+        chosen.append(spark.conf.get("spark.sql.streaming.checkpointFileManagerClass", ""))
+        started.append(start(*args))
+        return started[-1]
+
+    monkeypatch.setattr(sensors, "start_to_files", counted)
+    assert rows(JOBS["stream_batches"](spark, path)) == [(45, 5, 10, 4)]
+    assert sorted(len([p for p in q.recentProgress if p.numInputRows]) for q in started) == [1, 2, 2]
+    assert max(active) < 2 and all("FileSystemBased" in c for c in chosen)
+    assert not spark.conf.get("spark.sql.streaming.checkpointFileManagerClass", "")
+
+
+def test_events_of_batches_are_parsed_once(spark, path, monkeypatch):
+    events = spark.range(101 * 12).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id")
+    events.write.parquet(f"{path}/events.parquet")
+    seen, unreadable = spark.sparkContext.accumulator(0), sensors.unreadable
+
+    @F.udf("string")
+    def told(value):
+        seen.add(1)
+        return value
+
+    monkeypatch.setattr(sensors, "unreadable", lambda messages: unreadable(messages.withColumn("value", told("value"))))
+    assert rows(JOBS["stream_batches"](spark, path)) == [(12, 2, 10, 1)]
+    assert seen.value == 101 * 12
+
+
+def test_quick_checkpoints(spark, path):
+    """A run that was interrupted under one way is taken up under the other; a way chosen by the user stays."""
+    came = numbers_in(spark, path, [[1, 2], [3], [4, 5]])
+    append = sensors.append_sink(f"{path}/state")
+    with sensors.quick_checkpoints(spark, path):
+        sensors.run_interrupted(came, f"{path}/cp", "append", sensors.interrupt_after(append, 1))
+    sensors.run_batches(came, f"{path}/cp", "append", append)
+    assert rows(spark.read.parquet(f"{path}/state").select("n")) == [(n,) for n in range(1, 6)]
+    own = "org.apache.spark.sql.execution.streaming.checkpointing.FileContextBasedCheckpointFileManager"
+    spark.conf.set(sensors.CHECKPOINT_FILES, own)
+    try:
+        with sensors.quick_checkpoints(spark, path):
+            assert spark.conf.get(sensors.CHECKPOINT_FILES) == own
+        assert spark.conf.get(sensors.CHECKPOINT_FILES) == own
+    finally:
+        spark.conf.unset(sensors.CHECKPOINT_FILES)
+
+
+def test_a_failure_stops_the_queries_beside_it():
+    """Those that run are stopped, those that wait are not started."""
+    class Query:
+        isActive = True
+
+        def __init__(self, fails):
+            self.fails = fails
+
+        def awaitTermination(self):
+            if self.fails:
+                raise KeyError("broken")
+            self.isActive = False
+
+        def stop(self):
+            self.isActive = False
+
+    queries, taken = [Query(i == 1) for i in range(5)], []
+    with pytest.raises(KeyError):
+        list(sensors.ended((taken.append(q) or q for q in queries), 2))
+    assert taken == queries[:3] and not any(q.isActive for q in taken)
+
+
 def test_batch_log_is_whole_and_cheap(spark, path):
     """More batches than a query keeps reports of by itself."""
     spark.range(120).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(f"{path}/in")

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions import sketch
 from tidemill.functions.latest import first_per_key
@@ -879,8 +880,8 @@ job(promotion_decision)
 # --- sensor stream ------------------------------------------------------------------------------------------
 
 ALERT_ABOVE = 33.0
-# Queries that share the files of a stream.
-STREAM_LANES = 16
+# Queries that share the files of a stream at one time, and the files a query takes: the logs that it lists and merges grow with them.
+STREAM_LANES, LANE_FILES = 16, 100
 
 
 def _sensor_stream(t: Tables, replays: bool = False) -> DataFrame:
@@ -948,16 +949,22 @@ def stream_restart(t: Tables) -> DataFrame:
 def stream_batches(t: Tables) -> DataFrame:
     """Unreadable messages in files of ten, one a batch, as the reports on batches count them; the files are dealt to queries that run side by side."""
     path = work_path(t.spark, "batches")
-    placed = numbered(sensors.unreadable(derived.sensor_messages(t.events)).withColumn("id", F.regexp_extract("value", r'"reading_id":(\d+)', 1).cast("long")), "id")
-    lane = F.pmod(F.floor(F.col("position") / 10), F.lit(STREAM_LANES)).cast("int")
+    # stored, as numbering reads them twice and few are unreadable
+    unreadable = stored(sensors.unreadable(derived.sensor_messages(t.events)), "unreadable")
+    placed = numbered(unreadable.withColumn("id", F.regexp_extract("value", r'"reading_id":(\d+)', 1).cast("long")), "id")
+    files = -(-placed.count() // 10)
+    lanes = max(min(STREAM_LANES, files), -(-files // LANE_FILES))
+    lane = F.pmod(F.floor(F.col("position") / 10), F.lit(max(lanes, 1))).cast("int")
     # in a lane only the last file can be short, so cutting every ten rows leaves the files whole
-    sent = placed.withColumn("lane", lane).repartition(STREAM_LANES, "lane").sortWithinPartitions("lane", "position").select("key", "value", "lane")
+    sent = placed.withColumn("lane", lane).repartition(max(lanes, 1), "lane").sortWithinPartitions("lane", "position").select("key", "value", "lane")
     sent.write.option("maxRecordsPerFile", 10).partitionBy("lane").parquet(f"{path}/in")
-    lanes = range(min(STREAM_LANES, -(-placed.count() // 10)))  # those that have files
-    with sensors.batch_log(t.spark) as log:
-        sources = [sensors.folder_source(t.spark, f"{path}/in/lane={i}", files_per_trigger=1) for i in lanes]
-        runs = [sensors.start_to_files(m, f"{path}/out/lane={i}", f"{path}/checkpoint/{i}") for i, m in zip(lanes, sources, strict=True)]
-        done = [n for run in sensors.ended(runs) for n in log.of(run).values()]
+
+    def start(i: int) -> StreamingQuery:
+        messages = sensors.folder_source(t.spark, f"{path}/in/lane={i}", files_per_trigger=1)
+        return sensors.start_to_files(messages, f"{path}/out/lane={i}", f"{path}/checkpoint/{i}")
+
+    with sensors.batch_log(t.spark) as log, sensors.quick_checkpoints(t.spark, path):
+        done = [n for run in sensors.ended(map(start, range(lanes)), STREAM_LANES) for n in log.of(run).values()]
     counts = t.spark.createDataFrame([(n,) for n in done], "n long")  # one row a batch of the runs
     return counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("messages"), F.count("n").alias("batches"),
